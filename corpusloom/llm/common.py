@@ -78,3 +78,8 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 def partitions_for(spark: SparkSession, n_bytes: float, each: float = 16e6, least: int = 12) -> int:
     """Partitions so that each holds about ``each`` bytes, never fewer than the session's shuffle partitions."""
     return int(max(least, int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_bytes // each)))
+
+
+def plan_bytes(df: DataFrame) -> float:
+    """Catalyst's size estimate of df, in bytes (compressed, for a file scan)."""
+    return float(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
