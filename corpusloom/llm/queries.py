@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from corpusloom.llm.langid import op5_language_id
 from corpusloom.llm.mixing import OP3_SQL, op3_pareto_mix
 from corpusloom.llm.simhash import op9_simhash_components
+from corpusloom.llm.sstable import op8_token_shards
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_pareto_mix": op3_pareto_mix,
+        "op5_language_id": op5_language_id,
+        "op8_token_shards": op8_token_shards,
         "op9_simhash_components": op9_simhash_components,
     }
 
