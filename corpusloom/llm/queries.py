@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from corpusloom.llm.langid import op5_language_id
 from corpusloom.llm.mixing import OP3_SQL, op3_pareto_mix
 from corpusloom.llm.pii import op2_pii_spans
+from corpusloom.llm.progressive_jpeg import op1_progressive_jpeg
 from corpusloom.llm.simhash import op9_simhash_components
 from corpusloom.llm.sstable import op8_token_shards
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_progressive_jpeg": op1_progressive_jpeg,
         "op2_pii_spans": op2_pii_spans,
         "op3_pareto_mix": op3_pareto_mix,
         "op5_language_id": op5_language_id,
