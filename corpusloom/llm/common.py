@@ -83,3 +83,62 @@ def partitions_for(spark: SparkSession, n_bytes: float, each: float = 16e6, leas
 def plan_bytes(df: DataFrame) -> float:
     """Catalyst's size estimate of df, in bytes (compressed, for a file scan)."""
     return float(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def _coefficients(n: int) -> np.ndarray:
+    """Odd pseudo-random multipliers by place in a word."""
+    with np.errstate(over="ignore"):
+        x = np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        return (x ^ (x >> np.uint64(31))) | np.uint64(1)
+
+
+COEFFICIENTS = _coefficients(256)
+#: The white space that parts words (space and 9 to 13).
+SPACE = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
+
+
+def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of different uint64 values, and for every element the number of its value; what collides in the table is sorted."""
+    if not len(values):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    slot = ((values * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - 22)).astype(np.int64)
+    table = np.zeros(1 << 22, np.int32)
+    table[slot] = np.arange(len(values), dtype=np.int32)
+    rep = table[slot]
+    own = np.flatnonzero(rep == np.arange(len(values)))
+    number = np.zeros(len(values), np.int64)
+    number[own] = np.arange(len(own))
+    index = number[rep]
+    missed = np.flatnonzero(values[rep] != values)
+    if len(missed):
+        _, first, more = np.unique(values[missed], return_index=True, return_inverse=True)
+        index[missed] = len(own) + more
+        own = np.concatenate((own, missed[first]))
+    return own, index
+
+
+def index_words(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Different words of texts (A-Z lower-cased), the number of each word in reading order, and the words per text.
+
+    Words are told apart by their length and a 64-bit multilinear hash, computed over all bytes at once.
+    """
+    joined = b"\n".join(texts).lower()
+    flat = np.frombuffer(joined, np.uint8)
+    gap = np.concatenate(([True], SPACE[flat], [True]))
+    edges = np.flatnonzero(gap[1:] != gap[:-1])
+    starts, lengths = edges[::2], edges[1::2] - edges[::2]
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
+    per_text = np.diff(np.searchsorted(starts, np.cumsum(sizes)), prepend=0)
+    if not len(starts):
+        return [], np.zeros(0, np.int64), per_text
+    longest = int(lengths.max())
+    with np.errstate(over="ignore"):
+        inside = np.flatnonzero(~gap[1:-1])
+        place = inside - np.repeat(starts, lengths)
+        by = COEFFICIENTS if longest <= len(COEFFICIENTS) else _coefficients(longest)
+        h = np.add.reduceat(by[place] * (flat[inside].astype(np.uint64) + np.uint64(1)), np.cumsum(lengths) - lengths)
+        h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93) + lengths.astype(np.uint64)
+    own, index = distinct(h)
+    return [joined[a:b] for a, b in zip(starts[own].tolist(), (starts + lengths)[own].tolist())], index, per_text

@@ -13,6 +13,7 @@ import struct
 import zlib
 from bisect import bisect_left
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import chunks, partitions_for, plan_bytes, read_documents, scratch_path, text_bytes
+from corpusloom.llm.common import chunks, index_words, partitions_for, plan_bytes, ranges, read_documents, scratch_path, text_bytes
 
 MAGIC = b"CLSST001"
 FOOTER = struct.Struct("<QQQQQQ8s")
@@ -192,75 +193,77 @@ class WordCachedEncoder:
     """Encodes texts by a tokenizer that never merges across white space, each different word once.
 
     Words are cut at ASCII white space and A-Z lower-cased (the tokenizer lower-cases all; texts with
-    ``<|``, which may start a special token, are left as they are). A word's trailing punctuation is a token of its own behind a
-    letter, so the stem is looked up alone. The cache has two generations of ``limit`` words.
+    ``<|``, which may start a special token, go to the tokenizer whole). Trailing punctuation is a token of its own behind a
+    letter, so the stem is encoded alone. At ``limit`` words the cache is cut back to those of the last texts.
     """
 
     PUNCTUATION = b".,!?:;"
 
-    def __init__(self, path: str, limit: int = 250_000):
+    def __init__(self, path: str, limit: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.limit, self.young, self.old = limit, {}, {}
-        self.word_end = np.zeros(max(self.tokenizer.get_vocab().values()) + 1, bool)
-        self.word_end[[i for w, i in self.tokenizer.get_vocab().items() if w.endswith("</w>")]] = True
+        vocabulary = self.tokenizer.get_vocab()
+        self.dtype = np.dtype("<u2" if max(vocabulary.values()) < 1 << 16 else "<u4")
+        self.limit, self.cache = limit, {}
+        self.word_end = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.word_end[[i for w, i in vocabulary.items() if w.endswith("</w>")]] = True
 
     def _pack(self, ids) -> bytes:
         return np.array(ids, self.dtype).tobytes()
 
-    def _encode(self, words: list[bytes]) -> list[bytes]:
-        """Letters-only words in one call, cut at the tokens that end a word; others one by one."""
-        out: list[bytes | None] = [None] * len(words)
-        texts = [w.decode() for w in words]
-        plain = [i for i, t in enumerate(texts) if t.isalpha()]
+    def _encode(self, words: list[bytes]) -> None:
+        """Cache words: ASCII letters by the tokenizer's model; other letters in one call, cut at the tokens that end a word; the rest one by one."""
+        width, rest, plain, ascii_ = self.dtype.itemsize, [], [], []
+        for w in words:
+            (ascii_ if w.isalpha() else plain if w.decode().isalpha() else rest).append(w)
+        tokenize = self.tokenizer.model.tokenize  # a lower-case ASCII word passes the steps before the model as it is
+        parts = [[t.id for t in tokenize(w.decode())] for w in ascii_]
+        data = self._pack([i for p in parts for i in p])
+        ends = np.cumsum([len(p) * width for p in parts]).tolist()
+        self.cache.update(zip(ascii_, (data[a:b] for a, b in zip([0, *ends], ends))))
         for lo in range(0, len(plain), 4096):
             part = plain[lo : lo + 4096]
-            ids = np.array(self.tokenizer.encode(" ".join(texts[i] for i in part), add_special_tokens=False).ids, self.dtype)
-            ends = np.flatnonzero(self.word_end[ids]) + 1
+            ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)[0].ids, self.dtype)
+            ends = ((np.flatnonzero(self.word_end[ids]) + 1) * width).tolist()
             if len(ends) == len(part):
-                for i, a, b in zip(part, [0, *ends.tolist()], ends.tolist()):
-                    out[i] = ids[a:b].tobytes()
-        rest = [i for i, v in enumerate(out) if v is None]
-        for i, e in zip(rest, self.tokenizer.encode_batch([texts[i] for i in rest], add_special_tokens=False)):
-            out[i] = self._pack(e.ids)
-        return out
-
-    def _look_up(self, words) -> dict[bytes, bytes]:
-        found, missing = {}, []
-        young, old = self.young, self.old
-        for w in words:
-            v = young.get(w)
-            if v is None:
-                v = old.get(w)
-                if v is None:
-                    missing.append(w)
-                    continue
-                young[w] = v
-            found[w] = v
-        stems: dict[bytes, bytes] = {}
-        for w in missing:
-            stem = w.rstrip(self.PUNCTUATION)
-            stems[w] = stem if stem != w and stem[-1:].isalpha() else w
-        if missing:
-            whole = {s for w, s in stems.items()} | {w[len(s) :] for w, s in stems.items() if s != w}
-            new = sorted(s for s in whole if s not in young and s not in old)
-            encoded = dict(zip(new, self._encode(new)))
-            own = lambda s: encoded.get(s) or young.get(s) or old.get(s) or b""
-            for w, s in stems.items():
-                found[w] = young[w] = own(s) if s == w else own(s) + own(w[len(s) :])
-            young.update(encoded)
-        if len(young) > self.limit:
-            self.young, self.old = {}, young
-        return found
+                data = ids.tobytes()
+                self.cache.update(zip(part, (data[a:b] for a, b in zip([0, *ends], ends))))
+            else:
+                rest += part
+        for w, e in zip(rest, self.tokenizer.encode_batch([w.decode() for w in rest], add_special_tokens=False)):
+            self.cache[w] = self._pack(e.ids)
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Packed identifiers of each text."""
-        words = [(t if b"<|" in t else t.lower()).split() for t in texts]
-        table = self._look_up(set().union(*words))
-        return [b"".join(map(table.__getitem__, ws)) for ws in words]
+        words, index, per_text = index_words([b"" if b"<|" in t else t for t in texts])
+        cache = self.cache
+        missing = set(words).difference(cache)
+        if missing:
+            if len(cache) + len(missing) > self.limit:
+                cache = self.cache = {w: cache[w] for w in words if w not in missing}
+            cut = [(w, s) for w in missing if (s := w.rstrip(self.PUNCTUATION)) != w and s[-1:].isalpha()]
+            tails = {w[len(s) :] for w, s in cut}
+            self._encode(sorted((missing.difference(w for w, _ in cut) | {s for _, s in cut} | tails).difference(cache)))
+            cache.update((w, cache[s] + cache[w[len(s) :]]) for w, s in cut)
+        packed = [cache[w] for w in words]
+        width = self.dtype.itemsize
+        size = np.fromiter(map(len, packed), np.int64, len(packed)) // width
+        ids = np.frombuffer(b"".join(packed), self.dtype)
+        flat = ids[ranges((np.cumsum(size) - size)[index], size[index])].tobytes()
+        ends = (np.concatenate(([0], np.cumsum(size[index])))[np.cumsum(per_text)] * width).tolist()
+        out = [flat[a:b] for a, b in zip([0, *ends], ends)]
+        for i, t in enumerate(texts):
+            if b"<|" in t:
+                out[i] = self._pack(self.tokenizer.encode(t.decode("utf-8", "replace"), add_special_tokens=False).ids)
+        return out
+
+
+@lru_cache(2)
+def encoder_for(path: str) -> WordCachedEncoder:
+    """One encoder per Python worker: tasks that run in the same worker share its cache."""
+    return WordCachedEncoder(path)
 
 
 def default_tokenizer() -> str:
@@ -285,7 +288,7 @@ def write_token_shards(
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordCachedEncoder(where)
+        encoder = encoder_for(where)
         end, shard, part = encoder._pack([end_id]), TaskContext.get().partitionId(), 0
         table, ids, tokens = SSTableWriter(), [], 0
         names = ["shard", "part", "first_id", "last_id", "n_docs", "n_tokens", "image"]
