@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from corpusloom.llm.context_mixing import op10_context_mixing
 from corpusloom.llm.langid import op5_language_id
 from corpusloom.llm.mixing import OP3_SQL, op3_pareto_mix
 from corpusloom.llm.pii import op2_pii_spans
 from corpusloom.llm.progressive_jpeg import op1_progressive_jpeg
 from corpusloom.llm.simhash import op9_simhash_components
 from corpusloom.llm.sstable import op8_token_shards
+from corpusloom.llm.suffix_dedup import op7_suffix_dedup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -20,8 +22,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_pii_spans": op2_pii_spans,
         "op3_pareto_mix": op3_pareto_mix,
         "op5_language_id": op5_language_id,
+        "op7_suffix_dedup": op7_suffix_dedup,
         "op8_token_shards": op8_token_shards,
         "op9_simhash_components": op9_simhash_components,
+        "op10_context_mixing": op10_context_mixing,
     }
 
 
