@@ -134,11 +134,14 @@ def index_words(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray
     if not len(starts):
         return [], np.zeros(0, np.int64), per_text
     longest = int(lengths.max())
-    with np.errstate(over="ignore"):
-        inside = np.flatnonzero(~gap[1:-1])
-        place = inside - np.repeat(starts, lengths)
-        by = COEFFICIENTS if longest <= len(COEFFICIENTS) else _coefficients(longest)
-        h = np.add.reduceat(by[place] * (flat[inside].astype(np.uint64) + np.uint64(1)), np.cumsum(lengths) - lengths)
-        h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93) + lengths.astype(np.uint64)
+    by = COEFFICIENTS if longest <= len(COEFFICIENTS) else _coefficients(longest)
+    h = np.empty(len(starts), np.uint64)
+    for lo in range(0, len(starts), 1 << 15):  # slices stay in the processor's cache
+        s, n = starts[lo : lo + (1 << 15)], lengths[lo : lo + (1 << 15)]
+        part = flat[s[0] : s[-1] + n[-1]]
+        inside = np.flatnonzero(~gap[s[0] + 1 : s[-1] + n[-1] + 1])
+        place = inside - np.repeat(s - s[0], n)
+        h[lo : lo + len(s)] = np.add.reduceat(by[place] * (part[inside].astype(np.uint64) + np.uint64(1)), np.cumsum(n) - n)
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93) + lengths.astype(np.uint64)
     own, index = distinct(h)
     return [joined[a:b] for a, b in zip(starts[own].tolist(), (starts + lengths)[own].tolist())], index, per_text

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import chunks, index_words, partitions_for, plan_bytes, ranges, read_documents, scratch_path, text_bytes
+from corpusloom.llm.common import CHUNK_BYTES, chunks, index_words, partitions_for, plan_bytes, ranges, read_documents, scratch_path, text_bytes
 
 MAGIC = b"CLSST001"
 FOOTER = struct.Struct("<QQQQQQ8s")
@@ -199,7 +199,7 @@ class WordCachedEncoder:
 
     PUNCTUATION = b".,!?:;"
 
-    def __init__(self, path: str, limit: int = 500_000):
+    def __init__(self, path: str, limit: int = 800_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -300,7 +300,7 @@ def write_token_shards(
 
         for batch in batches:
             texts, own = text_bytes(batch.column(1)), batch.column(0).to_pylist()
-            for s in chunks(texts):
+            for s in chunks(texts, 2 * CHUNK_BYTES):
                 for doc_id, packed in zip(own[s], encoder.encode(texts[s])):
                     value = bytes([encoder.dtype.itemsize]) + packed + end
                     table.add(key_of(doc_id), value)
