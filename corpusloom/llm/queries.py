@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from corpusloom.llm.context_mixing import op10_context_mixing
+from corpusloom.llm.fuzzy_lines import op4_fuzzy_lines
 from corpusloom.llm.langid import op5_language_id
 from corpusloom.llm.mixing import OP3_SQL, op3_pareto_mix
 from corpusloom.llm.pii import op2_pii_spans
@@ -21,6 +22,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_progressive_jpeg": op1_progressive_jpeg,
         "op2_pii_spans": op2_pii_spans,
         "op3_pareto_mix": op3_pareto_mix,
+        "op4_fuzzy_lines": op4_fuzzy_lines,
         "op5_language_id": op5_language_id,
         "op7_suffix_dedup": op7_suffix_dedup,
         "op8_token_shards": op8_token_shards,
