@@ -1,11 +1,12 @@
 """Exact removal of byte strings that repeat across documents, by sharded suffix arrays.
 
-Every 50-byte window belongs to its minimizer, the least hash of the 16-byte strings inside it; equal windows have equal minimizers.
+Every 50-byte window belongs to its minimizer, the least hash of the 24-byte strings inside it; equal windows have equal minimizers.
 Consecutive windows of a document with one minimizer form a run, whose bytes are its context.
 
 1. Documents are dealt to text shards. A shard sends its different minimizers to their owners, which
    answer which of them occur in several documents (a filter without loss).
-2. Contexts of repeated minimizers go to suffix shards: equal contexts are merged, a suffix array is refined by
+2. Contexts of repeated minimizers go to suffix shards: equal contexts are merged, and over different contexts with one
+   minimizer a suffix array is refined by
    Larsson-Sadakane doubling, Kasai's method gives the common prefixes, and suffixes that share 50 bytes form a class with its least
    document. Suffix shards of one owner are merged by binary search of their sorted class strings.
 3. The windows with a smaller document go back to the text shards, which remove the bytes they cover.
@@ -25,11 +26,11 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.common import plan_bytes, ranges, read_documents, text_bytes
 
-WINDOW, GRAM = 50, 16
+WINDOW, GRAM = 50, 24
 SPAN = WINDOW - GRAM + 1
 P1, P2, P3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 #: Text bytes per text shard (a guess from the size of the input files) and per suffix array.
-SHARD_BYTES, SUFFIX_BYTES = 4_000_000, 3_000_000
+SHARD_BYTES, SUFFIX_BYTES = 4_000_000, 4_000_000
 STEP = 1 << 16
 KEY_BITS = 48
 
@@ -122,20 +123,20 @@ def common_prefixes(text: np.ndarray, sa: np.ndarray, chains: np.ndarray, cap: i
 
 
 def minimizers(flat: np.ndarray) -> np.ndarray:
-    """For every place the least hash of the 16-byte strings in the 50 bytes from there (places near the end: meaningless)."""
+    """For every place the least hash of the 24-byte strings in the 50 bytes from there (places near the end: meaningless)."""
     n = len(flat)
     out = np.empty(n, np.uint64)
     padded = np.concatenate((flat, np.zeros(WINDOW + GRAM, np.uint8)))
     for lo in range(0, n, STEP):
         part = padded[lo : lo + STEP + WINDOW + GRAM]
         w = words_at(part)
-        h = (w[:-8] * P1) ^ ((w[8:] ^ (w[8:] >> np.uint64(29))) * P2)
+        h = (w[:-16] * P1) ^ ((w[8:-8] ^ (w[8:-8] >> np.uint64(29))) * P2) ^ ((w[16:] ^ (w[16:] >> np.uint64(31))) * P3)
         h ^= h >> np.uint64(32)
         h *= P3
         h ^= h >> np.uint64(29)
-        for d in (1, 2, 4, 8, 16):
+        for d in (1, 2, 4, 8):
             h = np.minimum(h[:-d], h[d:])
-        h = np.minimum(h[: -(SPAN - 32)], h[SPAN - 32 :])
+        h = np.minimum(h[: -(SPAN - 16)], h[SPAN - 16 :])
         m = min(STEP, n - lo)
         out[lo : lo + m] = h[:m]
     return out
@@ -153,24 +154,28 @@ def runs(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.
 
 
 def equal_strings(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """For every string, the first string (in the given order) with the same bytes; a hash proposes, bytes decide."""
+    """For every string (of eight bytes at least), the first one in the given order with the same bytes; a hash proposes, bytes decide."""
     n = len(starts)
     if not n:
         return np.zeros(0, np.int64)
-    at = ranges(starts, lengths)
-    ends = np.cumsum(lengths)
-    place = np.arange(len(at)) - np.repeat(ends - lengths, lengths)
-    salt = (place.astype(np.uint64) + np.uint64(1)) * P1
-    salt ^= salt >> np.uint64(31)
-    h = np.add.reduceat(((salt * P2) | np.uint64(1)) * (flat[at].astype(np.uint64) + np.uint64(1)), ends - lengths) + lengths.astype(np.uint64) * P3
+    word = words_at(flat)
+    n_words = (lengths + 7) // 8  # the last word ends with the string and may overlap the one before
+    ends = np.cumsum(n_words)
+    nth = np.arange(int(ends[-1])) - np.repeat(ends - n_words, n_words)
+    at = np.repeat(starts, n_words) + np.minimum(nth * 8, np.repeat(lengths - 8, n_words))
+    salt = (nth.astype(np.uint64) + np.uint64(1)) * P1
+    x = (word[at] ^ salt) * P2
+    x = (x ^ (x >> np.uint64(31))) * (salt | np.uint64(1))
+    h = np.add.reduceat(x ^ (x >> np.uint64(29)), ends - n_words) + lengths.astype(np.uint64) * P3
     order = np.argsort(h, kind="stable")
     new = np.concatenate(([True], h[order][1:] != h[order][:-1]))
     rep = np.empty(n, np.int64)
     rep[order] = order[np.maximum.accumulate(np.where(new, np.arange(n), 0))]
     other = np.flatnonzero((rep != np.arange(n)) & (lengths == lengths[rep]))
     if len(other):
-        same = flat[ranges(starts[other], lengths[other])] == flat[ranges(starts[rep[other]], lengths[other])]
-        ok = np.logical_and.reduceat(same, np.cumsum(lengths[other]) - lengths[other])
+        n_own = n_words[other]
+        mine, its = ranges((ends - n_words)[other], n_own), ranges((ends - n_words)[rep[other]], n_own)
+        ok = np.logical_and.reduceat(word[at[mine]] == word[at[its]], np.cumsum(n_own) - n_own)
         rep[other[~ok]] = other[~ok]
     differ = lengths != lengths[rep]
     rep[differ] = np.flatnonzero(differ)
@@ -355,9 +360,15 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             rep = np.empty(len(by), np.int64)
             rep[by] = by[equal_strings(flat, place[by], length[by])]  # of equal contexts, the one of the least document
             own = np.flatnonzero(rep == np.arange(len(rep)))
-            window, least = least_documents(flat, place[own], length[own], order[own])
+            # a context alone with its minimizer shares windows with its equals only, which are merged already
+            _, kind, n_kind = np.unique(minimizers(flat)[place[own]], return_inverse=True, return_counts=True)
+            shared = own[n_kind[kind] > 1]
             best = np.full(len(flat), np.iinfo(np.int64).max)
-            best[window] = least
+            best[ranges(place[own], size[own])] = np.repeat(order[own], size[own])
+            if len(shared):
+                shared = shared[np.argsort(order[shared], kind="stable")]
+                window, least = least_documents(flat, place[shared], length[shared], order[shared])
+                best[window] = least
             # every window of every context: is there a smaller document?
             at = ranges(place[rep], size)
             gone = best[at] < np.repeat(order, size)
