@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from corpusloom.llm.context_mixing import op10_context_mixing
+from corpusloom.llm.decontaminate import op6_decontaminate
 from corpusloom.llm.fuzzy_lines import op4_fuzzy_lines
 from corpusloom.llm.langid import op5_language_id
 from corpusloom.llm.mixing import OP3_SQL, op3_pareto_mix
@@ -24,6 +25,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_pareto_mix": op3_pareto_mix,
         "op4_fuzzy_lines": op4_fuzzy_lines,
         "op5_language_id": op5_language_id,
+        "op6_decontaminate": op6_decontaminate,
         "op7_suffix_dedup": op7_suffix_dedup,
         "op8_token_shards": op8_token_shards,
         "op9_simhash_components": op9_simhash_components,
