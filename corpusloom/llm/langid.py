@@ -259,21 +259,23 @@ def predict_language(docs: DataFrame, model: KneserNeyModels, id_col: str = "doc
     spark = docs.sparkSession
     held = spark.sparkContext.broadcast(model)
     cols = [id_col, *keep]
-    source = docs.select(F.col(text_col).alias("__text"), *cols)
+    inside = text_col in cols
+    source = docs.select(*cols) if inside else docs.select(*cols, text_col)
+    place = cols.index(text_col) if inside else len(cols)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict = {}
         for batch in batches:
-            texts = text_bytes(batch.column(0))
+            texts = text_bytes(batch.column(place))
             for s in chunks(texts):
                 lang, score, rejected, least = held.value.predict([t.decode("utf-8", "replace") for t in texts[s]], seen)
-                own = [batch.column(k + 1).slice(s.start, s.stop - s.start) for k in range(len(cols))]
+                own = [batch.column(k).slice(s.start, s.stop - s.start) for k in range(len(cols))]
                 yield pa.RecordBatch.from_arrays(
                     [*own, pa.array(lang, pa.string()), pa.array(score), pa.array(rejected), pa.array(least)],
                     [*cols, "lang_pred", "score", "rejected", "cross_entropy"],
                 )
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[1:])
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[: len(cols)])
     return source.mapInArrow(run, f"{kinds}, lang_pred string, score double, rejected boolean, cross_entropy double")
 
 

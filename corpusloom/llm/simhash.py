@@ -220,6 +220,90 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return prints.join(classes, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+#: Anchors of the far search: so many of a document's least shingle hashes.
+LEAST_HASHES = 8
+#: Fingerprints of documents of similarity 0.8 differ in 10 bits on average, with a deviation of 3; unrelated ones in 32.
+FAR_BITS = 20
+#: Documents whose texts are fetched through a broadcast of their ids (8 bytes each); more are joined by a shuffle.
+BROADCAST_IDS = 2_000_000
+
+
+def _sketches(docs: DataFrame, width: int) -> DataFrame:
+    """(doc_id, fp, least) of (doc_id, text): the fingerprint and the least shingle hashes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = text_bytes(batch.column(1))
+            for s in chunks(texts):
+                fp = fingerprints(texts[s], width)
+                least = [sorted(set(shingle_hashes(t, width)))[:LEAST_HASHES] for t in texts[s]]
+                least = [np.array(x, np.uint64).view(np.int64) for x in least]
+                ids = batch.column(0).slice(s.start, s.stop - s.start)
+                yield pa.RecordBatch.from_arrays([ids, pa.array(fp.view(np.int64)), pa.array(least, pa.list_(pa.int64()))], ["doc_id", "fp", "least"])
+
+    return docs.mapInArrow(run, "doc_id long, fp long, least array<long>")
+
+
+def _anchored_pairs(points: DataFrame, bits: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) of (key, id, fp) members with the leader of their key, within ``bits`` of it; and the members that are not.
+
+    The leader is the least id of a key, found by a partial aggregate; members meet it in a join that adaptive execution splits.
+    """
+    leaders = points.groupBy("key").agg(F.min("id").alias("b"), F.count("*").alias("n")).where("n > 1").select("key", "b")
+    prints = points.select("key", F.col("id").alias("b"), F.col("fp").alias("fp_b"))
+    leaders = leaders.join(prints, ["key", "b"])
+    members = points.join(leaders, "key").where("id <> b")
+    near = F.bit_count(F.col("fp").bitwiseXOR(F.col("fp_b"))) <= bits
+    return members.where(near).select(F.col("id").alias("a"), "b"), members.where(~near).select("key", "id", "fp")
+
+
+def _alike(pairs: DataFrame, docs: DataFrame, width: int, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose sets of shingles have at least this similarity, from their whole texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left, right = text_bytes(batch.column(2)), text_bytes(batch.column(3))
+            keep = []
+            for x, y in zip(left, right):
+                x, y = set(shingle_hashes(x, width)), set(shingle_hashes(y, width))
+                both = len(x & y)
+                keep.append(both >= similarity * max(1, len(x) + len(y) - both) or (not x and not y))
+            yield batch.filter(pa.array(keep, pa.bool_())).select([0, 1])
+
+    ids = materialise(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct())
+    wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    texts = materialise(docs.join(wanted, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text")))
+    both = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a").join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
+    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+
+
+def near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8, threshold: int = 4
+) -> DataFrame:
+    """(doc_id, component_id) of every document that has a near duplicate: similarity of word shingles at least ``similarity``.
+
+    Pairs are proposed by fingerprints and checked on whole texts. Within ``threshold`` bits the covering code finds all pairs. Documents of similarity
+    0.8 are further apart than any covering code of 64 bits can reach cheaply, so the anchors of the far search are the documents' least shingle
+    hashes: fingerprints are replicated to them and compared per anchor with its leader, up to ``FAR_BITS``; members too far
+    from a leader have one more round among themselves. Exact copies are merged first. Rows without identifier are
+    left out; rows with equal identifiers are one document (its least text).
+    """
+    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null")
+    sketches = materialise(_sketches(source, width))
+    lone = materialise(sketches.groupBy("fp", "least").agg(F.min("doc_id").alias("id")))
+    firsts = lone.groupBy("fp").agg(F.min("id").alias("id"))
+    near = fingerprint_links(firsts, threshold, lone.count())
+    same = lone.join(firsts.withColumnRenamed("id", "b"), "fp").where("id <> b").select(F.col("id").alias("a"), "b")
+    points = lone.select(F.explode("least").alias("key"), "id", "fp")
+    far, apart = _anchored_pairs(points, FAR_BITS)
+    again, _ = _anchored_pairs(materialise(apart), FAR_BITS)
+    pairs = materialise(near.unionByName(same).unionByName(far).unionByName(again).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    roots = connected_components(_alike(pairs, source, width, similarity)).withColumnRenamed("node", "id")
+    classes = lone.join(roots, "id", "left").select("fp", "least", F.coalesce("component", "id").alias("component_id"))
+    sized = sketches.join(classes, ["fp", "least"]).select("doc_id", "component_id")
+    return sized.where("doc_id <> component_id")
+
+
 def op9_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The contract's columns over all documents: four-word shingles, four bits."""
     return simhash_components(read_documents(spark, sf_dir))
