@@ -42,6 +42,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def as_table(df: DataFrame, name: str = "step") -> tuple[DataFrame, str]:
+    """df written as a table in the shared folder and read again, and its path: for plans that join a result with itself."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def drop_table(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def read_documents(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
     """The named columns of the documents table."""
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select(*(cols or ("doc_id", "text")))

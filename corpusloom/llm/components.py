@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import materialise
+from corpusloom.llm.common import as_table, drop_table
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -13,10 +13,11 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
 
     Every step joins the links with each node's minimum, so a hub's links stay many rows
     (which adaptive execution splits) and are never gathered in one task. The steps
-    are shuffles of the link table, whose lineage is cut by a checkpoint after each round.
+    are shuffles of the link table, which is written in the shared folder after each round.
     Null ends and self-links are ignored; an empty input gives an empty result.
     """
-    now = materialise(
+    spark = edges.sparkSession
+    now, path = as_table(
         edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
         .where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col("u") > F.col("v")))
         .distinct()
@@ -33,12 +34,13 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
             large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
             .unionByName(least.select("u", F.col("m").alias("v"))).where("u > v").distinct()
         )
-        now = materialise(small)
+        last, (now, path) = path, as_table(small)
+        drop_table(spark, last)
         was, seen = seen, _digest(now)
         if was == seen:
             break
-    roots = now.groupBy("u").agg(F.min("v").alias("component")).select(F.col("u").alias("node"), "component")
-    return roots.unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+    ends = now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")))
+    return ends.groupBy("node").agg(F.min("component").alias("component"))
 
 
 def _digest(links: DataFrame) -> tuple:

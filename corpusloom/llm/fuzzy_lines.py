@@ -59,15 +59,19 @@ def band_keys(lines: DataFrame) -> DataFrame:
 def similarity(a: str, b: str) -> Column:
     """Exact Jaccard similarity of the sets of character shingles of two lines."""
 
+    def bound(value: Column, use) -> Column:
+        """use(value) with value computed once, not in every step of a lambda inside."""
+        return F.transform(F.array(value), use)[0]
+
     def shingles(line: str) -> Column:
-        wide = F.encode(line, "UTF-32")
-        return F.array_distinct(F.transform(F.sequence(F.lit(0), _shingle_count(line) - 1), lambda i: F.xxhash64(F.substring(wide, i * 4 + 1, F.lit(4 * SHINGLE)))))
+        steps = F.sequence(F.lit(0), _shingle_count(line) - 1)
+        cut = lambda wide: F.transform(steps, lambda i: F.xxhash64(F.substring(wide, i * 4 + 1, F.lit(4 * SHINGLE))))
+        return F.array_distinct(bound(F.encode(line, "UTF-32"), cut))
 
     def jaccard(s: Column) -> Column:
-        both = F.size(F.array_intersect(s["x"], s["y"]))
-        return both / (F.size(s["x"]) + F.size(s["y"]) - both)
+        return bound(F.size(F.array_intersect(s["x"], s["y"])), lambda both: both / (F.size(s["x"]) + F.size(s["y"]) - both))
 
-    return F.transform(F.array(F.struct(shingles(a).alias("x"), shingles(b).alias("y"))), jaccard)[0]
+    return bound(F.struct(shingles(a).alias("x"), shingles(b).alias("y")), jaccard)
 
 
 def verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
@@ -82,25 +86,34 @@ def verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
 
 
 def similar_lines(lines: DataFrame) -> DataFrame:
-    """Links (a, b) between the keys of similar lines: a star to a leader per band, checked exactly.
+    """(node, component) of the keys of lines that have similar lines.
 
-    In every band the line with the least key leads, and every other member is compared with it. Members unlike
-    their leader go through further rounds among themselves, each with a leader of its own choice, until none are left. A
-    hot band is a partial aggregate and a join that adaptive execution splits, never one task's group.
+    In every band the most central line leads (the one whose bands hold most lines; the original among its copies), and
+    every other member is compared with it, exactly. Members unlike their leader form smaller bands for the next round, one for each
+    component found so far, until all members of a band are connected or have been compared. A hot band is a partial
+    aggregate and a join that adaptive execution splits, never one task's group.
     """
-    rest = materialise(band_keys(lines))
-    links, turn = None, 0
+    rows = materialise(band_keys(lines))
+    sizes = rows.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
+    rest = materialise(rows.join(sizes, "band"))
+    central = rest.groupBy("key").agg((-F.sum("n")).alias("order"))
+    rest = materialise(rest.drop("n").join(central, "key"))
+    links, groups = None, None
     while True:
-        order = F.xxhash64(F.col("key"), F.lit(turn)) if turn else F.col("key")
-        leaders = rest.groupBy("band").agg(F.min_by("key", order).alias("lead") if turn else F.min("key").alias("lead"), F.count("*").alias("n")).where("n > 1").drop("n")
+        leaders = rest.groupBy("band").agg(F.min(F.struct("order", "key")).alias("lead"), F.count("*").alias("n")).where("n > 1").select("band", F.col("lead.key").alias("lead"))
         members = materialise(rest.join(leaders, "band").where("key <> lead"))
         if members.isEmpty():
-            return links if links is not None else members.select(F.col("key").alias("a"), F.col("lead").alias("b"))
+            return groups if groups is not None else members.select(F.col("key").alias("node"), F.col("lead").alias("component"))
         found = materialise(verified(members.select(F.col("key").alias("a"), F.col("lead").alias("b")).distinct(), lines))
         alike = found.where("alike").select("a", "b")
         links = alike if links is None else links.unionByName(alike)
-        failed = found.where("not alike").select(F.col("a").alias("key"), F.col("b").alias("lead"))
-        rest, turn = members.join(failed, ["key", "lead"], "left_semi").select("key", "band"), turn + 1
+        groups = materialise(connected_components(links))
+        failed = members.join(found.where("not alike").select(F.col("a").alias("key"), F.col("b").alias("lead")), ["key", "lead"], "left_semi")
+        own, its = groups.select(F.col("node").alias("key"), F.col("component").alias("own")), groups.select(F.col("node").alias("lead"), F.col("component").alias("its"))
+        apart = failed.join(own, "key", "left").join(its, "lead", "left").where("own is null or its is null or own <> its")
+        # of each component one line goes on, and not in bands where nothing is left to compare it with
+        one = apart.groupBy("band", F.coalesce("own", "key").alias("line_group")).agg(F.min(F.struct("order", "key")).alias("s"))
+        rest = materialise(one.select("band", F.col("s.key").alias("key"), F.col("s.order").alias("order")))
 
 
 def line_decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -113,7 +126,7 @@ def line_decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     lines = lines_of(source)
-    groups = connected_components(similar_lines(lines)).withColumnRenamed("node", "key")
+    groups = similar_lines(lines).withColumnRenamed("node", "key")
     places = materialise(lines.select("doc_id", "line_no", "key").join(groups, "key", "left").select("doc_id", "line_no", "key", F.coalesce("component", "key").alias("line_group")))
     first = places.groupBy("line_group").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
     kept = F.col("first").isNull() | (F.struct("doc_id", "line_no") == F.col("first"))
