@@ -65,9 +65,10 @@ def balance(matched: DataFrame) -> DataFrame:
             hits = (d[:, None] == np.arange(n)).astype(np.int64)
             before = held + np.cumsum(hits, axis=0) - hits
             lone = d < 0
-            yield pd.DataFrame({"part": part, "id": f["id"][lone].to_numpy(), "total": False, "counts": list(before[lone])})
+            if lone.any():
+                yield pd.DataFrame({"part": part, "id": f["id"][lone].to_numpy(), "total": False, "counts": before[lone].tolist()})
             held = held + hits.sum(axis=0)
-        yield pd.DataFrame({"part": [part], "id": [0], "total": [True], "counts": [held]})
+        yield pd.DataFrame({"part": [part], "id": [0], "total": [True], "counts": [held.tolist()]})
 
     rows = checkpointed(ordered.mapInPandas(local, "part int, id long, total boolean, counts array<long>"))
     ahead, offsets = np.zeros(n, np.int64), {}

@@ -35,9 +35,9 @@ class Pipeline:
     log: DataFrame | None = None
 
     def _index(self) -> dict[str, DataFrame]:
-        first = links.first_by_path(self.pages.where(F.col("path").isNotNull()), "title").orderBy("path")
-        ids = first.select("path", "title", "html").rdd.zipWithIndex().map(lambda r: (r[1] + 1, *r[0])).toDF("id long, path string, title string, html string")
-        pages = checkpointed(ids)
+        first = links.first_by_path(self.pages.where(F.col("path").isNotNull()), "title")
+        ids = first.select("path").orderBy("path").rdd.zipWithIndex().map(lambda r: (r[1] + 1, r[0][0])).toDF("id long, path string")
+        pages = checkpointed(ids.join(first.select("path", "title", "html"), "path").select("id", "path", "title", "html"))
         facts = checkpointed(html.page_features(pages, "id", "html", self.content_id))
         articles = pages.select("id", "path", "title", F.length("html").cast("long").alias("html_size")).join(facts.select("id", "text_chars", "is_disambig", "is_stub"), "id").withColumn("is_redirect", F.lit(0))
         from corpusloom.functions.text import article_links
