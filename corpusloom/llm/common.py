@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Text bytes that one vectorised step works on; bounds a Python worker's memory.
 CHUNK_BYTES = 4 << 20
@@ -93,8 +94,12 @@ def partitions_for(spark: SparkSession, n_bytes: float, each: float = 16e6, leas
 
 
 def plan_bytes(df: DataFrame) -> float:
-    """Catalyst's size estimate of df, in bytes (compressed, for a file scan)."""
-    return float(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """Catalyst's size estimate of df, in bytes (compressed, for a file scan); where Catalyst knows none, the bytes are counted."""
+    estimate = float(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if estimate < 1e16:
+        return estimate
+    wide = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema if f.dataType.simpleString() in ("string", "binary")]
+    return float(df.agg(F.sum(sum(wide, F.lit(16)))).first()[0] or 0)
 
 
 def _coefficients(n: int) -> np.ndarray:

@@ -321,7 +321,7 @@ def score_texts(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", text_
     counts = materialise(word_counts(train, text_col))
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     n_train, n_words = int(total.n), int(total.v)
-    level, kept = 63, 0
+    level, kept = 62, 0
     for row in sorted(counts.groupBy(F.floor(F.log2("n")).cast("int").alias("level")).count().collect(), key=lambda r: -r.level):
         if kept + row["count"] > BROADCAST_WORDS:
             break

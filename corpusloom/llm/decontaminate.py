@@ -17,8 +17,8 @@ from corpusloom.llm.common import chunks, index_words, ranges, read_documents, t
 SEED_WORDS = 4
 #: Items are searched in blocks of at most so many items and bytes: the bound of what is broadcast at once.
 BLOCK_ITEMS, BLOCK_BYTES = 20_000, 16 << 20
-#: A seed is rare if it is in the rarer half of its item's seeds, or in at most this share of the documents.
-RARE_SHARE = 1e-4
+#: A seed is rare in at most this share of the documents, or in at most so many times the documents of its item's median seed.
+RARE_SHARE, RARE_TIMES = 1e-4, 4
 #: Score of an equal word, a different word, a word left out; and the share of an item's full score that is contamination.
 MATCH, MISMATCH, GAP = 2, -1, -1
 LEAST_SCORE = 0.5
@@ -237,16 +237,22 @@ def contaminated(
 
 
 def rare_seeds(block: Block, found: np.ndarray, n_docs: int) -> np.ndarray:
-    """Which seeds are rare: of every item the rarer half of those that occur, so that an item in very many documents keeps seeds."""
+    """Which seeds are rare: in at most ``RARE_SHARE`` of the documents, or not far more frequent than their item's other seeds.
+
+    Of the seeds of an item that occur, the median document count is that of its copies, if it has many; seeds of common words are
+    beyond ``RARE_TIMES`` the median. So an item in very many documents, some of them edited, keeps its seeds.
+    """
     rare = found <= RARE_SHARE * n_docs
-    seed_of = np.repeat(np.arange(len(block.seeds)), np.diff(block.first))
-    order = np.lexsort((found[seed_of], block.item))
-    item, seed = block.item[order], seed_of[order]
+    seed = np.repeat(np.arange(len(block.seeds)), np.diff(block.first))
     occurs = found[seed] > 0
-    item, seed = item[occurs], seed[occurs]
+    seed, item = seed[occurs], block.item[occurs]
+    order = np.lexsort((found[seed], item))
+    seed, item = seed[order], item[order]
     size = np.bincount(item, minlength=len(block.items))
-    nth = np.arange(len(item)) - np.repeat(np.cumsum(size) - size, size)
-    rare[seed[nth < (size[item] + 1) // 2]] = True
+    start = np.cumsum(size) - size
+    median = np.zeros(len(block.items), np.int64)
+    median[size > 0] = found[seed[(start + (size - 1) // 2)[size > 0]]]
+    rare[seed[found[seed] <= RARE_TIMES * median[item]]] = True
     return rare
 
 

@@ -199,7 +199,7 @@ def fingerprint_links(fps: DataFrame, threshold: int, n: int) -> DataFrame:
             yield settle(*held)
 
     parts = partitions_for(fps.sparkSession, n * 45 * 24, 24e6)
-    dealt = fps.mapInArrow(replicate, "anchor long, id long, fp long").repartition(parts, "anchor").sortWithinPartitions("anchor")
+    dealt = fps.select("id", "fp").mapInArrow(replicate, "anchor long, id long, fp long").repartition(parts, "anchor").sortWithinPartitions("anchor")
     return dealt.mapInArrow(compare, "a long, b long").distinct()
 
 
@@ -214,7 +214,7 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     prints = materialise(with_fingerprints(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), width))
     firsts = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("id")))
     known = firsts.where("id is not null")
-    links = fingerprint_links(known.select("id", "fp"), threshold, known.count())
+    links = fingerprint_links(known, threshold, known.count())
     roots = connected_components(links)
     classes = firsts.join(roots, firsts.id == roots.node, "left").select("fp", F.coalesce("component", "id").alias("component_id"))
     return prints.join(classes, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
