@@ -328,6 +328,7 @@ def score_texts(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", text_
         level, kept = row.level, kept + row["count"]
     common = counts.where(F.col("n") >= F.lit(1 << level)).toArrow() if kept else None
     keys, values = (common.column(k).to_numpy() for k in ("word", "n")) if kept else (np.zeros(0, np.int64),) * 2
+    end = int(counts.where(F.col("word") == F.lit(END)).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
     order = np.argsort(keys)
     model = train_model(train, id_col, text_col)
     held = spark.sparkContext.broadcast((keys[order], values[order], model))
@@ -336,8 +337,7 @@ def score_texts(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", text_
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, values, model = held.value
         own = MixingModel(model.odds.astype(np.float32), model.weights)  # half precision only travels
-        logs, ends = np.log10(values + 1.0), np.searchsorted(keys, END)
-        end = int(values[ends]) if ends < len(keys) and keys[ends] == END else 0
+        logs = np.log10(values + 1.0)
         for batch in batches:
             texts = text_bytes(batch.column(1))
             for s in chunks(texts):
