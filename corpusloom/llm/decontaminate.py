@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import chunks, index_words, ranges, read_documents, text_bytes
+from corpusloom.llm.common import chunks, index_words, ranges, read_documents, release_memory, text_bytes
 
 #: Words per seed; shorter items are not searched (nothing tells a copy from chance).
 SEED_WORDS = 4
@@ -231,6 +231,7 @@ def contaminated(
                     if rows:
                         kinds = (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.int64())
                         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+            release_memory()
 
         out = out.unionByName(source.mapInArrow(search, schema))
     return out.distinct()

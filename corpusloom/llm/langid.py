@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import chunks, read_documents, text_bytes
+from corpusloom.llm.common import CHUNK_BYTES, chunks, read_documents, release_memory, text_bytes
 
 ORDER = 5
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -21,7 +21,7 @@ PRIME = np.uint64(0x9E3779B97F4A7C15)
 #: Documents per language in the training sample, and their longest length in characters.
 SAMPLE_DOCS, SAMPLE_CHARS = 400, 20_000
 #: Words whose scores a worker keeps between chunks.
-KEEP_WORDS = 300_000
+KEEP_WORDS = 100_000
 
 
 def _mix(h: np.ndarray, symbols: np.ndarray) -> np.ndarray:
@@ -267,13 +267,15 @@ def predict_language(docs: DataFrame, model: KneserNeyModels, id_col: str = "doc
         seen: dict = {}
         for batch in batches:
             texts = text_bytes(batch.column(place))
-            for s in chunks(texts):
+            for s in chunks(texts, CHUNK_BYTES // 2):
                 lang, score, rejected, least = held.value.predict([t.decode("utf-8", "replace") for t in texts[s]], seen)
                 own = [batch.column(k).slice(s.start, s.stop - s.start) for k in range(len(cols))]
                 yield pa.RecordBatch.from_arrays(
                     [*own, pa.array(lang, pa.string()), pa.array(score), pa.array(rejected), pa.array(least)],
                     [*cols, "lang_pred", "score", "rejected", "cross_entropy"],
                 )
+        seen.clear()
+        release_memory()
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[: len(cols)])
     return source.mapInArrow(run, f"{kinds}, lang_pred string, score double, rejected boolean, cross_entropy double")

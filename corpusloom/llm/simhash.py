@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import chunks, materialise, partitions_for, ranges, read_documents, text_bytes
+from corpusloom.llm.common import chunks, materialise, partitions_for, ranges, read_documents, release_memory, text_bytes
 from corpusloom.llm.components import connected_components
 
 SEED = 42
@@ -240,6 +240,7 @@ def _sketches(docs: DataFrame, width: int) -> DataFrame:
                 least = [np.array(x, np.uint64).view(np.int64) for x in least]
                 ids = batch.column(0).slice(s.start, s.stop - s.start)
                 yield pa.RecordBatch.from_arrays([ids, pa.array(fp.view(np.int64)), pa.array(least, pa.list_(pa.int64()))], ["doc_id", "fp", "least"])
+        release_memory()
 
     return docs.mapInArrow(run, "doc_id long, fp long, least array<long>")
 
@@ -269,6 +270,7 @@ def _alike(pairs: DataFrame, docs: DataFrame, width: int, similarity: float) ->
                 both = len(x & y)
                 keep.append(both >= similarity * max(1, len(x) + len(y) - both) or (not x and not y))
             yield batch.filter(pa.array(keep, pa.bool_())).select([0, 1])
+        release_memory()
 
     ids = materialise(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct())
     wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import CHUNK_BYTES, chunks, index_words, partitions_for, plan_bytes, ranges, read_documents, scratch_path, text_bytes
+from corpusloom.llm.common import CHUNK_BYTES, chunks, index_words, partitions_for, plan_bytes, ranges, read_documents, release_memory, scratch_path, text_bytes
 
 MAGIC = b"CLSST001"
 FOOTER = struct.Struct("<QQQQQQ8s")
@@ -199,7 +199,7 @@ class WordCachedEncoder:
 
     PUNCTUATION = b".,!?:;"
 
-    def __init__(self, path: str, limit: int = 800_000):
+    def __init__(self, path: str, limit: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -288,6 +288,7 @@ def write_token_shards(
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         encoder = encoder_for(where)
         end, shard, part = encoder._pack([end_id]), TaskContext.get().partitionId(), 0
         table, ids, tokens = SSTableWriter(), [], 0
@@ -311,6 +312,7 @@ def write_token_shards(
                         table, ids, tokens, part = SSTableWriter(), [], 0, part + 1
         if ids:
             yield cut()
+        release_memory()
 
     parts = partitions_for(spark, plan_bytes(rows), 16e6)
     dealt = rows.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
