@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import random
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import as_table, materialise, read_documents
@@ -17,8 +17,8 @@ BANDS, ROWS = 8, 4
 SIMILARITY = 0.8
 #: Signatures of lines with at least this many shingles use the quarter of them whose hash ends in two zero bits.
 SPARSE_FROM = 128
-#: Lines of a band that are compared in full after the first round.
-SMALL_BAND = 32
+#: Leaders of a band in the second round.
+LEADERS = 32
 #: Shingle positions that one array holds.
 PIECE = 4096
 #: Candidate lines (8 bytes each) that may be broadcast to fetch their texts; more are joined by a shuffle.
@@ -91,8 +91,8 @@ def similar_lines(lines: DataFrame) -> DataFrame:
     """(node, component) of the keys of lines that have similar lines.
 
     In every band the most central line leads (the one whose bands hold most lines; the original among its copies), and
-    every other member is compared with it, exactly. Members unlike their leader form smaller bands for the next round, one for each
-    component found so far: a band of at most ``SMALL_BAND`` is then compared in full, a larger one gets a new leader. A hot band is a partial
+    every other member is compared with it, exactly. Members unlike their leader stay in the band, one for each component
+    found so far, and are compared with ``LEADERS`` leaders, then with four times as many, until every band is done. A hot band is a partial
     aggregate and a join that adaptive execution splits, never one task's group.
     """
     rows = materialise(band_keys(lines))
@@ -100,31 +100,32 @@ def similar_lines(lines: DataFrame) -> DataFrame:
     rest = materialise(rows.join(sizes, "band"))
     central = rest.groupBy("key").agg((-F.sum("n")).alias("order"))
     rest = materialise(rest.drop("n").join(central, "key"))
-    links, groups, small = None, None, None
+    counts = rest.groupBy("band").agg(F.min(F.struct("order", "key")).alias("lead"), F.count("*").alias("n")).where("n > 1")
+    members = materialise(rest.join(counts.select("band", F.col("lead.key").alias("lead")), "band").where("key <> lead"))
+    found = materialise(verified(members.select(F.col("key").alias("a"), F.col("lead").alias("b")).distinct(), lines))
+    links = found.where("alike").select("a", "b")
+    groups, _ = as_table(connected_components(links), "line-groups")
+    failed = found.where("not alike").select(F.col("a").alias("key"), F.col("b").alias("lead"))
+    its = groups.select(F.col("node").alias("lead"), F.col("component").alias("its"))
+    left = members.join(failed, ["key", "lead"], "left_semi").join(its, "lead", "left")
+    width = LEADERS
     while True:
-        counts = rest.groupBy("band").agg(F.min(F.struct("order", "key")).alias("lead"), F.count("*").alias("n")).where("n > 1")
-        if groups is not None:  # what is left of a band after the first round is compared in full where it is small
-            few = rest.join(counts.where(F.col("n") <= SMALL_BAND).select("band"), "band", "left_semi").select("band", "key")
-            small = few.join(few.withColumnRenamed("key", "lead"), "band").where("key > lead").select(F.col("key").alias("a"), F.col("lead").alias("b")).distinct()
-            counts = counts.where(F.col("n") > SMALL_BAND)
-        members = materialise(rest.join(counts.select("band", F.col("lead.key").alias("lead")), "band").where("key <> lead"))
-        pairs = members.select(F.col("key").alias("a"), F.col("lead").alias("b")).distinct()
-        pairs = materialise(pairs if small is None else pairs.unionByName(small).distinct())
-        if pairs.isEmpty():
-            return groups if groups is not None else pairs.select(F.col("a").alias("node"), F.col("b").alias("component"))
-        found = materialise(verified(pairs, lines))
-        alike = found.where("alike").select("a", "b")
-        if groups is None or not alike.isEmpty():
-            links = alike if links is None else links.unionByName(alike)
-            groups, _ = as_table(connected_components(links), "line-groups")
-        failed = members.join(found.where("not alike").select(F.col("a").alias("key"), F.col("b").alias("lead")), ["key", "lead"], "left_semi")
-        own, its = groups.select(F.col("node").alias("key"), F.col("component").alias("own")), groups.select(F.col("node").alias("lead"), F.col("component").alias("its"))
-        apart = failed.join(own, "key", "left").join(its, "lead", "left").where("own is null or its is null or own <> its")
-        # of each component one line goes on
+        # of each component one line goes on in a band, and none where the band's leader is in its component
+        own = groups.select(F.col("node").alias("key"), F.col("component").alias("own"))
+        apart = left.join(own, "key", "left").where("own is null or its is null or own <> its")
         one = apart.groupBy("band", F.coalesce("own", "key").alias("line_group")).agg(F.min(F.struct("order", "key")).alias("s"))
-        rest, _ = as_table(one.select("band", F.col("s.key").alias("key"), F.col("s.order").alias("order")), "line-bands")
-        if rest.isEmpty():
+        rank = F.row_number().over(Window.partitionBy("band").orderBy("s"))
+        ranked, _ = as_table(one.select("band", F.col("s.key").alias("key"), F.col("s.order").alias("order"), rank.alias("rank")), "line-bands")
+        leaders = ranked.where(F.col("rank") <= width).select("band", F.col("key").alias("lead"), F.col("rank").alias("lead_rank"))
+        pairs = materialise(ranked.join(leaders, "band").where("lead_rank < rank").select(F.greatest("key", "lead").alias("a"), F.least("key", "lead").alias("b")).distinct())
+        if pairs.isEmpty():
             return groups
+        alike = materialise(verified(pairs, lines)).where("alike").select("a", "b")
+        if not alike.isEmpty():
+            links = links.unionByName(alike)
+            groups, _ = as_table(connected_components(links), "line-groups")
+        left = ranked.where(F.col("rank") > width).select("band", "key", "order", F.lit(None).cast("long").alias("its"))
+        width *= 4
 
 
 def line_decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
