@@ -12,6 +12,7 @@ from corpusloom.config import RepairConfig, ScoreConfig
 from corpusloom.functions import text
 from corpusloom.operators import classify, gates, links, package, repair, score, select, validate
 from corpusloom.operators.html import normalised_pages, page_features
+from corpusloom.operators.state import checkpointed
 from corpusloom.plans import bridge
 from corpusloom.plans.bridge import sql
 
@@ -38,9 +39,14 @@ class Curation:
     def edges(self) -> DataFrame:
         return links.resolve_links(self.links, self.articles)
 
+    @cached_property
+    def kept_edges(self) -> DataFrame:
+        """Edges written once, for queries that read them several times."""
+        return checkpointed(self.edges)
+
     @cached_property
     def gated(self) -> DataFrame:
-        return gates.gate(links.with_degrees(self.articles, self.edges))
+        return gates.gate(links.with_degrees(self.articles, self.kept_edges))
 
     @cached_property
     def passing(self) -> DataFrame:
@@ -56,16 +62,14 @@ class Curation:
 
     @cached_property
     def domains(self) -> DataFrame:
-        return classify.balance(self.matched)
+        return checkpointed(classify.balance(self.matched))  # read three times by the scores
 
     @cached_property
     def signals(self) -> DataFrame:
-        return score.signals(self.passing, self.domains, self.edges, self.categories, self.scores, ScoreConfig(), bridge.LONGEVITY, bridge.RECENCY)
+        return score.signals(self.passing, self.domains, self.kept_edges, self.categories, self.scores, ScoreConfig(), bridge.LONGEVITY, bridge.RECENCY)
 
     @cached_property
     def scored(self) -> DataFrame:
-        from corpusloom.operators.state import checkpointed
-
         return checkpointed(self.signals)
 
     @cached_property
@@ -81,7 +85,7 @@ class Curation:
         return self.articles.select("id").join(self.scored.select("id", "domain", "kss"), "id", "left").withColumn("stage1_pass", F.col("kss").isNotNull().cast("int"))
 
     def repaired(self) -> repair.RepairResult:
-        return repair.repair(self.selected, self.edges, self.attrs, self.quotas, RepairConfig(min_pull_kss=bridge.MIN_PULL))
+        return repair.repair(self.selected, self.kept_edges, self.attrs, self.quotas, RepairConfig(min_pull_kss=bridge.MIN_PULL))
 
 
 def _nine(c: str):
@@ -128,7 +132,7 @@ query("domain_argmax", "SELECT id, matched_domain FROM matched WHERE match_kind
 query("title_fallback", "SELECT id, matched_domain FROM matched WHERE match_kind = 'title'", "matched")(lambda c: c.matched.where("match_kind = 'title'").select("id", "matched_domain"))
 query("balanced_fallback", "SELECT id, domain, match_kind FROM domains", "domains")(lambda c: c.domains)
 query("domain_histogram", "SELECT domain, count(*) AS n FROM domains GROUP BY 1", "domains")(lambda c: classify.domain_histogram(c.domains))
-query("cross_domain_fraction", "SELECT id, round(cross_domain, 9) AS cross_domain FROM crossing", "crossing")(lambda c: score.cross_domain_fractions(c.edges, c.domains).select("id", _nine("cross_domain")))
+query("cross_domain_fraction", "SELECT id, round(cross_domain, 9) AS cross_domain FROM crossing", "crossing")(lambda c: score.cross_domain_fractions(c.kept_edges, c.domains).select("id", _nine("cross_domain")))
 query("length_signal", "SELECT id, round(length_score, 9) AS length_score FROM signals", "signals")(lambda c: c.signals.select("id", _nine("length_score")))
 query("lognorm_signal", "SELECT id, round(log_inbound, 9) AS log_inbound FROM signals", "signals")(lambda c: c.signals.select("id", _nine("log_inbound")))
 query("coverage_signal", "SELECT id, round(category_coverage, 9) AS category_coverage FROM signals", "signals")(lambda c: c.signals.select("id", _nine("category_coverage")))
@@ -139,14 +143,14 @@ query("kss_stats", "SELECT count(kss) AS n, round(avg(kss), 9) AS mean_kss FROM
 query("quota_topk", "SELECT id, domain, round(kss, 9) AS kss, rank FROM selected", "selected")(lambda c: c.selected.select("id", "domain", _nine("kss"), F.col("rank").cast("long").alias("rank")))
 query("selection_counts", "SELECT domain, count(*) AS n FROM selected GROUP BY 1", "selected")(lambda c: select.selection_counts(c.selected))
 query("missing_link_rank", "SELECT source_id, target_id, rank FROM missing", "missing")(
-    lambda c: repair.missing_links(c.selected, c.edges, c.attrs, 8).select("source_id", "target_id", F.col("rank").cast("long").alias("rank"))
+    lambda c: repair.missing_links(c.selected, c.kept_edges, c.attrs, 8).select("source_id", "target_id", F.col("rank").cast("long").alias("rank"))
 )
 
 
 @query("repair_round1", "SELECT id, domain, anchor FROM round1", "round1")
 def repair_round1(c: Curation) -> DataFrame:
     one = RepairConfig(min_pull_kss=bridge.MIN_PULL, max_iterations=1)
-    return repair.repair(c.selected, c.edges, c.attrs, c.quotas, one).selection.select("id", "domain", "anchor")
+    return repair.repair(c.selected, c.kept_edges, c.attrs, c.quotas, one).selection.select("id", "domain", "anchor")
 
 
 query("repair_fixpoint")(lambda c: c.repaired().selection.select("id", "domain", "anchor"))
@@ -154,8 +158,8 @@ query("induced_subgraph", "SELECT source_id, target_id FROM inner_edges", "inner
 query("adjacency_lists", "SELECT s.id, (SELECT count(*) FROM inner_edges e WHERE e.source_id = s.id) AS n_out, (SELECT count(*) FROM inner_edges e WHERE e.target_id = s.id) AS n_in FROM selected s", "inner_edges")(
     lambda c: links.adjacency(c.edges, c.selected).select("id", F.size("outbound").cast("long").alias("n_out"), F.size("inbound").cast("long").alias("n_in"))
 )
-query("inbound_orphans", "SELECT id FROM selected WHERE id NOT IN (SELECT target_id FROM inner_edges)", "inner_edges")(lambda c: validate.inbound_orphans(c.selected, c.edges))
-query("outbound_orphans", "SELECT id FROM selected WHERE id NOT IN (SELECT source_id FROM inner_edges)", "inner_edges")(lambda c: validate.outbound_orphans(c.selected, c.edges))
+query("inbound_orphans", "SELECT id FROM selected WHERE id NOT IN (SELECT target_id FROM inner_edges)", "inner_edges")(lambda c: validate.inbound_orphans(c.selected, c.kept_edges))
+query("outbound_orphans", "SELECT id FROM selected WHERE id NOT IN (SELECT source_id FROM inner_edges)", "inner_edges")(lambda c: validate.outbound_orphans(c.selected, c.kept_edges))
 query("quota_compliance", """SELECT q.domain, q.quota, count(s.id) AS n, CAST(count(s.id) >= q.quota * (1 - 0.05) AND count(s.id) <= q.quota * (1 + 0.05) AS INT) AS ok
 FROM quotas q LEFT JOIN selected s ON s.domain = q.domain GROUP BY 1, 2""", "selected")(lambda c: validate.quota_compliance(c.selected, c.quotas, 0.05))
 
@@ -165,7 +169,7 @@ for _k in range(1, WALK_STEPS):
     _steps.append(f"m{_k} AS (SELECT e.target_id AS id, sum(m.mass / d.degree) AS mass FROM m{_k - 1} m JOIN inner_edges e ON e.source_id = m.id JOIN degree d ON d.source_id = m.id GROUP BY 1)")
 _WALK = sql("", "inner_edges").rstrip() + ",\ndegree AS (SELECT source_id, count(*) AS degree FROM inner_edges GROUP BY 1),\n" + ",\n".join(_steps) + "\nSELECT round(" + " + ".join(
     f"coalesce((SELECT sum(mass) FROM m{k} WHERE id NOT IN (SELECT source_id FROM degree)), 0)" for k in range(WALK_STEPS)) + ", 9) AS dead_end_rate"
-query("walk_dead_end_mass", _WALK)(lambda c: validate.walk_dead_end_mass(c.selected, c.edges, WALK_STEPS).select(_nine("dead_end_rate")))
+query("walk_dead_end_mass", _WALK)(lambda c: validate.walk_dead_end_mass(c.selected, c.kept_edges, WALK_STEPS).select(_nine("dead_end_rate")))
 
 _SKIP = " OR ".join(f"starts_with(h, '{p}')" for p in text.SKIP_LINK_PREFIXES)
 query("href_filter", f"""SELECT page_id, count(DISTINCT target) AS n, coalesce(string_agg(DISTINCT target, ' ' ORDER BY target), '') AS targets
