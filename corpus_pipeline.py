@@ -46,7 +46,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mixed documents as token identifiers in shard images, read back: doc_id, start, n_tokens, ids_crc32 per row of docs."""
-    return read_token_shards(write_token_shards(docs, scratch_path(spark, "pipeline-shards")))
+    # the workers also hold what earlier stages left: a smaller word cache than a run of this operator alone would take
+    return read_token_shards(write_token_shards(docs, scratch_path(spark, "pipeline-shards"), cache_words=150_000))
 
 
 STAGES = [

@@ -260,10 +260,14 @@ class WordCachedEncoder:
         return out
 
 
+#: Words that a worker keeps; about 250 bytes each.
+CACHE_WORDS = 600_000
+
+
 @lru_cache(2)
-def encoder_for(path: str) -> WordCachedEncoder:
+def encoder_for(path: str, limit: int = CACHE_WORDS) -> WordCachedEncoder:
     """One encoder per Python worker: tasks that run in the same worker share its cache."""
-    return WordCachedEncoder(path)
+    return WordCachedEncoder(path, limit)
 
 
 def default_tokenizer() -> str:
@@ -273,7 +277,8 @@ def default_tokenizer() -> str:
 
 
 def write_token_shards(
-    docs: DataFrame, path: str, tokenizer: str | None = None, id_col: str = "doc_id", text_col: str = "text", end_id: int = 1
+    docs: DataFrame, path: str, tokenizer: str | None = None, id_col: str = "doc_id", text_col: str = "text", end_id: int = 1,
+    cache_words: int = CACHE_WORDS,
 ) -> DataFrame:
     """Write shard images below ``path`` and return their table, read back.
 
@@ -289,7 +294,7 @@ def write_token_shards(
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release_memory()
-        encoder = encoder_for(where)
+        encoder = encoder_for(where, cache_words)
         end, shard, part = encoder._pack([end_id]), TaskContext.get().partitionId(), 0
         table, ids, tokens = SSTableWriter(), [], 0
         names = ["shard", "part", "first_id", "last_id", "n_docs", "n_tokens", "image"]
