@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import chunks, materialise, partitions_for, ranges, read_documents, release_memory, text_bytes
+from corpusloom.llm.common import as_table, chunks, materialise, partitions_for, ranges, read_documents, release_memory, text_bytes
 from corpusloom.llm.components import connected_components
 
 SEED = 42
@@ -203,6 +203,66 @@ def fingerprint_links(fps: DataFrame, threshold: int, n: int) -> DataFrame:
     return dealt.mapInArrow(compare, "a long, b long").distinct()
 
 
+def fingerprint_pairs(fps: DataFrame, threshold: int, n: int) -> DataFrame:
+    """All pairs (fp_a, fp_b) within ``threshold`` bits, a fingerprint with itself included, but those with all documents in one component.
+
+    fps has (fp, lo, hi), each fingerprint once with the least and the greatest component of its documents.
+    """
+    cover = Covering(threshold, 2 if n > WIDE_ABOVE else 3)
+
+    def replicate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 10_000):
+                part = batch.slice(start, 10_000)
+                fp, lo, hi = (part.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(3))
+                for rows, keys in cover.anchors(fp.view(np.uint64)):
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (keys, fp[rows], lo[rows], hi[rows])], ["anchor", "fp", "lo", "hi"])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.zeros(0, np.int64)] * 4
+
+        def settle(key, fp, lo, hi) -> pa.RecordBatch:
+            starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+            sizes = np.diff(np.append(starts, len(key)))
+            bits, found_i, found_j = fp.view(np.uint64), [], []
+
+            def keep(i: np.ndarray, j: np.ndarray) -> None:
+                hit = (np.minimum(lo[i], lo[j]) != np.maximum(hi[i], hi[j])) & (np.bitwise_count(bits[i] ^ bits[j]) <= threshold)
+                found_i.append(fp[i[hit]])
+                found_j.append(fp[j[hit]])
+
+            small = sizes <= SMALL
+            at = ranges(starts[small], sizes[small])
+            end = np.repeat(starts[small] + sizes[small], sizes[small])
+            for lag in range(1, int(sizes[small].max(initial=1))):
+                live = at + lag < end
+                at, end = at[live], end[live]
+                keep(at, at + lag)
+            for s, m in zip(starts[~small].tolist(), sizes[~small].tolist()):
+                for row in range(s, s + m, 256):
+                    rows = np.arange(row, min(row + 256, s + m))
+                    i, j = np.nonzero(np.bitwise_count(bits[rows][:, None] ^ bits[None, row : s + m]) <= threshold)
+                    i, j = rows[i], j + row
+                    keep(i[i < j], j[i < j])
+            i, j = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (found_i, found_j))
+            pair = np.unique(np.stack((i, j), axis=1), axis=0)
+            return pa.RecordBatch.from_arrays([pa.array(pair[:, 0]), pa.array(pair[:, 1])], ["fp_a", "fp_b"])
+
+        for batch in batches:
+            held = [np.concatenate((x, batch.column(k).to_numpy(zero_copy_only=False))) for k, x in enumerate(held)]
+            if len(held[0]) and held[0][0] != held[0][-1]:
+                cut = int(np.searchsorted(held[0], held[0][-1], "left"))  # the last group may go on in the next batch
+                yield settle(*(x[:cut] for x in held))
+                held = [x[cut:] for x in held]
+        if len(held[0]):
+            yield settle(*held)
+
+    parts = partitions_for(fps.sparkSession, n * 45 * 32, 24e6)
+    dealt = fps.select("fp", "lo", "hi").mapInArrow(replicate, "anchor long, fp long, lo long, hi long").repartition(parts, "anchor").sortWithinPartitions("anchor")
+    itself = fps.where("lo <> hi").select(F.col("fp").alias("fp_a"), F.col("fp").alias("fp_b"))
+    return dealt.mapInArrow(compare, "fp_a long, fp_b long").select(F.greatest("fp_a", "fp_b").alias("fp_a"), F.least("fp_a", "fp_b").alias("fp_b")).distinct().unionByName(itself)
+
+
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, threshold: int = 4) -> DataFrame:
     """Return (doc_id, fingerprint, component_id) for every row of docs.
 
@@ -224,6 +284,8 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 LEAST_HASHES = 8
 #: Fingerprints of documents of similarity 0.8 differ in 10 bits on average, with a deviation of 3; unrelated ones in 32.
 FAR_BITS = 20
+#: Members of an anchor in one block of the far search.
+BLOCK = 2048
 #: Documents whose texts are fetched through a broadcast of their ids (8 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
 
@@ -245,17 +307,93 @@ def _sketches(docs: DataFrame, width: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, fp long, least array<long>")
 
 
-def _anchored_pairs(points: DataFrame, bits: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs (a, b) of (key, id, fp) members with the leader of their key, within ``bits`` of it; and the members that are not.
+def _with_leaders(points: DataFrame) -> DataFrame:
+    """(key, id, fp, b, fp_b): members of (key, id, fp, order) with the leader of their key, the member of least ``order``.
 
-    The leader is the least id of a key, found by a partial aggregate; members meet it in a join that adaptive execution splits.
+    The leader is found by a partial aggregate; members meet it in a join that adaptive execution splits.
     """
-    leaders = points.groupBy("key").agg(F.min("id").alias("b"), F.count("*").alias("n")).where("n > 1").select("key", "b")
-    prints = points.select("key", F.col("id").alias("b"), F.col("fp").alias("fp_b"))
-    leaders = leaders.join(prints, ["key", "b"])
-    members = points.join(leaders, "key").where("id <> b")
-    near = F.bit_count(F.col("fp").bitwiseXOR(F.col("fp_b"))) <= bits
-    return members.where(near).select(F.col("id").alias("a"), "b"), members.where(~near).select("key", "id", "fp")
+    leaders = points.groupBy("key").agg(F.min(F.struct("order", F.col("id").alias("b"), F.col("fp").alias("fp_b"))).alias("lead"), F.count("*").alias("n"))
+    members = points.join(leaders.where("n > 1").select("key", "lead.b", "lead.fp_b"), "key")
+    return members.where("id <> b")
+
+
+def _near(bits: int):
+    return F.bit_count(F.col("fp").bitwiseXOR(F.col("fp_b"))) <= bits
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+
+
+def _apart(groups: DataFrame) -> DataFrame:
+    """The rows of (key, own, ...) whose key has several components."""
+    several = groups.groupBy("key").agg(F.min("own").alias("lo"), F.max("own").alias("hi"), F.count("*").alias("n")).where("lo <> hi")
+    return groups.join(several.select("key", "n"), "key")
+
+
+def _block_pairs(points: DataFrame, bits: int) -> DataFrame:
+    """All pairs (a, b) within ``bits`` of members of one key that are in different components; points has (key, id, fp, own).
+
+    A key's members are dealt into blocks of about ``BLOCK``, and every two blocks are one group: no group grows with its key.
+    """
+    apart = _apart(points).withColumn("blocks", F.ceil(F.col("n") / F.lit(BLOCK)).cast("int"))
+    salted = apart.withColumn("block", F.pmod(F.xxhash64("id", F.lit(7)), F.col("blocks")).cast("int"))
+    dealt = salted.select("key", "id", "fp", "own", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    cells = dealt.select(F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("cell"), "key", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "block", "id", "fp", "own")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+
+        def settle(part: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            key, p, q, block, ids, fp, own = part
+            fp = fp.view(np.uint64)
+            new = (key[1:] != key[:-1]) | (p[1:] != p[:-1]) | (q[1:] != q[:-1])
+            starts = np.flatnonzero(np.concatenate(([True], new)))
+            sizes = np.diff(np.append(starts, len(key)))
+            found_i, found_j = [], []
+            small = sizes <= SMALL
+            at = ranges(starts[small], sizes[small])
+            end = np.repeat(starts[small] + sizes[small], sizes[small])
+            for lag in range(1, int(sizes[small].max(initial=1))):
+                live = at + lag < end
+                at, end = at[live], end[live]
+                x, y = at, at + lag
+                hit = (own[x] != own[y]) & ((p[x] == q[x]) | (block[x] != block[y])) & (np.bitwise_count(fp[x] ^ fp[y]) <= bits)
+                found_i.append(x[hit])
+                found_j.append(y[hit])
+            for s, n in zip(starts[~small].tolist(), sizes[~small].tolist()):
+                cell = slice(s, s + n)
+                left, right = (np.flatnonzero(block[cell] == side) + s for side in (p[s], q[s]))
+                for lo in range(0, len(left), 256):
+                    rows = left[lo : lo + 256]
+                    i, j = np.nonzero((np.bitwise_count(fp[rows][:, None] ^ fp[right][None, :]) <= bits) & (own[rows][:, None] != own[right][None, :]))
+                    found_i.append(rows[i])
+                    found_j.append(right[j])
+                    if sum(map(len, found_i)) > 1_000_000:
+                        yield out(ids, found_i, found_j)
+            yield out(ids, found_i, found_j)
+
+        def out(ids, found_i, found_j) -> pa.RecordBatch:
+            i, j = (ids[np.concatenate(x)] if x else np.zeros(0, np.int64) for x in (found_i, found_j))
+            found_i.clear()
+            found_j.clear()
+            pair = np.unique(np.stack((np.maximum(i, j), np.minimum(i, j)), axis=1), axis=0)
+            return pa.RecordBatch.from_arrays([pa.array(pair[:, 0]), pa.array(pair[:, 1])], ["a", "b"])
+
+        for batch in batches:
+            part = [batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(7)]
+            held = part if held is None else [np.concatenate((x, y)) for x, y in zip(held, part)]
+            if len(held[0]):
+                key, p, q = held[:3]
+                cut = int(np.argmax((key == key[-1]) & (p == p[-1]) & (q == q[-1])))  # the last group may go on in the next batch
+                if cut:
+                    yield from settle([x[:cut] for x in held])
+                    held = [x[cut:] for x in held]
+        if held is not None and len(held[0]):
+            yield from settle(held)
+
+    spread = cells.repartition(partitions_for(points.sparkSession, 0), "cell").sortWithinPartitions("key", "p", "q").select("key", "p", "q", "block", "id", "fp", "own")
+    return spread.mapInArrow(compare, "a long, b long").distinct()
 
 
 def _alike(pairs: DataFrame, docs: DataFrame, width: int, similarity: float) -> DataFrame:
@@ -286,21 +424,38 @@ def near_duplicates(
 
     Pairs are proposed by fingerprints and checked on whole texts. Within ``threshold`` bits the covering code finds all pairs. Documents of similarity
     0.8 are further apart than any covering code of 64 bits can reach cheaply, so the anchors of the far search are the documents' least shingle
-    hashes: fingerprints are replicated to them and compared per anchor with its leader, up to ``FAR_BITS``; members too far
-    from a leader have one more round among themselves. Exact copies are merged first. Rows without identifier are
+    hashes: fingerprints are replicated to them and compared per anchor, up to ``FAR_BITS``. The most central member of an anchor meets
+    all others first; then every pair of an anchor, and of the covering code, that is in different components yet is checked itself, so that a rejected
+    pair never stands for another. Exact copies are merged first. Rows without identifier are
     left out; rows with equal identifiers are one document (its least text).
     """
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null")
     sketches = materialise(_sketches(source, width))
     lone = materialise(sketches.groupBy("fp", "least").agg(F.min("doc_id").alias("id")))
-    firsts = lone.groupBy("fp").agg(F.min("id").alias("id"))
-    near = fingerprint_links(firsts, threshold, lone.count())
-    same = lone.join(firsts.withColumnRenamed("id", "b"), "fp").where("id <> b").select(F.col("id").alias("a"), "b")
     points = lone.select(F.explode("least").alias("key"), "id", "fp")
-    far, apart = _anchored_pairs(points, FAR_BITS)
-    again, _ = _anchored_pairs(materialise(apart), FAR_BITS)
-    pairs = materialise(near.unionByName(same).unionByName(far).unionByName(again).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    roots = connected_components(_alike(pairs, source, width, similarity)).withColumnRenamed("node", "id")
+    sizes = points.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    points = points.join(sizes, "key")
+    points = materialise(points.join(points.groupBy("id").agg((-F.sum("n")).alias("order")), "id").drop("n"))
+
+    tested = materialise(_ordered(_with_leaders(points).where(_near(FAR_BITS)).select(F.col("id").alias("a"), "b")))
+    links = materialise(_alike(tested, source, width, similarity))
+    roots, _ = as_table(connected_components(links).withColumnRenamed("node", "id"), "near-roots")
+
+    def own(frame: DataFrame) -> DataFrame:
+        return frame.join(roots, "id", "left").withColumn("own", F.coalesce("component", "id")).drop("component")
+
+    more = materialise(_block_pairs(own(points).select("key", "id", "fp", "own"), FAR_BITS).join(tested, ["a", "b"], "left_anti"))
+    tested, links = tested.unionByName(more), links.unionByName(materialise(_alike(more, source, width, similarity)))
+    roots, _ = as_table(connected_components(links).withColumnRenamed("node", "id"), "near-roots")
+
+    held = materialise(own(lone.select("id", "fp")))
+    firsts = held.groupBy("fp").agg(F.min("own").alias("lo"), F.max("own").alias("hi"))
+    near = fingerprint_pairs(firsts, threshold, lone.count())
+    left, right = (held.select(F.col("fp").alias(f"fp_{x}"), F.col("id").alias(x), F.col("own").alias(f"own_{x}")) for x in "ab")
+    close = _ordered(near.join(left, "fp_a").join(right, "fp_b").where("own_a <> own_b"))
+    close = materialise(close.join(tested, ["a", "b"], "left_anti"))
+    links = links.unionByName(_alike(close, source, width, similarity))
+    roots = connected_components(links).withColumnRenamed("node", "id")
     classes = lone.join(roots, "id", "left").select("fp", "least", F.coalesce("component", "id").alias("component_id"))
     sized = sketches.join(classes, ["fp", "least"]).select("doc_id", "component_id")
     return sized.where("doc_id <> component_id")

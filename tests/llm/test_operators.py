@@ -355,6 +355,54 @@ def test_near_duplicates(spark):
     assert got == {12 + k: k for k in range(8)} | {20: 0, 22: 21, 23: 21}
 
 
+def test_near_duplicates_whose_original_does_not_come_first(spark):
+    r = random.Random(21)
+    vocabulary = [f"w{k}" for k in range(4000)]
+    original = r.choices(vocabulary, k=200)
+    texts = []
+    for _ in range(60):
+        c = list(original)
+        for k in r.sample(range(5, 195), 4):
+            c[k] = r.choice(vocabulary)
+        texts.append(" ".join(c))
+    texts.insert(30, " ".join(original))
+    sets = [frozenset(tuple(t.split()[k : k + 5]) for k in range(196)) for t in texts]
+    root = list(range(61))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in range(61):
+        for b in range(a):
+            if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {x.doc_id: x.component_id for x in simhash.near_duplicates(frame).collect()}
+    assert got == {k: find(k) for k in range(61) if find(k) != k}
+
+
+def test_fingerprint_pairs_are_direct(spark):
+    r = random.Random(23)
+    base = [r.getrandbits(63) for _ in range(3)]
+    fps = sorted({b ^ (1 << r.randrange(60)) ^ (1 << r.randrange(60)) ^ (1 << r.randrange(60)) for b in base for _ in range(70)})
+    rows = [(fp, lo := r.randrange(2), r.randrange(lo, 2)) for fp in fps]
+    got = {(x.fp_a, x.fp_b) for x in simhash.fingerprint_pairs(spark.createDataFrame(rows, "fp long, lo long, hi long"), 4, len(rows)).collect()}
+    assert got == {(a, b) for a, la, ha in rows for b, lb, hb in rows if a >= b and (a ^ b).bit_count() <= 4 and min(la, lb) != max(ha, hb)}
+
+
+@pytest.mark.parametrize("block", [2048, 50])
+def test_block_pairs_are_all_pairs_of_different_components(spark, monkeypatch, block):
+    monkeypatch.setattr(simhash, "BLOCK", block)
+    r = random.Random(22)
+    fps = [r.getrandbits(3) - 4 for _ in range(230)]
+    rows = [(k % 2 if k < 200 else 7, k, fp, k % 5) for k, fp in enumerate(fps)]
+    got = {(x.a, x.b) for x in simhash._block_pairs(spark.createDataFrame(rows, "key long, id long, fp long, own long"), 1).collect()}
+    assert got == {(b, a) for key, a, x, o in rows for other, b, y, p in rows if a < b and key == other and o != p and (x % 2**64 ^ y % 2**64).bit_count() <= 1}
+
+
 @pytest.mark.parametrize("limit", [1_000_000, 5])
 def test_context_mixing(spark, docs, rows, empty, monkeypatch, limit):
     monkeypatch.setattr(context_mixing, "BROADCAST_WORDS", limit)
