@@ -15,8 +15,6 @@ SHINGLE = 8
 #: At similarity 0.8 a pair shares a band with probability 1 - (1 - 0.8^4)^8 = 0.985, at 0.9 with 0.9998.
 BANDS, ROWS = 8, 4
 SIMILARITY = 0.8
-#: Signatures of lines with at least this many shingles use the quarter of them whose hash ends in two zero bits.
-SPARSE_FROM = 128
 #: Leaders of a band in the second round.
 LEADERS = 32
 #: Shingle positions that one array holds.
@@ -51,8 +49,7 @@ def band_keys(lines: DataFrame) -> DataFrame:
     wide = lone.select("key", F.encode("line", "UTF-32").alias("wide"), _shingle_count("line").alias("n"))
     pieces = wide.select("key", "wide", "n", F.explode(F.sequence(F.lit(0), F.col("n") - 1, F.lit(PIECE))).alias("base"))
     places = pieces.select("key", "wide", "n", F.explode(F.sequence("base", F.least(F.col("base") + F.lit(PIECE - 1), F.col("n") - 1))).alias("i"))
-    hashes = places.select("key", "n", F.xxhash64(F.substring("wide", F.col("i") * 4 + 1, F.lit(4 * SHINGLE))).alias("h"))
-    hashes = hashes.where((F.col("n") < SPARSE_FROM) | (F.col("h").bitwiseAND(3) == 0))
+    hashes = places.select("key", F.xxhash64(F.substring("wide", F.col("i") * 4 + 1, F.lit(4 * SHINGLE))).alias("h"))
     signature = hashes.groupBy("key").agg(*[F.min(F.col("h").bitwiseXOR(F.lit(s))).alias(f"m{i}") for i, s in enumerate(_seeds())])
     bands = [F.xxhash64(F.lit(b), *[f"m{b * ROWS + r}" for r in range(ROWS)]) for b in range(BANDS)]
     return signature.select("key", F.explode(F.array(*bands)).alias("band"))

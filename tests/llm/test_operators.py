@@ -170,6 +170,17 @@ def test_fuzzy_lines(spark, empty):
     assert {x.doc_id: x.text for x in left.collect()}[12] is None and left.count() == len(texts)
 
 
+def test_line_signatures_around_128_shingles(spark):
+    r = random.Random(31)
+    base = ["".join(r.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(132)) for _ in range(40)]
+    lines = base + [b + "tail" for b in base] + ["-" * 200, "-" * 220]
+    frame = fuzzy_lines.lines_of(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string"))
+    bands, key = defaultdict(set), {x.doc_id: x.key for x in frame.collect()}
+    for x in fuzzy_lines.band_keys(frame).collect():
+        bands[x.key].add(x.band)
+    assert all(bands[key[k]] & bands[key[k + 40]] for k in range(40)) and bands[key[80]] and bands[key[80]] == bands[key[81]]
+
+
 def test_language_model(docs, empty):
     r = random.Random(4)
     deck = {"a": [f"{x}{y}a" for x in "bdgkl" for y in "aeo"], "b": [f"{x}{y}z" for x in "mnprs" for y in "iuy"]}
