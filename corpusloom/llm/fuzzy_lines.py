@@ -15,7 +15,7 @@ SHINGLE = 8
 #: At similarity 0.8 a pair shares a band with probability 1 - (1 - 0.8^4)^8 = 0.985, at 0.9 with 0.9998.
 BANDS, ROWS = 8, 4
 SIMILARITY = 0.8
-#: Leaders of a band in the second round.
+#: Leaders of a band in the second round; later rounds have four times as many each.
 LEADERS = 32
 #: Shingle positions that one array holds.
 PIECE = 4096
@@ -88,8 +88,8 @@ def similar_lines(lines: DataFrame) -> DataFrame:
     """(node, component) of the keys of lines that have similar lines.
 
     In every band the most central line leads (the one whose bands hold most lines; the original among its copies), and
-    every other member is compared with it, exactly. Members unlike their leader stay in the band, one for each component
-    found so far, and are compared with ``LEADERS`` leaders, then with four times as many, until every band is done. A hot band is a partial
+    every other member is compared with it, exactly. Of what is left of a band, all lines meet ``LEADERS`` more leaders, then four times as
+    many, until every two lines of a band have been compared or are in one component. A hot band is a partial
     aggregate and a join that adaptive execution splits, never one task's group.
     """
     rows = materialise(band_keys(lines))
@@ -99,29 +99,27 @@ def similar_lines(lines: DataFrame) -> DataFrame:
     rest = materialise(rest.drop("n").join(central, "key"))
     counts = rest.groupBy("band").agg(F.min(F.struct("order", "key")).alias("lead"), F.count("*").alias("n")).where("n > 1")
     members = materialise(rest.join(counts.select("band", F.col("lead.key").alias("lead")), "band").where("key <> lead"))
-    found = materialise(verified(members.select(F.col("key").alias("a"), F.col("lead").alias("b")).distinct(), lines))
-    links = found.where("alike").select("a", "b")
+    tested = materialise(members.select(F.greatest("key", "lead").alias("a"), F.least("key", "lead").alias("b")).distinct())
+    links = materialise(verified(tested, lines)).where("alike").select("a", "b")
     groups, _ = as_table(connected_components(links), "line-groups")
-    failed = found.where("not alike").select(F.col("a").alias("key"), F.col("b").alias("lead"))
-    its = groups.select(F.col("node").alias("lead"), F.col("component").alias("its"))
-    left = members.join(failed, ["key", "lead"], "left_semi").join(its, "lead", "left")
-    width = LEADERS
+    left, width = members.select("band", "key", "order"), LEADERS
     while True:
-        # of each component one line goes on in a band, and none where the band's leader is in its component
         own = groups.select(F.col("node").alias("key"), F.col("component").alias("own"))
-        apart = left.join(own, "key", "left").where("own is null or its is null or own <> its")
-        one = apart.groupBy("band", F.coalesce("own", "key").alias("line_group")).agg(F.min(F.struct("order", "key")).alias("s"))
-        rank = F.row_number().over(Window.partitionBy("band").orderBy("s"))
-        ranked, _ = as_table(one.select("band", F.col("s.key").alias("key"), F.col("s.order").alias("order"), rank.alias("rank")), "line-bands")
-        leaders = ranked.where(F.col("rank") <= width).select("band", F.col("key").alias("lead"), F.col("rank").alias("lead_rank"))
-        pairs = materialise(ranked.join(leaders, "band").where("lead_rank < rank").select(F.greatest("key", "lead").alias("a"), F.least("key", "lead").alias("b")).distinct())
-        if pairs.isEmpty():
+        grouped = left.join(own, "key", "left").withColumn("own", F.coalesce("own", "key"))
+        several = grouped.groupBy("band").agg(F.min("own").alias("lo"), F.max("own").alias("hi")).where("lo <> hi").select("band")
+        rank = F.row_number().over(Window.partitionBy("band").orderBy("order", "key"))
+        ranked, _ = as_table(grouped.join(several, "band").withColumn("rank", rank), "line-bands")
+        if ranked.isEmpty():
             return groups
+        leaders = ranked.where(F.col("rank") <= width).select("band", F.col("key").alias("lead"), F.col("own").alias("its"), F.col("rank").alias("lead_rank"))
+        pairs = ranked.join(leaders, "band").where("lead_rank < rank and own <> its").select(F.greatest("key", "lead").alias("a"), F.least("key", "lead").alias("b")).distinct()
+        pairs = materialise(pairs.join(tested, ["a", "b"], "left_anti"))
+        tested = tested.unionByName(pairs)
         alike = materialise(verified(pairs, lines)).where("alike").select("a", "b")
         if not alike.isEmpty():
             links = links.unionByName(alike)
             groups, _ = as_table(connected_components(links), "line-groups")
-        left = ranked.where(F.col("rank") > width).select("band", "key", "order", F.lit(None).cast("long").alias("its"))
+        left = ranked.where(F.col("rank") > width).select("band", "key", "order")
         width *= 4
 
 

@@ -181,6 +181,43 @@ def test_line_signatures_around_128_shingles(spark):
     assert all(bands[key[k]] & bands[key[k + 40]] for k in range(40)) and bands[key[80]] and bands[key[80]] == bands[key[81]]
 
 
+def test_every_similar_pair_of_a_band_is_linked(spark, monkeypatch):
+    monkeypatch.setattr(fuzzy_lines, "LEADERS", 2)
+    r = random.Random(32)
+    letters = "abcdefghijklmnopqrstuvwxyz "
+
+    def edited(line, n):
+        for k in r.sample(range(8, len(line) - 8), n):
+            line = line[:k] + r.choice(letters) + line[k + 1 :]
+        return line
+
+    lines = []
+    for _ in range(50):
+        original = "".join(r.choice(letters) for _ in range(120))
+        copies = [edited(original, 1) for _ in range(7)]
+        lines += [original, *copies, edited(copies[-1], 1)]
+    frame = fuzzy_lines.lines_of(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string"))
+    text = {x.key: x.line for x in frame.collect()}
+    sets = {k: frozenset(t[i : i + 8] for i in range(len(t) - 7)) for k, t in text.items()}
+    bands, root = defaultdict(list), {k: k for k in text}
+    for x in fuzzy_lines.band_keys(frame).collect():
+        bands[x.band].append(x.key)
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for held in bands.values():
+        for a in held:
+            for b in held:
+                if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                    x, y = find(a), find(b)
+                    root[max(x, y)] = min(x, y)
+    got = {x.node: x.component for x in fuzzy_lines.similar_lines(frame).collect()}
+    assert {k: got.get(k, k) for k in text} == {k: find(k) for k in text}
+
+
 def test_language_model(docs, empty):
     r = random.Random(4)
     deck = {"a": [f"{x}{y}a" for x in "bdgkl" for y in "aeo"], "b": [f"{x}{y}z" for x in "mnprs" for y in "iuy"]}
