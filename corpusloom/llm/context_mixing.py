@@ -1,7 +1,7 @@
 """Language-model scores: word counts as a base, and bit predictors mixed by online logistic regression.
 
 The model predicts the bits of a text's bytes (and a final zero byte). Each of the contexts of one to four
-bytes before, hashed with the bits of the byte seen so far, has a slot of bit counts; their log odds are mixed by two sets of weights, each chosen by a gate. A last
+bytes before, hashed with the bits of the byte seen so far, has a slot of bit counts in a table sized by the contexts counted; their log odds are mixed by two sets of weights, each chosen by a gate. A last
 mixer, which starts equal for every text and follows its own text by online gradient steps, combines the two.
 """
 
@@ -21,7 +21,10 @@ from corpusloom.llm.common import chunks, distinct, index_words, materialise, ra
 from corpusloom.llm.langid import held_out
 
 ORDERS = 4
+#: The least size of an order's slot table, and of a block in which its counts travel.
 SLOT_BITS, BLOCK_BITS = 20, 15
+#: Slots for every different context (with the bits before) of an order, at least.
+SLOTS_PER_CONTEXT = 4
 P1, P2, P3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 #: Bytes of text in one numpy step; a longer text is scored in pieces that carry the mixer on.
 STEP_BYTES = 2 << 20
@@ -31,6 +34,8 @@ GROUP_BYTES = 192 << 10
 BROADCAST_WORDS = 1_000_000
 #: Texts (and their longest length) from which the gated weights are learned.
 SAMPLE_TEXTS, SAMPLE_LENGTH = 200, 4000
+#: Tasks that count grams into slot tables: each holds whole tables.
+GRAM_TASKS = 12
 END = xxhash.xxh64_intdigest(b"\n") - (1 << 63)
 
 
@@ -63,15 +68,16 @@ def pieces(texts: list[bytes]) -> Iterator[tuple[list[bytes], bytes, bool]]:
             yield texts[s], b"", True
 
 
-def slots(g: np.ndarray, order: int) -> np.ndarray:
-    """[bit, gram] slot of a context of ``order`` bytes and the bits before."""
+def slots(g: np.ndarray, order: int, n_slots: int) -> np.ndarray:
+    """[bit, gram] slot of a context of ``order`` bytes and the bits before, in a table of ``n_slots``, a power of two."""
+    shift = np.uint64(65 - n_slots.bit_length())
     context = (g >> np.uint64(8)) & np.uint64((1 << 8 * order) - 1)
     h = (context ^ np.uint64(order << 56)) * P1
     h ^= h >> np.uint64(31)
     cur = (g & np.uint64(255)) | np.uint64(256)
-    out = np.empty((8, len(g)), np.uint32)
+    out = np.empty((8, len(g)), np.int64)
     for j in range(8):
-        out[j] = ((h ^ ((cur >> np.uint64(8 - j)) * P2)) * P3) >> np.uint64(64 - SLOT_BITS)
+        out[j] = ((h ^ ((cur >> np.uint64(8 - j)) * P2)) * P3) >> shift
     return out
 
 
@@ -81,7 +87,7 @@ def bits_of(g: np.ndarray) -> np.ndarray:
     return np.stack([(low >> np.uint8(7 - j)) & np.uint8(1) for j in range(8)]).astype(np.float32)
 
 
-def count_bits(ones: np.ndarray, every: np.ndarray, g: np.ndarray, n: np.ndarray) -> None:
+def count_bits(ones, every, g: np.ndarray, n: np.ndarray) -> None:
     """Add n occurrences of each gram (ascending) to the [order, slot] counts; shorter contexts are summed up first."""
     for order in range(ORDERS, 0, -1):
         key = g & np.uint64((1 << 8 * (order + 1)) - 1)
@@ -91,10 +97,11 @@ def count_bits(ones: np.ndarray, every: np.ndarray, g: np.ndarray, n: np.ndarray
             cut = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))[: len(key)]
             key, n = key[cut], np.add.reduceat(n, cut) if len(cut) else n
         g = key
-        bit, at = bits_of(g), slots(g, order)
+        size = len(every[order - 1])
+        bit, at = bits_of(g), slots(g, order, size)
         for j in range(8):
-            every[order - 1] += np.bincount(at[j], n, 1 << SLOT_BITS).astype(np.uint32)
-            ones[order - 1] += np.bincount(at[j], n * bit[j], 1 << SLOT_BITS).astype(np.uint32)
+            every[order - 1] += np.bincount(at[j], n, size).astype(every[order - 1].dtype)
+            ones[order - 1] += np.bincount(at[j], n * bit[j], size).astype(ones[order - 1].dtype)
 
 
 def log_odds(ones, zeros):
@@ -116,12 +123,12 @@ def gates(g: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, ...]:
 
 @dataclass
 class MixingModel:
-    odds: np.ndarray  # [order, slot]
+    odds: list[np.ndarray]  # per order [slot]
     weights: list[np.ndarray]  # per gate [set, bit, order + 1]
 
     def logits(self, g: np.ndarray) -> np.ndarray:
         """[gate, bit, gram] mixed log odds."""
-        x = [self.odds[o][slots(g, o + 1)] for o in range(ORDERS)]
+        x = [self.odds[o][slots(g, o + 1, len(self.odds[o]))] for o in range(ORDERS)]
         known = sum((own[0] != 0).astype(np.int64) for own in x)
         out = np.empty((len(N_SETS), 8, len(g)), np.float32)
         for k, chosen in enumerate(gates(g, known)):
@@ -190,7 +197,7 @@ class MixingModel:
 
 
 
-def learn_weights(ones: np.ndarray, every: np.ndarray, texts: list[bytes], seed: int = 1) -> list[np.ndarray]:
+def learn_weights(ones, every, texts: list[bytes], seed: int = 1) -> list[np.ndarray]:
     """Gated weights by online gradient steps over sample texts; each occurrence is taken out of its own counts."""
     weights = [np.concatenate((np.full((n, 8, ORDERS), 0.35, np.float32), np.zeros((n, 8, 1), np.float32)), axis=2) for n in N_SETS]
     if not texts:
@@ -203,7 +210,7 @@ def learn_weights(ones: np.ndarray, every: np.ndarray, texts: list[bytes], seed:
         y = bits_of(part).T
         x = np.ones((len(part), 8, ORDERS + 1), np.float32)
         for o in range(ORDERS):
-            s = slots(part, o + 1).T
+            s = slots(part, o + 1, len(every[o])).T
             one = np.maximum(ones[o][s] - y, 0)
             x[:, :, o] = log_odds(one, np.maximum(every[o][s] - ones[o][s] - (1 - y), 0))
         known = (x[:, 0, :ORDERS] != 0).sum(axis=1)
@@ -225,64 +232,93 @@ def _merge(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.nd
     return g[cut], np.add.reduceat(n, cut) if len(cut) else n
 
 
-def train_model(train: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> MixingModel:
-    """Bit counts over all training texts, then weights on a bounded sample of them.
-
-    Every task counts into fixed-size tables and sends them on in compressed blocks; a block's counts are added up in a
-    streaming pass, so neither memory nor the result grows with the corpus. Counts saturate at 2^32 - 1 per task.
-    """
-    size, n_blocks = 1 << BLOCK_BITS, 1 << (SLOT_BITS - BLOCK_BITS)
+def gram_counts(train: DataFrame, text_col: str = "text") -> DataFrame:
+    """(gram, n): occurrences of every different gram of all training texts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ones = np.zeros((ORDERS, 1 << SLOT_BITS), np.uint32)
-        every = np.zeros_like(ones)
         held: list[tuple[np.ndarray, np.ndarray]] = []
 
-        def settle() -> None:
-            if held:
-                count_bits(ones, every, *_merge(held))
-                held.clear()
+        def out() -> pa.RecordBatch:
+            g, n = _merge(held)
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(g.view(np.int64) & ((1 << 8 * (ORDERS + 1)) - 1)), pa.array(n)], ["gram", "n"])
 
         for batch in batches:
             for own in pieces(text_bytes(batch.column(0))):
-                g = np.sort(grams(*own)[0])
-                cut = np.flatnonzero(np.concatenate(([True], g[1:] != g[:-1])))
-                held.append((g[cut], np.diff(np.append(cut, len(g))).astype(np.float64)))
+                g = np.sort(grams(*own)[0] & np.uint64((1 << 8 * (ORDERS + 1)) - 1))
+                cut = np.flatnonzero(np.concatenate(([True], g[1:] != g[:-1])))[: len(g)]
+                held.append((g[cut], np.diff(np.append(cut, len(g)))))
                 if sum(len(h[0]) for h in held) > 4_000_000:
                     held[:] = [_merge(held)]
                     if len(held[0][0]) > 2_000_000:
-                        settle()
-        settle()
+                        yield out()
+        if held:
+            yield out()
+
+    return train.select(text_col).mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+
+
+def table_sizes(counts: DataFrame) -> list[int]:
+    """Slots of each order's table, from the number of different contexts (with the bits before) among the grams counted."""
+
+    def node(order: int, j: int):
+        return F.shiftright(F.col("gram").bitwiseAND(F.lit((1 << 8 * (order + 1)) - 1)), 8 - j)
+
+    found = counts.agg(*[F.approx_count_distinct(node(o, j)).alias(f"c{o}_{j}") for o in range(1, ORDERS + 1) for j in range(8)]).first()
+    every = [sum(found[f"c{o}_{j}"] or 0 for j in range(8)) for o in range(1, ORDERS + 1)]
+    return [max(1 << SLOT_BITS, 1 << (SLOTS_PER_CONTEXT * n - 1).bit_length()) for n in every]
+
+
+def bit_tables(counts: DataFrame, sizes: list[int]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Per order, the slots' counts of one bits and of all bits.
+
+    Grams are counted in few tasks, which send their tables on in compressed blocks; a block's counts are added up in a streaming pass.
+    """
+    size = 1 << BLOCK_BITS
+    base = np.concatenate(([0], np.cumsum(sizes))).tolist()
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ones, every = ([np.zeros(k, np.uint64) for k in sizes] for _ in range(2))
+        for batch in batches:
+            g, n = (batch.column(k).to_numpy() for k in (0, 1))
+            by = np.argsort(g)
+            count_bits(ones, every, g[by].view(np.uint64), n[by].astype(np.float64))
         pack = zstandard.ZstdCompressor(level=1)
         for o in range(ORDERS):
-            for b in range(n_blocks):
-                cells = slice(b * size, (b + 1) * size)
-                if every[o, cells].any():
-                    data = pack.compress(np.stack((ones[o, cells], every[o, cells])).tobytes())
-                    yield pa.RecordBatch.from_arrays([pa.array([o * n_blocks + b], pa.int32()), pa.array([data], pa.binary())], ["block", "counts"])
+            for at in range(0, sizes[o], size):
+                if every[o][at : at + size].any():
+                    data = pack.compress(np.stack((ones[o][at : at + size], every[o][at : at + size])).tobytes())
+                    yield pa.RecordBatch.from_arrays([pa.array([(base[o] + at) >> BLOCK_BITS], pa.int64()), pa.array([data], pa.binary())], ["block", "counts"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, np.ndarray] = {}
-        unpack = zstandard.ZstdDecompressor()
+        pack, unpack = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
         for batch in batches:
             for block, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                own = np.frombuffer(unpack.decompress(data), np.uint32).reshape(2, size)
-                held[block] = held.get(block, np.zeros((2, size), np.uint64)) + own
+                held[block] = held.get(block, 0) + np.frombuffer(unpack.decompress(data), np.uint64).reshape(2, size)
         for block, total in held.items():
-            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["block", "counts"])
-
-    dealt = train.select(text_col).mapInArrow(count, "block int, counts binary").repartition(32, "block")
-    ones = np.zeros((ORDERS, 1 << SLOT_BITS))
-    every = np.zeros_like(ones)
-    for row in dealt.mapInArrow(add, "block int, counts binary").toLocalIterator():
-        o, b = divmod(row.block, n_blocks)
-        ones[o, b * size : (b + 1) * size], every[o, b * size : (b + 1) * size] = np.frombuffer(row.counts, np.uint64).reshape(2, size)
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([pack.compress(total.tobytes())], pa.binary())], ["block", "counts"])
+
+    dealt = counts.coalesce(GRAM_TASKS).mapInArrow(count, "block long, counts binary").repartition(32, "block")
+    ones, every = ([np.zeros(k) for k in sizes] for _ in range(2))
+    unpack = zstandard.ZstdDecompressor()
+    for row in dealt.mapInArrow(add, "block long, counts binary").toLocalIterator():
+        o = int(np.searchsorted(base, row.block << BLOCK_BITS, "right")) - 1
+        cells = slice((row.block << BLOCK_BITS) - base[o], (row.block << BLOCK_BITS) - base[o] + size)
+        ones[o][cells], every[o][cells] = np.frombuffer(unpack.decompress(row.counts), np.uint64).reshape(2, size)
+    return ones, every
+
+
+def train_model(train: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> MixingModel:
+    """Bit counts over all training texts in tables that grow with the different contexts, then weights on a bounded sample of texts."""
+    counts = materialise(gram_counts(train, text_col))
+    ones, every = bit_tables(counts, table_sizes(counts))
     n = train.count()
     chance = F.pmod(F.xxhash64(F.col(id_col), F.lit(3)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     sample = train.where((chance < min(1.0, 2 * SAMPLE_TEXTS / max(n, 1))) & (F.length(text_col) <= SAMPLE_LENGTH)).select(id_col, text_col)
     texts = sorted((r[1] or "") for r in sample.limit(4 * SAMPLE_TEXTS).collect())
     weights = learn_weights(ones, every, [t.encode() for t in texts])
-    return MixingModel(log_odds(ones, every - ones).astype(np.float16), weights)
+    return MixingModel([log_odds(a, b - a).astype(np.float16) for a, b in zip(ones, every)], weights)
 
 
 # ---- word counts -----------------------------------------------------------------------------------------------------
@@ -336,7 +372,7 @@ def score_texts(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", text_
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, values, model = held.value
-        own = MixingModel(model.odds.astype(np.float32), model.weights)  # half precision only travels
+        own = MixingModel([x.astype(np.float32) for x in model.odds], model.weights)  # half precision only travels
         logs = np.log10(values + 1.0)
         for batch in batches:
             texts = text_bytes(batch.column(1))

@@ -481,6 +481,19 @@ def test_context_mixing_learns():
     assert np.allclose(bits[:3], [model.bits([t])[0] for t in test[:3]], rtol=1e-4)  # no text depends on its batch
 
 
+def test_slot_tables_grow_with_the_contexts(spark, monkeypatch):
+    monkeypatch.setattr(context_mixing, "SLOT_BITS", 15)
+    r = random.Random(41)
+    texts = ["".join(chr(r.randrange(33, 127)) for _ in range(400)) for _ in range(100)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model = context_mixing.train_model(frame)
+    g = np.unique(context_mixing.grams([t.encode() for t in texts])[0])
+    for o in range(1, context_mixing.ORDERS + 1):
+        nodes = sum(len({int(x) >> 8 - j for x in g & np.uint64((1 << 8 * (o + 1)) - 1)}) for j in range(8))
+        assert len(model.odds[o - 1]) >= max(1 << 15, 3 * nodes)
+    assert len(model.odds[3]) > len(model.odds[0])
+
+
 def test_pipeline_stages(spark, rows, tmp_path):
     import corpus_pipeline
 
