@@ -21,6 +21,8 @@ from corpusloom.llm.common import chunks, distinct, index_words, materialise, ra
 from corpusloom.llm.langid import held_out
 
 ORDERS = 4
+#: The bits of a gram: a symbol and the bytes before.
+GRAM = np.uint64((1 << 8 * (ORDERS + 1)) - 1)
 #: The least size of an order's slot table, and of a block in which its counts travel.
 SLOT_BITS, BLOCK_BITS = 20, 15
 #: Slots for every different context (with the bits before) of an order, at least.
@@ -28,12 +30,14 @@ SLOTS_PER_CONTEXT = 4
 P1, P2, P3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 #: Bytes of text in one numpy step; a longer text is scored in pieces that carry the mixer on.
 STEP_BYTES = 2 << 20
-#: Bytes of text that the last mixer follows at once: its arrays stay in the processor's cache.
-GROUP_BYTES = 192 << 10
+#: Bytes after which the last mixer of a text moves its weights.
+MIX_BLOCK = 16
+#: Texts of about one size that the last mixer follows at once: its arrays stay in the processor's cache.
+GROUP_TEXTS = 256
 #: Word counts that are broadcast at most; rarer words are joined.
 BROADCAST_WORDS = 1_000_000
-#: Texts (and their longest length) from which the gated weights are learned.
-SAMPLE_TEXTS, SAMPLE_LENGTH = 200, 4000
+#: Newton steps for the gated weights at most; they end when no weight moves by 0.001.
+NEWTON_STEPS = 12
 #: Tasks that count grams into slot tables: each holds whole tables.
 GRAM_TASKS = 12
 END = xxhash.xxh64_intdigest(b"\n") - (1 << 63)
@@ -158,23 +162,24 @@ class MixingModel:
         # signed so that larger is better for the bit that came: a gram knows its own bits
         mixed = np.ascontiguousarray((self.logits(values) * (2 * bits_of(values) - 1)).reshape(-1, len(values)).T)
         first = np.cumsum(sizes) - sizes
-        if state is None:
-            w, seen = np.full((len(texts), 2), 0.5, np.float32), np.zeros(len(texts), np.int64)
-        else:
-            w, seen = state
+        w = np.full((len(texts), 2), 0.5, np.float32) if state is None else state
         nats = np.zeros(len(texts))
-        for group in chunks(texts, GROUP_BYTES):
-            nats[group] = self._mix(mixed, index, first[group], sizes[group], w[group], seen[group])
-        return nats / np.log(2), (w, seen + sizes)
+        by_size = np.argsort(-sizes, kind="stable")
+        for lo in range(0, len(texts), GROUP_TEXTS):
+            group = by_size[lo : lo + GROUP_TEXTS]
+            moved = w[group]
+            nats[group] = self._mix(mixed, index, first[group], sizes[group], moved)
+            w[group] = moved
+        return nats / np.log(2), w
 
     @staticmethod
-    def _mix(mixed, index, first, sizes, w, seen) -> np.ndarray:
+    def _mix(mixed, index, first, sizes, w) -> np.ndarray:
         """Follow some texts in step; w is moved on in place."""
         at, nats = np.zeros(len(sizes), np.int64), np.zeros(len(sizes))
         one, rate = np.float32(1), np.float32(0.03)
         while True:
-            # blocks grow with what a text has seen: few steps, and none depends on the other texts of the batch
-            take = np.minimum(np.maximum(32, (seen + at) >> 3), sizes - at)
+            # blocks are short and alike for every text: none depends on the other texts of the batch
+            take = np.minimum(MIX_BLOCK, sizes - at)
             live = np.flatnonzero(take > 0)
             if not len(live):
                 return nats
@@ -197,32 +202,84 @@ class MixingModel:
 
 
 
-def learn_weights(ones, every, texts: list[bytes], seed: int = 1) -> list[np.ndarray]:
-    """Gated weights by online gradient steps over sample texts; each occurrence is taken out of its own counts."""
-    weights = [np.concatenate((np.full((n, 8, ORDERS), 0.35, np.float32), np.zeros((n, 8, 1), np.float32)), axis=2) for n in N_SETS]
-    if not texts:
-        return weights
-    g, _ = grams(texts)
-    g = np.random.default_rng(seed).permutation(g)[:200_000]
-    squares = [np.ones_like(w) for w in weights]
-    for lo in range(0, len(g), 256):
-        part = g[lo : lo + 256]
-        y = bits_of(part).T
-        x = np.ones((len(part), 8, ORDERS + 1), np.float32)
+def slopes(ones, every, g: np.ndarray, n: np.ndarray, weights: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Per gate, the gradient and curvature of the log likelihood of n occurrences of each gram; each is taken out of its own counts."""
+    out = [(np.zeros(w.shape), np.zeros((*w.shape, ORDERS + 1))) for w in weights]
+    for lo in range(0, len(g), 8192):
+        part, times = g[lo : lo + 8192], n[lo : lo + 8192].astype(np.float32)
+        y = bits_of(part)
+        x = np.ones((8, len(part), ORDERS + 1), np.float32)
         for o in range(ORDERS):
-            s = slots(part, o + 1, len(every[o])).T
-            one = np.maximum(ones[o][s] - y, 0)
-            x[:, :, o] = log_odds(one, np.maximum(every[o][s] - ones[o][s] - (1 - y), 0))
-        known = (x[:, 0, :ORDERS] != 0).sum(axis=1)
+            s = slots(part, o + 1, len(every[o]))
+            one = ones[o][s]
+            x[:, :, o] = log_odds(np.maximum(one - y, 0), np.maximum(every[o][s] - one - (1 - y), 0))
+        known = (x[0, :, :ORDERS] != 0).sum(axis=1)
         for k, chosen in enumerate(gates(part, known)):
-            off = y - 1 / (1 + np.exp(-(x * weights[k][chosen]).sum(axis=2)))
-            slope = np.zeros_like(weights[k])
-            np.add.at(slope, chosen, off[:, :, None] * x)
-            squares[k] += slope**2
-            weights[k] += np.float32(0.05) * slope / np.sqrt(squares[k])
+            for c in np.unique(chosen):
+                rows = np.flatnonzero(chosen == c)
+                own = x[:, rows]
+                p = 1 / (1 + np.exp(-(own @ weights[k][c][:, :, None])[:, :, 0]))
+                out[k][0][c] += (own * (times[rows] * (y[:, rows] - p))[:, :, None]).sum(axis=1, dtype=np.float64)
+                out[k][1][c] += own.transpose(0, 2, 1) @ (own * (times[rows] * p * (1 - p))[:, :, None])
+    return out
+
+
+def fit_weights(step) -> list[np.ndarray]:
+    """Gated weights by Newton steps; ``step`` gives the slopes of weights over all training texts."""
+    start = [np.concatenate((np.full((n, 8, ORDERS), 0.35, np.float32), np.zeros((n, 8, 1), np.float32)), axis=2) for n in N_SETS]
+    weights = [w.copy() for w in start]
+    for _ in range(NEWTON_STEPS):
+        moved = 0.0
+        for k, (slope, curve) in enumerate(step(weights)):
+            slope = slope + start[k] - weights[k]  # what has no occurrences stays at its start
+            by = np.clip(np.linalg.solve(curve + np.eye(ORDERS + 1), slope[..., None])[..., 0], -1, 1)
+            weights[k] = (weights[k] + by).astype(np.float32)
+            moved = max(moved, float(np.abs(by).max()))
+        if moved < 0.001:
+            break
     return weights
 
 
+def learn_weights(ones, every, texts: list[bytes]) -> list[np.ndarray]:
+    """Gated weights from all occurrences in texts."""
+    if not texts:
+        return fit_weights(lambda weights: [(np.zeros(w.shape), np.zeros((*w.shape, ORDERS + 1))) for w in weights])
+    g, n = np.unique(grams(texts)[0] & GRAM, return_counts=True)
+    return fit_weights(lambda weights: slopes(ones, every, g, n, weights))
+
+
+def learn_from_grams(counts: DataFrame, ones, every) -> list[np.ndarray]:
+    """Gated weights from all occurrences of the counted grams; every partition sums up its slopes."""
+    held = counts.sparkSession.sparkContext.broadcast(tuple([x.astype(np.float32) for x in table] for table in (ones, every)))
+
+    def step(weights: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = None
+            for batch in batches:
+                own = slopes(*held.value, batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy(), weights)
+                own = np.concatenate([x.ravel() for pair in own for x in pair])
+                total = own if total is None else total + own
+            if total is not None:
+                yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["slopes"])
+
+        width = ORDERS + 1
+        total = np.zeros(sum(n * 8 * width * (width + 1) for n in N_SETS))
+        for row in counts.mapInArrow(run, "slopes binary").toLocalIterator():
+            total += np.frombuffer(row.slopes)
+        out, at = [], 0
+        for n in N_SETS:
+            cut = at + n * 8 * width
+            end = cut + n * 8 * width * width
+            out.append((total[at:cut].reshape(n, 8, width), total[cut:end].reshape(n, 8, width, width)))
+            at = end
+        return out
+
+    try:
+        return fit_weights(step)
+    finally:
+        held.unpersist()
+
+
 def _merge(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     """Ascending grams and their summed counts."""
     g, n = (np.concatenate(x) for x in zip(*held))
@@ -241,11 +298,11 @@ def gram_counts(train: DataFrame, text_col: str = "text") -> DataFrame:
         def out() -> pa.RecordBatch:
             g, n = _merge(held)
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(g.view(np.int64) & ((1 << 8 * (ORDERS + 1)) - 1)), pa.array(n)], ["gram", "n"])
+            return pa.RecordBatch.from_arrays([pa.array(g.view(np.int64)), pa.array(n)], ["gram", "n"])
 
         for batch in batches:
             for own in pieces(text_bytes(batch.column(0))):
-                g = np.sort(grams(*own)[0] & np.uint64((1 << 8 * (ORDERS + 1)) - 1))
+                g = np.sort(grams(*own)[0] & GRAM)
                 cut = np.flatnonzero(np.concatenate(([True], g[1:] != g[:-1])))[: len(g)]
                 held.append((g[cut], np.diff(np.append(cut, len(g)))))
                 if sum(len(h[0]) for h in held) > 4_000_000:
@@ -309,15 +366,11 @@ def bit_tables(counts: DataFrame, sizes: list[int]) -> tuple[list[np.ndarray], l
     return ones, every
 
 
-def train_model(train: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> MixingModel:
-    """Bit counts over all training texts in tables that grow with the different contexts, then weights on a bounded sample of texts."""
+def train_model(train: DataFrame, text_col: str = "text") -> MixingModel:
+    """Bit counts over all training texts in tables that grow with the different contexts, then weights over all their grams."""
     counts = materialise(gram_counts(train, text_col))
     ones, every = bit_tables(counts, table_sizes(counts))
-    n = train.count()
-    chance = F.pmod(F.xxhash64(F.col(id_col), F.lit(3)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = train.where((chance < min(1.0, 2 * SAMPLE_TEXTS / max(n, 1))) & (F.length(text_col) <= SAMPLE_LENGTH)).select(id_col, text_col)
-    texts = sorted((r[1] or "") for r in sample.limit(4 * SAMPLE_TEXTS).collect())
-    weights = learn_weights(ones, every, [t.encode() for t in texts])
+    weights = learn_from_grams(counts, ones, every)
     return MixingModel([log_odds(a, b - a).astype(np.float16) for a, b in zip(ones, every)], weights)
 
 
@@ -366,7 +419,7 @@ def score_texts(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", text_
     keys, values = (common.column(k).to_numpy() for k in ("word", "n")) if kept else (np.zeros(0, np.int64),) * 2
     end = int(counts.where(F.col("word") == F.lit(END)).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
     order = np.argsort(keys)
-    model = train_model(train, id_col, text_col)
+    model = train_model(train, text_col)
     held = spark.sparkContext.broadcast((keys[order], values[order], model))
     complete = kept == n_words
 

@@ -494,6 +494,33 @@ def test_slot_tables_grow_with_the_contexts(spark, monkeypatch):
     assert len(model.odds[3]) > len(model.odds[0])
 
 
+def test_weights_come_from_all_texts_of_every_length(spark):
+    r = random.Random(42)
+    texts = [words(r, 900) for _ in range(4)] + [words(r, 20) for _ in range(20)]
+    assert max(map(len, texts)) > 4000
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    model = context_mixing.train_model(frame)
+    start = context_mixing.learn_weights(None, None, [])
+    only_long = context_mixing.train_model(frame.where("doc_id < 4"))
+    assert any(np.abs(a - b).max() > 0.1 for a, b in zip(only_long.weights, start))
+    counts = context_mixing.gram_counts(frame)
+    assert counts.agg({"n": "sum"}).first()[0] == sum(len(t.encode()) + 1 for t in texts)
+    ones, every = context_mixing.bit_tables(counts, context_mixing.table_sizes(counts))
+    local = context_mixing.learn_weights(ones, every, [t.encode() for t in texts])
+    assert all(np.allclose(a, b, atol=0.01) for a, b in zip(model.weights, local))
+
+
+def test_last_mixer_moves_in_short_blocks():
+    x = np.zeros((1, 16), np.float32)
+    x[:, :8] = 2.0
+    w, long = np.full((1, 2), 0.5, np.float32), 20_000
+    context_mixing.MixingModel._mix(x, np.zeros(long, np.int64), np.array([0]), np.array([long]), w)
+    once = np.full((1, 2), 0.5, np.float32)
+    for _ in range(0, long, 32):
+        context_mixing.MixingModel._mix(x, np.zeros(32, np.int64), np.array([0]), np.array([32]), once)
+    assert w[0, 0] == pytest.approx(once[0, 0], abs=0.01) and w[0, 0] > 2
+
+
 def test_pipeline_stages(spark, rows, tmp_path):
     import corpus_pipeline
 
