@@ -26,7 +26,7 @@ GRAM = np.uint64((1 << 8 * (ORDERS + 1)) - 1)
 #: The least size of an order's slot table, and of a block in which its counts travel.
 SLOT_BITS, BLOCK_BITS = 20, 15
 #: Slots for every different context (with the bits before) of an order, at least.
-SLOTS_PER_CONTEXT = 4
+SLOTS_PER_CONTEXT = 2
 P1, P2, P3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 #: Bytes of text in one numpy step; a longer text is scored in pieces that carry the mixer on.
 STEP_BYTES = 2 << 20
@@ -101,11 +101,15 @@ def count_bits(ones, every, g: np.ndarray, n: np.ndarray) -> None:
             cut = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))[: len(key)]
             key, n = key[cut], np.add.reduceat(n, cut) if len(cut) else n
         g = key
-        size = len(every[order - 1])
-        bit, at = bits_of(g), slots(g, order, size)
-        for j in range(8):
-            every[order - 1] += np.bincount(at[j], n, size).astype(every[order - 1].dtype)
-            ones[order - 1] += np.bincount(at[j], n * bit[j], size).astype(ones[order - 1].dtype)
+        count_order(ones[order - 1], every[order - 1], g, n, order)
+
+
+def count_order(ones: np.ndarray, every: np.ndarray, g: np.ndarray, n: np.ndarray, order: int) -> None:
+    """Add n occurrences of each gram to the slots of one order."""
+    bit, at = bits_of(g), slots(g, order, len(every))
+    for j in range(8):
+        every += np.bincount(at[j], n, len(every)).astype(every.dtype)
+        ones += np.bincount(at[j], n * bit[j], len(ones)).astype(ones.dtype)
 
 
 def log_odds(ones, zeros):
@@ -335,16 +339,19 @@ def bit_tables(counts: DataFrame, sizes: list[int]) -> tuple[list[np.ndarray], l
     base = np.concatenate(([0], np.cumsum(sizes))).tolist()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ones, every = ([np.zeros(k, np.uint64) for k in sizes] for _ in range(2))
-        for batch in batches:
-            g, n = (batch.column(k).to_numpy() for k in (0, 1))
-            by = np.argsort(g)
-            count_bits(ones, every, g[by].view(np.uint64), n[by].astype(np.float64))
+        held = [(b.column(0).to_numpy().view(np.uint64), b.column(1).to_numpy()) for b in batches]
+        if not held:
+            return
+        g, n = _merge(held)
+        held.clear()
         pack = zstandard.ZstdCompressor(level=1)
-        for o in range(ORDERS):
+        for o in range(ORDERS):  # one order's tables at a time
+            ones, every = (np.zeros(sizes[o], np.uint64) for _ in range(2))
+            for lo in range(0, len(g), 1 << 20):
+                count_order(ones, every, g[lo : lo + (1 << 20)], n[lo : lo + (1 << 20)].astype(np.float64), o + 1)
             for at in range(0, sizes[o], size):
-                if every[o][at : at + size].any():
-                    data = pack.compress(np.stack((ones[o][at : at + size], every[o][at : at + size])).tobytes())
+                if every[at : at + size].any():
+                    data = pack.compress(np.stack((ones[at : at + size], every[at : at + size])).tobytes())
                     yield pa.RecordBatch.from_arrays([pa.array([(base[o] + at) >> BLOCK_BITS], pa.int64()), pa.array([data], pa.binary())], ["block", "counts"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
