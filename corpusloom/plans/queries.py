@@ -187,7 +187,7 @@ GROUP BY 1 HAVING count(*) > 1""")(
     .groupBy("output_path").agg(F.count("*").alias("n")).where("n > 1")
 )
 query("html_escape", """SELECT page_id, replace(replace(replace(replace(left(html, 400), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;') AS escaped FROM pages""")(
-    lambda c: bridge.read(c.spark, c.sf_dir, "pages").select("page_id", text.html_escape(F.left("html", F.lit(400))).alias("escaped"))
+    lambda c: bridge.read(c.spark, c.sf_dir, "pages").select("page_id", text.html_escape(F.col("html")).alias("escaped"))
 )
 query("article_paths", "SELECT page_id, CAST(NOT (" + " OR ".join(f"starts_with(url, '{p}')" for p in text.NON_ARTICLE_PREFIXES) + ") AS INT) AS is_article FROM pages")(
     lambda c: bridge.read(c.spark, c.sf_dir, "pages").select("page_id", text.is_article_path(F.col("url")).cast("int").alias("is_article"))
@@ -200,8 +200,15 @@ def _pages(c: Curation) -> DataFrame:
     return pages.select(F.col("page_id").alias("id"), F.col("url").alias("path"), F.col("url").alias("title"), F.lit("Geography").alias("domain"), F.lit(0.5).alias("kss"), "html")
 
 
-query("normalised_pages")(lambda c: normalised_pages(_pages(c), bridge.read(c.spark, c.sf_dir, "pages").select(F.col("page_id").alias("source_id"), F.lit(None).cast("string").alias("target"), F.lit(None).cast("string").alias("output_path")).limit(0))
-                          .select("id", "output_path", F.length("html").alias("chars"), "gzip_size"))
+def _targets(c: Curation) -> DataFrame:
+    """(source_id, target, output_path) of every link of a page to a page."""
+    found = page_features(bridge.read(c.spark, c.sf_dir, "pages"), content_id=None)
+    hrefs = found.select(F.col("id").alias("source_id"), F.explode(text.article_links(F.col("hrefs"))).alias("target"))
+    kept = _pages(c).select(F.col("path").alias("target"), text.output_path(F.col("domain"), F.col("path")).alias("output_path")).distinct()
+    return hrefs.join(kept, "target").select("source_id", "target", "output_path")
+
+
+query("normalised_pages")(lambda c: normalised_pages(_pages(c), _targets(c)).select("id", "output_path", F.length("html").alias("chars"), "gzip_size"))
 query("packed_manifest")(lambda c: package.manifest(package.compressed(_pages(c).withColumn("output_path", text.output_path(F.col("domain"), F.col("path"))))))
 query("domain_report", "SELECT domain, count(*) AS n, sum(html_size)::BIGINT AS compressed_bytes FROM domains d JOIN articles a ON a.id = d.id GROUP BY 1", "domains")(
     lambda c: package.domain_report(c.domains.join(c.articles, "id").select("domain", F.col("html_size").alias("compressed_bytes")))

@@ -46,6 +46,18 @@ def test_page_frames(spark):
     assert one.output_path == "History/A_B.html" and "../History/A_B.html#x" in one.html and one.gzip_size > 100
 
 
+def test_page_queries_take_whole_pages_and_links(spark, tmp_path):
+    from corpusloom.plans import queries
+
+    body = '<body><p>' + "a & b " * 200 + '<a href="./B%20C#x">link</a> <a href="None">dead</a></p></body>'
+    frame = spark.createDataFrame([(1, "A", body), (2, "B C", "<body><p>x</p></body>")], "page_id long, url string, html string")
+    frame.write.parquet(str(tmp_path / "pages.parquet"))
+    got = {r.page_id: r.escaped for r in queries.queries()["html_escape"](spark, str(tmp_path)).collect()}
+    assert got[1] == body.replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;").replace('"', "&quot;")
+    chars = {r.id: r.chars for r in queries.queries()["normalised_pages"](spark, str(tmp_path)).collect()}
+    assert chars[1] == len(html.normalise(body, "A", {"B C": "Geography/B_C.html"})) != len(html.normalise(body, "A", {}))
+
+
 def test_pipeline_end_to_end(spark, tmp_path):
     import json
 
