@@ -4,33 +4,43 @@ from __future__ import annotations
 
 import random
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import as_table, materialise, read_documents
+from corpusloom.llm.common import as_table, drop_table, materialise, read_documents
 from corpusloom.llm.components import connected_components
 
 #: Characters per shingle. Five-character shingles of unrelated lines coincide so often that bands would fill with chance pairs.
 SHINGLE = 8
-#: At similarity 0.8 a pair shares a band with probability 1 - (1 - 0.8^4)^8 = 0.985, at 0.9 with 0.9998.
-BANDS, ROWS = 8, 4
+#: Minima per signature: a square of ``SIDE`` by ``SIDE``. The bands are the lines of the affine plane over four elements, four
+#: minima each: a pair of similarity 0.8 shares one with probability 0.995, of 0.9 with 0.9999.
+SIDE = 4
 SIMILARITY = 0.8
-#: Leaders of a band in the second round; later rounds have four times as many each.
-LEADERS = 32
-#: Shingle positions that one array holds.
-PIECE = 4096
-#: Candidate lines (8 bytes each) that may be broadcast to fetch their texts; more are joined by a shuffle.
-BROADCAST_LINES = 2_000_000
+#: Shingle positions that one array holds, and those that one row takes at once.
+PIECE, STEP = 4096, 4
+#: Members of a leader's group whose differences are compared directly; in larger groups they are joined by what they share.
+DIRECT = 32
+#: 64-bit words of the sketch of a member's differences, in which each sets a bit.
+SKETCH_WORDS = 4
+#: Rows of 8 to 16 bytes (bands, candidate lines) that may be broadcast; more are joined by a shuffle.
+BROADCAST_ROWS = 1_000_000
 
 
 def _seeds() -> list[int]:
     r = random.Random(20)
-    return [r.getrandbits(64) - (1 << 63) for _ in range(BANDS * ROWS)]
+    return [r.getrandbits(64) - (1 << 63) for _ in range(SIDE * SIDE)]
+
+
+def _band_rows() -> list[list[int]]:
+    """The 20 lines of the affine plane of order four: y = m x + c by slopes, then the columns."""
+    times = [[0, 0, 0, 0], [0, 1, 2, 3], [0, 2, 3, 1], [0, 3, 1, 2]]  # products in the field of four elements; sums are exclusive or
+    sloped = [[SIDE * x + (times[m][x] ^ c) for x in range(SIDE)] for m in range(SIDE) for c in range(SIDE)]
+    return sloped + [[SIDE * x + y for y in range(SIDE)] for x in range(SIDE)]
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
-    """(doc_id, line_no, line, key) of every line that is not blank; key is its 64-bit hash."""
-    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    """(doc_id, text_key, line_no, line, key) of every line that is not blank; the keys are 64-bit hashes of the text and the line."""
+    lines = docs.select("doc_id", F.xxhash64("text").alias("text_key"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     return lines.where(F.col("line").rlike(r"\S")).withColumn("key", F.xxhash64("line"))
 
 
@@ -38,122 +48,216 @@ def _shingle_count(line: str) -> Column:
     return F.greatest(F.char_length(line) - F.lit(SHINGLE - 1), F.lit(1))
 
 
-def band_keys(lines: DataFrame) -> DataFrame:
-    """(band, key): the band hashes of every different line.
+def signatures(lines: DataFrame) -> DataFrame:
+    """(key, m0 ...): the minima of every different line.
 
-    A line is encoded with four bytes per character, so that a shingle is a slice found in constant time. Its
-    positions are exploded and the minima of the xored shingle hashes aggregated by line: generated code all
-    through, with the exchange of the different lines as the only one.
+    A line is encoded with four bytes per character, so that a shingle is a slice found in constant time. Its positions are
+    exploded, ``STEP`` to a row, and the minima of the xored shingle hashes aggregated by line before any exchange: texts are not shuffled.
     """
-    lone = lines.groupBy("key").agg(F.first("line").alias("line"))
-    wide = lone.select("key", F.encode("line", "UTF-32").alias("wide"), _shingle_count("line").alias("n"))
+    wide = lines.select("key", F.encode("line", "UTF-32").alias("wide"), _shingle_count("line").alias("n"))
     pieces = wide.select("key", "wide", "n", F.explode(F.sequence(F.lit(0), F.col("n") - 1, F.lit(PIECE))).alias("base"))
-    places = pieces.select("key", "wide", "n", F.explode(F.sequence("base", F.least(F.col("base") + F.lit(PIECE - 1), F.col("n") - 1))).alias("i"))
-    hashes = places.select("key", F.xxhash64(F.substring("wide", F.col("i") * 4 + 1, F.lit(4 * SHINGLE))).alias("h"))
-    signature = hashes.groupBy("key").agg(*[F.min(F.col("h").bitwiseXOR(F.lit(s))).alias(f"m{i}") for i, s in enumerate(_seeds())])
-    bands = [F.xxhash64(F.lit(b), *[f"m{b * ROWS + r}" for r in range(ROWS)]) for b in range(BANDS)]
-    return signature.select("key", F.explode(F.array(*bands)).alias("band"))
+    steps = F.sequence("base", F.least(F.col("base") + F.lit(PIECE - 1), F.col("n") - 1), F.lit(STEP))
+    places = pieces.select("key", "wide", "n", F.explode(steps).alias("i"))
+    cut = [F.substring("wide", F.least(F.col("i") + F.lit(j), F.col("n") - 1) * 4 + 1, F.lit(4 * SHINGLE)) for j in range(STEP)]
+    hashes = places.select("key", *[F.xxhash64(c).alias(f"h{j}") for j, c in enumerate(cut)])
+    least = [F.min(F.least(*[F.col(f"h{j}").bitwiseXOR(F.lit(s)) for j in range(STEP)])) for s in _seeds()]
+    return hashes.groupBy("key").agg(*[m.alias(f"m{i}") for i, m in enumerate(least)])
+
+
+def band_keys(signed: DataFrame) -> DataFrame:
+    """(key, band): the band hashes of every signature."""
+    bands = [F.xxhash64(F.lit(b), *[f"m{i}" for i in rows]) for b, rows in enumerate(_band_rows())]
+    return signed.select("key", F.explode(F.array(*bands)).alias("band"))
+
+
+def _bound(value: Column, use) -> Column:
+    """use(value) with value computed once, not in every step of a lambda inside."""
+    return F.transform(F.array(value), use)[0]
+
+
+def shingle_set(line: str) -> Column:
+    """The different shingle hashes of a line."""
+    steps = F.sequence(F.lit(0), _shingle_count(line) - 1)
+    cut = lambda wide: F.transform(steps, lambda i: F.xxhash64(F.substring(wide, i * 4 + 1, F.lit(4 * SHINGLE))))
+    return F.array_distinct(_bound(F.encode(line, "UTF-32"), cut))
+
+
+def _few(df: DataFrame) -> DataFrame:
+    """df marked for a broadcast if its rows are few enough to."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
 
+def band_members(lines: DataFrame) -> DataFrame:
+    """(key, lead): every line of a band of several with the band's leader, the line whose bands hold most lines (the original among its copies)."""
+    spark = lines.sparkSession
+    signed, path = as_table(signatures(lines), "line-signatures")
+    sizes = materialise(band_keys(signed).groupBy("band").agg(F.count("*").alias("n")).where("n > 1"))
+    rows = materialise(band_keys(signed).join(_few(sizes), "band"))
+    drop_table(spark, path)
+    ranked = rows.join(rows.groupBy("key").agg((-F.sum("n")).alias("order")), "key")
+    leads = ranked.groupBy("band").agg(F.min(F.struct("order", "key"))["key"].alias("lead"))
+    return materialise(rows.join(leads, "band").where("key <> lead").select("key", "lead").distinct())
 
-def similarity(a: str, b: str) -> Column:
-    """Exact Jaccard similarity of the sets of character shingles of two lines."""
 
-    def bound(value: Column, use) -> Column:
-        """use(value) with value computed once, not in every step of a lambda inside."""
-        return F.transform(F.array(value), use)[0]
+def differences(members: DataFrame, lines: DataFrame) -> DataFrame:
+    """(lead, key, size, plus, minus, alike, parts): how a member's shingle set differs from its leader's.
+
+    ``size`` counts the leader's shingles, ``plus`` those only the member has, ``minus`` those it lacks; ``parts`` are their
+    hashes, the former first, each kind ascending. A group of one member needs no parts.
+    """
+    keys = members.select("key").unionByName(members.select(F.col("lead").alias("key"))).distinct()
+    texts = materialise(lines.select("key", "line").join(_few(materialise(keys)), "key", "left_semi").groupBy("key").agg(F.first("line").alias("line")))
+    leads = members.groupBy("lead").agg(F.count("*").alias("n"))
+    sets = leads.join(texts.withColumnRenamed("key", "lead"), "lead").select("lead", "n", shingle_set("line").alias("theirs"))
+    both = members.join(texts, "key").select("lead", "key", shingle_set("line").alias("own")).join(sets, "lead")
+    split = both.select("lead", "key", "n", F.size("theirs").alias("size"), F.sort_array(F.array_except("own", "theirs")).alias("more"), F.sort_array(F.array_except("theirs", "own")).alias("less"))
+    counted = split.select("*", F.size("more").alias("plus"), F.size("less").alias("minus"))
+    alike = _alike(F.col("size"), F.col("plus"), F.col("minus")).alias("alike")
+    return counted.select("lead", "key", "size", "plus", "minus", alike, F.when(F.col("n") > 1, F.concat("more", "less")).alias("parts"))
 
-    def shingles(line: str) -> Column:
-        steps = F.sequence(F.lit(0), _shingle_count(line) - 1)
-        cut = lambda wide: F.transform(steps, lambda i: F.xxhash64(F.substring(wide, i * 4 + 1, F.lit(4 * SHINGLE))))
-        return F.array_distinct(bound(F.encode(line, "UTF-32"), cut))
 
-    def jaccard(s: Column) -> Column:
-        return bound(F.size(F.array_intersect(s["x"], s["y"])), lambda both: both / (F.size(s["x"]) + F.size(s["y"]) - both))
+def _alike(size: Column, plus: Column, minus: Column) -> Column:
+    return size - minus >= F.lit(SIMILARITY) * (size + plus)
 
-    return bound(F.struct(shingles(a).alias("x"), shingles(b).alias("y")), jaccard)
 
+def recentred(big: DataFrame) -> DataFrame:
+    """big (rows of ``differences`` with n and own) with every member's difference to its group's centre, whose key is ``centre``.
 
-def verified(pairs: DataFrame, lines: DataFrame) -> DataFrame:
-    """pairs (a, b) with ``alike``: whether their lines are similar enough."""
-    keys = materialise(pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct())
-    wanted = F.broadcast(keys) if keys.count() <= BROADCAST_LINES else keys
-    texts = materialise(lines.select("key", "line").join(wanted, "key", "left_semi").groupBy("key").agg(F.first("line").alias("line")))
-    a = texts.select(F.col("key").alias("a"), F.col("line").alias("la"))
-    b = texts.select(F.col("key").alias("b"), F.col("line").alias("lb"))
-    both = pairs.join(a, "a").join(b, "b")
-    return both.select("a", "b", (similarity("la", "lb") >= SIMILARITY).alias("alike"))
+    The parts that more than half of a group have are what sets its leader apart; the centre is the member nearest to having just
+    these. What sets a member apart from the centre follows from both differences to the leader.
+    """
+    often = big.select("lead", "n", F.explode("parts").alias("part")).groupBy("lead", "part").agg(F.count("*").alias("times"), F.max("n").alias("n")).where("2 * times > n")
+    usual = often.groupBy("lead").agg(F.collect_list("part").alias("usual"))
+    off = F.size("parts") - 2 * F.coalesce(F.size(F.array_intersect("parts", "usual")), F.lit(0))
+    centre = big.join(usual, "lead", "left").groupBy("lead").agg(F.min(F.struct(off.alias("off"), "key"))["key"].alias("key"))
+    centre = big.join(centre, ["lead", "key"]).select("lead", F.col("key").alias("centre"), F.col("plus").alias("c_plus"), F.col("minus").alias("c_minus"), F.col("parts").alias("c_parts"))
+    both = big.join(centre, "lead").where("key <> centre")
+    has, lacks, c_has, c_lacks = (F.slice(p, F.lit(1) + (a if second else F.lit(0)), b if second else a) for p, a, b in (("parts", F.col("plus"), F.col("minus")), ("c_parts", F.col("c_plus"), F.col("c_minus"))) for second in (False, True))
+    more = F.sort_array(F.concat(F.array_except(has, c_has), F.array_except(c_lacks, lacks)))
+    less = F.sort_array(F.concat(F.array_except(c_has, has), F.array_except(lacks, c_lacks)))
+    moved = both.select("lead", "key", "centre", "n", "own", (F.col("size") + F.col("c_plus") - F.col("c_minus")).alias("size"), more.alias("more"), less.alias("less"))
+    sized = moved.withColumn("plus", F.size("more")).withColumn("minus", F.size("less"))
+    return sized.withColumn("alike", _alike(F.col("size"), F.col("plus"), F.col("minus"))).withColumn("parts", F.concat("more", "less")).drop("more", "less")
+
+
+def _sides(apart: DataFrame) -> tuple[DataFrame, DataFrame, Column, Column]:
+    """Members that are not alike to their leader, all members, which two may be similar and apart, and how many parts they need in common."""
+    words = [f"b{w}" for w in range(SKETCH_WORDS)]
+    sketch = [F.expr(f"aggregate(parts, 0L, (a, p) -> a | if((shiftright(p, 6) & {SKETCH_WORDS - 1}) = {w}, shiftleft(1L, cast(p & 63 as int)), 0L))").alias(b) for w, b in enumerate(words)]
+    rows = apart.select("*", (F.col("minus") + F.lit(SIMILARITY) * F.col("plus")).alias("weight"), F.size("parts").alias("all"), *sketch)
+    mine = rows.where("not alike").select("lead", "size", *[F.col(c).alias(f"{c}_x") for c in ("key", "own", "weight", "all", "parts", *words)])
+    yours = rows.select("lead", *[F.col(c).alias(f"{c}_y") for c in ("key", "own", "weight", "all", "parts", "alike", *words)])
+    apart_yet = (F.col("own_x") != F.col("own_y")) & (F.col("alike_y") | (F.col("key_x") < F.col("key_y")))
+    needed = (F.col("weight_x") + F.col("weight_y") - F.lit(1 - SIMILARITY) * F.col("size")) / F.lit(1 + SIMILARITY) - F.lit(1e-6)
+    # a bit that only one side has is of a part that only it has
+    only = [sum(F.bit_count(F.col(f"{b}_{p}").bitwiseAND(F.bitwise_not(f"{b}_{q}"))) for b in words) for p, q in ("xy", "yx")]
+    may_be = apart_yet & (F.col("all_x") - only[0] >= needed) & (F.col("all_y") - only[1] >= needed)
+    return mine, yours, may_be, needed
+
+
+def missed_pairs(apart: DataFrame) -> DataFrame:
+    """(a, b): similar members of one leader's group that are in different components; apart has the columns of ``differences``, n and own.
+
+    With s parts in common, the members x and y have size - minus(x) - minus(y) + s shingles in common and size + plus(x) + plus(y) - s
+    in all. They are similar only if s >= (weight(x) + weight(y) - 0.2 size) / 1.8, with weight = minus + 0.8 plus. Two that are alike to
+    their leader are in its component, so of a pair one, x, is not: weight(x) > 0.2 size. Small groups are compared directly. In a
+    large group, recentred, s is over weight(y) / 1.8, and at least weight(x) - 0.2 size, so that the first parts of both (all
+    but that many, and one) have one in common; they are joined on these. What only few lines have comes first, and the
+    place where two meet tells how many parts may follow.
+    """
+    mine, yours, may_be, needed = _sides(apart.where(F.col("n") <= DIRECT))
+    similar = F.size(F.array_intersect("parts_x", "parts_y")) >= needed
+    ends = F.col("key_x").alias("a"), F.col("key_y").alias("b")
+    small = mine.join(yours, "lead").where(may_be & similar).select(*ends)
+
+    big, path = as_table(recentred(apart.where(F.col("n") > DIRECT)), "line-centres")
+    near = big.where("alike").select(F.col("key").alias("a"), F.col("centre").alias("b"))
+    mine, yours, may_be, needed = _sides(big)
+    words = [c for c in mine.columns if c.startswith("b")]
+    least_x = F.greatest(F.ceil(F.col("weight_x") - F.lit(1 - SIMILARITY) * F.col("size") - F.lit(1e-6)), F.lit(1)).cast("int")
+    least_y = F.greatest(F.ceil(F.col("weight_y") / F.lit(1 + SIMILARITY) - F.lit(1e-6)), F.lit(1)).cast("int")
+    first = lambda side, least: F.posexplode(F.slice(f"parts_{side}", F.lit(1), F.greatest(F.col(f"all_{side}") - least + 1, F.lit(0))))
+    probes = mine.select("lead", "size", "key_x", "own_x", "weight_x", "all_x", *words, first("x", least_x).alias("i", "part"))
+    index = yours.select("lead", "key_y", "own_y", "weight_y", "all_y", "alike_y", *[w.replace("_x", "_y") for w in words], first("y", least_y).alias("j", "part"))
+    follow = F.least(F.col("all_x") - F.col("i"), F.col("all_y") - F.col("j"))
+    met = materialise(probes.join(index, ["lead", "part"]).where(may_be & (follow >= needed)).select("lead", "key_x", "key_y").distinct())
+    similar = F.size(F.array_intersect("parts_x", "parts_y")) >= needed
+    found = met.join(mine, ["lead", "key_x"]).join(yours.drop("own_y"), ["lead", "key_y"]).where(similar).select(*ends)
+    out = materialise(small.unionByName(near).unionByName(found).distinct())
+    drop_table(apart.sparkSession, path)
+    return out
 
 
 def similar_lines(lines: DataFrame) -> DataFrame:
     """(node, component) of the keys of lines that have similar lines.
 
-    In every band the most central line leads (the one whose bands hold most lines; the original among its copies), and
-    every other member is compared with it, exactly. Of what is left of a band, all lines meet ``LEADERS`` more leaders, then four times as
-    many, until every two lines of a band have been compared or are in one component. A hot band is a partial
-    aggregate and a join that adaptive execution splits, never one task's group.
+    Every line of a band is compared with the band's leader, exactly. Those that are alike form components, and of what is
+    left, every pair of a band is decided from the differences to the common leader (``missed_pairs``): no similar pair of a band is lost,
+    and no group is compared pair by pair but the smallest.
+    """
+    spark = lines.sparkSession
+    compared, path = as_table(differences(band_members(lines), lines), "line-differences")
+    links = compared.where("alike").select(F.col("key").alias("a"), F.col("lead").alias("b"))
+    groups, held = as_table(connected_components(links), "line-groups")
+    own = compared.where("parts is not null").join(groups.select(F.col("node").alias("key"), "component"), "key", "left").withColumn("own", F.coalesce("component", "key")).drop("component")
+    several = own.groupBy("lead").agg(F.count("*").alias("n"), F.min("own").alias("lo"), F.max("own").alias("hi")).where("lo <> hi").select("lead", "n")
+    apart, rest = as_table(own.join(several, "lead"), "line-rest")
+    more = missed_pairs(apart)
+    for done in (path, rest):
+        drop_table(spark, done)
+    out = materialise(connected_components(groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)))
+    drop_table(spark, held)
+    return out
+
+
+def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, text_key, line_no, key) of the one line that stays of every group of similar lines.
+
+    Lines whose sets of character shingles have a similarity of at least 0.8 are linked; of every connected group (equal lines
+    included) the line with the smallest (doc_id, line_no) stays; ties of rows with one identifier go by the hash of the text. Rows
+    without doc_id come first, equal rows are one document, a line shorter than a shingle is its own only shingle. Null, empty and
+    blank texts have no lines, an empty table none. Texts of any length are taken whole, and only the two columns named are read.
     """
-    rows = materialise(band_keys(lines))
-    sizes = rows.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
-    rest = materialise(rows.join(sizes, "band"))
-    central = rest.groupBy("key").agg((-F.sum("n")).alias("order"))
-    rest = materialise(rest.drop("n").join(central, "key"))
-    counts = rest.groupBy("band").agg(F.min(F.struct("order", "key")).alias("lead"), F.count("*").alias("n")).where("n > 1")
-    members = materialise(rest.join(counts.select("band", F.col("lead.key").alias("lead")), "band").where("key <> lead"))
-    tested = materialise(members.select(F.greatest("key", "lead").alias("a"), F.least("key", "lead").alias("b")).distinct())
-    links = materialise(verified(tested, lines)).where("alike").select("a", "b")
-    groups, _ = as_table(connected_components(links), "line-groups")
-    left, width = members.select("band", "key", "order"), LEADERS
-    while True:
-        own = groups.select(F.col("node").alias("key"), F.col("component").alias("own"))
-        grouped = left.join(own, "key", "left").withColumn("own", F.coalesce("own", "key"))
-        several = grouped.groupBy("band").agg(F.min("own").alias("lo"), F.max("own").alias("hi")).where("lo <> hi").select("band")
-        rank = F.row_number().over(Window.partitionBy("band").orderBy("order", "key"))
-        ranked, _ = as_table(grouped.join(several, "band").withColumn("rank", rank), "line-bands")
-        if ranked.isEmpty():
-            return groups
-        leaders = ranked.where(F.col("rank") <= width).select("band", F.col("key").alias("lead"), F.col("own").alias("its"), F.col("rank").alias("lead_rank"))
-        pairs = ranked.join(leaders, "band").where("lead_rank < rank and own <> its").select(F.greatest("key", "lead").alias("a"), F.least("key", "lead").alias("b")).distinct()
-        pairs = materialise(pairs.join(tested, ["a", "b"], "left_anti"))
-        tested = tested.unionByName(pairs)
-        alike = materialise(verified(pairs, lines)).where("alike").select("a", "b")
-        if not alike.isEmpty():
-            links = links.unionByName(alike)
-            groups, _ = as_table(connected_components(links), "line-groups")
-        left = ranked.where(F.col("rank") > width).select("band", "key", "order")
-        width *= 4
+    lines = lines_of(_source(docs, id_col, text_col))
+    groups = similar_lines(lines).withColumnRenamed("node", "key")
+    places = lines.groupBy("key").agg(F.min(F.struct("doc_id", "line_no", "text_key")).alias("place"))
+    grouped = places.join(groups, "key", "left").groupBy(F.coalesce("component", "key").alias("line_group"))
+    first = grouped.agg(F.min(F.struct("place", "key")).alias("first"))
+    return materialise(first.select("first.place.doc_id", "first.place.text_key", "first.place.line_no", "first.key"))
+
+
+def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
 
 def line_decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, line_no, key, kept) of every line that is not blank.
+    """(doc_id, text_key, line_no, key, kept) of every line that is not blank, once per different row; see ``kept_lines``."""
+    lines = lines_of(_source(docs, id_col, text_col)).select("doc_id", "text_key", "line_no", "key").distinct()
+    stay = kept_lines(docs, id_col, text_col).select(F.col("doc_id").alias("d"), F.col("text_key").alias("t"), F.col("line_no").alias("l"), F.lit(True).alias("stays"))
+    same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("t")) & (F.col("line_no") == F.col("l"))
+    return lines.join(stay, same, "left").select("doc_id", "text_key", "line_no", "key", F.coalesce("stays", F.lit(False)).alias("kept"))
 
-    Lines whose character-shingle sets have a similarity of at least 0.8 are linked; of every connected group (equal
-    lines included) the line with the smallest (doc_id, line_no) stays. Null and empty texts have no lines, blank lines are
-    not looked at and stay, a line shorter than a shingle is its own only shingle, rows without doc_id come first, and
-    repeated rows count as one.
-    """
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    lines = lines_of(source)
-    groups = similar_lines(lines).withColumnRenamed("node", "key")
-    places = materialise(lines.select("doc_id", "line_no", "key").join(groups, "key", "left").select("doc_id", "line_no", "key", F.coalesce("component", "key").alias("line_group")))
-    first = places.groupBy("line_group").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    kept = F.col("first").isNull() | (F.struct("doc_id", "line_no") == F.col("first"))
-    return places.join(first, "line_group", "left").select("doc_id", "line_no", "key", kept.alias("kept"))
+
+def _with_kept(docs: DataFrame, kept: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """docs as ``row`` with ``kept`` (one row per document, or null), whatever their columns are called."""
+    row = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("own_id"), F.xxhash64(text_col).alias("own_key"))
+    return row.join(kept, F.col("own_id").eqNullSafe(F.col("doc_id")) & (F.col("own_key") == F.col("text_key")), "left")
 
 
-def drop_lines(docs: DataFrame, decisions: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with the text left by ``line_decisions``; all other columns stay."""
-    gone = decisions.where("not kept").groupBy("doc_id").agg(F.collect_set("line_no").alias("__gone")).withColumnRenamed("doc_id", "__id")
-    left = F.filter(F.split(text_col, "\n"), lambda line, i: ~F.array_contains(F.col("__gone"), i))
-    joined = docs.join(gone, F.col(id_col).cast("long").eqNullSafe(F.col("__id")), "left")
-    return joined.withColumn(text_col, F.when(F.col("__gone").isNull(), F.col(text_col)).otherwise(F.array_join(left, "\n"))).drop("__gone", "__id")
+def drop_lines(docs: DataFrame, kept: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs with the text that ``kept_lines`` and blank lines leave; null texts and all other columns stay."""
+    stay = kept.groupBy("doc_id", "text_key").agg(F.collect_set("line_no").alias("stay"))
+    text = F.col("row")[text_col]
+    left = F.filter(F.split(text, "\n"), lambda line, i: ~line.rlike(r"\S") | F.coalesce(F.array_contains("stay", i), F.lit(False)))
+    joined = _with_kept(docs, stay, id_col, text_col)
+    return joined.select(*[F.array_join(left, "\n").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def op4_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: doc_id, n_lines (not blank), n_removed, kept_digest (exclusive or of the hashes of the kept lines and their numbers)."""
     docs = read_documents(spark, sf_dir)
-    counts = line_decisions(docs).groupBy("doc_id").agg(
-        F.count("*").alias("n_lines"), F.count_if(~F.col("kept")).alias("n_removed"),
-        F.bit_xor(F.when(F.col("kept"), F.xxhash64("line_no", "key")).otherwise(F.lit(0).cast("long"))).alias("digest"),
-    )
-    every = docs.select("doc_id").join(counts, "doc_id", "left")
-    return every.select("doc_id", F.coalesce("n_lines", F.lit(0)).alias("n_lines"), F.coalesce("n_removed", F.lit(0)).alias("n_removed"), F.lower(F.hex(F.coalesce("digest", F.lit(0)))).alias("kept_digest"))
+    counts = kept_lines(docs).groupBy("doc_id", "text_key").agg(F.count("*").alias("n_kept"), F.bit_xor(F.xxhash64("line_no", "key")).alias("digest"))
+    lines = F.size(F.filter(F.split(F.col("row.text"), "\n"), lambda line: line.rlike(r"\S")))
+    n_lines = F.when(F.col("row.text").isNull(), 0).otherwise(lines).cast("long")
+    every = _with_kept(docs, counts, "doc_id", "text").select(F.col("row.doc_id").alias("doc_id"), n_lines.alias("n_lines"), F.coalesce("n_kept", F.lit(0)).alias("n_kept"), F.coalesce("digest", F.lit(0)).alias("digest"))
+    return every.select("doc_id", "n_lines", (F.col("n_lines") - F.col("n_kept")).alias("n_removed"), F.lpad(F.lower(F.hex("digest")), 16, "0").alias("kept_digest"))

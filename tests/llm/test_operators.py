@@ -9,7 +9,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from corpusloom.llm import context_mixing, decontaminate, fuzzy_lines, langid, mixing, pii, progressive_jpeg, simhash, sstable, suffix_dedup
+from corpusloom.llm import context_mixing, decontaminate, langid, mixing, pii, progressive_jpeg, simhash, sstable, suffix_dedup
 from corpusloom.llm.common import index_words
 from corpusloom.llm.components import connected_components
 
@@ -142,82 +142,6 @@ def test_mixing(spark, docs, rows, empty):
     assert mixing.pareto_mix(empty).count() == 0
 
 
-def test_fuzzy_lines(spark, empty):
-    r = random.Random(8)
-    base = [words(r, 30) for _ in range(30)]
-    near = [b.replace("river", "rivers", 1) if "river" in b else b + " x" for b in base[:10]]
-    texts = ["\n".join(base[i : i + 3]) for i in range(0, 30, 3)] + ["\n".join(near), "\n\n", None, "short\nshort", "x" * 9000 + "\n" + "x" * 9001]
-    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = {(x.doc_id, x.line_no): x.kept for x in fuzzy_lines.line_decisions(frame).collect()}
-    lines = [(i, n, l) for i, t in enumerate(texts) for n, l in enumerate((t or "").split("\n")) if l.strip()]
-    sets = [frozenset(l[k : k + 8] for k in range(max(1, len(l) - 7))) for *_, l in lines]
-    root = list(range(len(lines)))
-
-    def find(x):
-        while root[x] != x:
-            x = root[x]
-        return x
-
-    for a in range(len(lines)):
-        for b in range(a):
-            if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
-                x, y = find(a), find(b)
-                root[max(x, y)] = min(x, y)
-    want = {lines[k][:2]: find(k) == k for k in range(len(lines))}
-    assert set(got) == set(want) and sum(got[k] != want[k] for k in want) <= 1
-    assert fuzzy_lines.line_decisions(empty).count() == 0
-    left = fuzzy_lines.drop_lines(frame, fuzzy_lines.line_decisions(frame))
-    assert {x.doc_id: x.text for x in left.collect()}[12] is None and left.count() == len(texts)
-
-
-def test_line_signatures_around_128_shingles(spark):
-    r = random.Random(31)
-    base = ["".join(r.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(132)) for _ in range(40)]
-    lines = base + [b + "tail" for b in base] + ["-" * 200, "-" * 220]
-    frame = fuzzy_lines.lines_of(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string"))
-    bands, key = defaultdict(set), {x.doc_id: x.key for x in frame.collect()}
-    for x in fuzzy_lines.band_keys(frame).collect():
-        bands[x.key].add(x.band)
-    assert all(bands[key[k]] & bands[key[k + 40]] for k in range(40)) and bands[key[80]] and bands[key[80]] == bands[key[81]]
-
-
-def test_every_similar_pair_of_a_band_is_linked(spark, monkeypatch):
-    monkeypatch.setattr(fuzzy_lines, "LEADERS", 2)
-    r = random.Random(32)
-    letters = "abcdefghijklmnopqrstuvwxyz "
-
-    def edited(line, n):
-        for k in r.sample(range(8, len(line) - 8), n):
-            line = line[:k] + r.choice(letters) + line[k + 1 :]
-        return line
-
-    lines = []
-    for _ in range(50):
-        original = "".join(r.choice(letters) for _ in range(120))
-        copies = [edited(original, 1) for _ in range(7)]
-        lines += [original, *copies, edited(copies[-1], 1)]
-    frame = fuzzy_lines.lines_of(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string"))
-    text = {x.key: x.line for x in frame.collect()}
-    sets = {k: frozenset(t[i : i + 8] for i in range(len(t) - 7)) for k, t in text.items()}
-    bands, root = defaultdict(list), {k: k for k in text}
-    for x in fuzzy_lines.band_keys(frame).collect():
-        bands[x.band].append(x.key)
-
-    def find(x):
-        while root[x] != x:
-            x = root[x]
-        return x
-
-    for held in bands.values():
-        for a in held:
-            for b in held:
-                if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
-                    x, y = find(a), find(b)
-                    root[max(x, y)] = min(x, y)
-    got = {x.node: x.component for x in fuzzy_lines.similar_lines(frame).collect()}
-    assert {k: got.get(k, k) for k in text} == {k: find(k) for k in text}
-
-
 def test_language_model(docs, empty):
     r = random.Random(4)
     deck = {"a": [f"{x}{y}a" for x in "bdgkl" for y in "aeo"], "b": [f"{x}{y}z" for x in "mnprs" for y in "iuy"]}
