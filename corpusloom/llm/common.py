@@ -46,10 +46,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def as_table(df: DataFrame, name: str = "step") -> tuple[DataFrame, str]:
-    """df written as a table in the shared folder and read again, and its path: for plans that join a result with itself."""
+def as_table(df: DataFrame, name: str = "step", plain: bool = False) -> tuple[DataFrame, str]:
+    """df written as a table in the shared folder and read again, and its path: for plans that join a result with itself.
+
+    ``plain``: hashes, which no encoding makes smaller, are written as they are.
+    """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.write.option("compression", "none").option("parquet.enable.dictionary", "false") if plain else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 

@@ -12,14 +12,18 @@ from corpusloom.llm.components import connected_components
 
 #: Characters per shingle. Five-character shingles of unrelated lines coincide so often that bands would fill with chance pairs.
 SHINGLE = 8
-#: Minima per signature: a square of ``SIDE`` by ``SIDE``. The bands are the lines of the affine plane over four elements, four
-#: minima each: a pair of similarity 0.8 shares one with probability 0.995, of 0.9 with 0.9999.
+#: Minima per signature: a square of ``SIDE`` by ``SIDE``. The bands are the 16 sloped lines of the affine plane over four elements,
+#: four minima each: a pair of similarity 0.8 shares one with probability 0.989, of 0.9 with 0.9994.
 SIDE = 4
+#: Bytes of a character in UTF-16, in which lines are cut; one beyond the basic plane counts as two.
+WIDE = 2
 SIMILARITY = 0.8
 #: Shingle positions that one array holds, and those that one row takes at once.
 PIECE, STEP = 4096, 4
 #: Members of a leader's group whose differences are compared directly; in larger groups they are joined by what they share.
 DIRECT = 32
+#: What decides which member of a large group is its centre: one of so many parts, of so many members at most.
+CENTRE_SHARE, CENTRE_MEMBERS = 4, 256
 #: 64-bit words of the sketch of a member's differences, in which each sets a bit.
 SKETCH_WORDS = 4
 #: Rows of 8 to 16 bytes (bands, candidate lines) that may be broadcast; more are joined by a shuffle.
@@ -32,34 +36,40 @@ def _seeds() -> list[int]:
 
 
 def _band_rows() -> list[list[int]]:
-    """The 20 lines of the affine plane of order four: y = m x + c by slopes, then the columns."""
+    """The lines y = m x + c of the affine plane of order four."""
     times = [[0, 0, 0, 0], [0, 1, 2, 3], [0, 2, 3, 1], [0, 3, 1, 2]]  # products in the field of four elements; sums are exclusive or
-    sloped = [[SIDE * x + (times[m][x] ^ c) for x in range(SIDE)] for m in range(SIDE) for c in range(SIDE)]
-    return sloped + [[SIDE * x + y for y in range(SIDE)] for x in range(SIDE)]
+    return [[SIDE * x + (times[m][x] ^ c) for x in range(SIDE)] for m in range(SIDE) for c in range(SIDE)]
+
+
+def _not_blank(line: Column) -> Column:
+    return F.ltrim(line, F.lit(" \t\x0b\f\r")) != ""
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
     """(doc_id, text_key, line_no, line, key) of every line that is not blank; the keys are 64-bit hashes of the text and the line."""
     lines = docs.select("doc_id", F.xxhash64("text").alias("text_key"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    return lines.where(F.col("line").rlike(r"\S")).withColumn("key", F.xxhash64("line"))
+    return lines.where(_not_blank(F.col("line"))).withColumn("key", F.xxhash64("line"))
+
 
+def _shingle_count(wide) -> Column:
+    return F.greatest((F.octet_length(wide) / F.lit(WIDE)).cast("int") - F.lit(SHINGLE - 1), F.lit(1))
 
-def _shingle_count(line: str) -> Column:
-    return F.greatest(F.char_length(line) - F.lit(SHINGLE - 1), F.lit(1))
+
+def _shingle(wide, i: Column) -> Column:
+    return F.xxhash64(F.substring(wide, i * WIDE + 1, F.lit(WIDE * SHINGLE)))
 
 
 def signatures(lines: DataFrame) -> DataFrame:
     """(key, m0 ...): the minima of every different line.
 
-    A line is encoded with four bytes per character, so that a shingle is a slice found in constant time. Its positions are
+    A line is encoded with two bytes per character, so that a shingle is a slice found in constant time. Its positions are
     exploded, ``STEP`` to a row, and the minima of the xored shingle hashes aggregated by line before any exchange: texts are not shuffled.
     """
-    wide = lines.select("key", F.encode("line", "UTF-32").alias("wide"), _shingle_count("line").alias("n"))
+    wide = lines.select("key", F.encode("line", "UTF-16BE").alias("wide")).select("key", "wide", _shingle_count("wide").alias("n"))
     pieces = wide.select("key", "wide", "n", F.explode(F.sequence(F.lit(0), F.col("n") - 1, F.lit(PIECE))).alias("base"))
     steps = F.sequence("base", F.least(F.col("base") + F.lit(PIECE - 1), F.col("n") - 1), F.lit(STEP))
     places = pieces.select("key", "wide", "n", F.explode(steps).alias("i"))
-    cut = [F.substring("wide", F.least(F.col("i") + F.lit(j), F.col("n") - 1) * 4 + 1, F.lit(4 * SHINGLE)) for j in range(STEP)]
-    hashes = places.select("key", *[F.xxhash64(c).alias(f"h{j}") for j, c in enumerate(cut)])
+    hashes = places.select("key", *[_shingle("wide", F.least(F.col("i") + F.lit(j), F.col("n") - 1)).alias(f"h{j}") for j in range(STEP)])
     least = [F.min(F.least(*[F.col(f"h{j}").bitwiseXOR(F.lit(s)) for j in range(STEP)])) for s in _seeds()]
     return hashes.groupBy("key").agg(*[m.alias(f"m{i}") for i, m in enumerate(least)])
 
@@ -75,11 +85,10 @@ def _bound(value: Column, use) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
-def shingle_set(line: str) -> Column:
-    """The different shingle hashes of a line."""
-    steps = F.sequence(F.lit(0), _shingle_count(line) - 1)
-    cut = lambda wide: F.transform(steps, lambda i: F.xxhash64(F.substring(wide, i * 4 + 1, F.lit(4 * SHINGLE))))
-    return F.array_distinct(_bound(F.encode(line, "UTF-32"), cut))
+def shingles(line: str) -> Column:
+    """The shingle hashes of a line, repeats included."""
+    cut = lambda wide: F.transform(F.sequence(F.lit(0), _shingle_count(wide) - 1), lambda i: _shingle(wide, i))
+    return _bound(F.encode(line, "UTF-16BE"), cut)
 
 
 def _few(df: DataFrame) -> DataFrame:
@@ -90,12 +99,13 @@ def _few(df: DataFrame) -> DataFrame:
 def band_members(lines: DataFrame) -> DataFrame:
     """(key, lead): every line of a band of several with the band's leader, the line whose bands hold most lines (the original among its copies)."""
     spark = lines.sparkSession
-    signed, path = as_table(signatures(lines), "line-signatures")
+    signed, path = as_table(signatures(lines), "line-signatures", plain=True)
     sizes = materialise(band_keys(signed).groupBy("band").agg(F.count("*").alias("n")).where("n > 1"))
     rows = materialise(band_keys(signed).join(_few(sizes), "band"))
     drop_table(spark, path)
-    ranked = rows.join(rows.groupBy("key").agg((-F.sum("n")).alias("order")), "key")
-    leads = ranked.groupBy("band").agg(F.min(F.struct("order", "key"))["key"].alias("lead"))
+    # one number, so that the aggregate stays in generated code; of two lines with equal orders either may lead
+    order = F.shiftleft(F.sum("n"), 24) + F.col("key").bitwiseAND(F.lit((1 << 24) - 1))
+    leads = rows.join(rows.groupBy("key").agg(order.alias("order")), "key").groupBy("band").agg(F.max_by("key", "order").alias("lead"))
     return materialise(rows.join(leads, "band").where("key <> lead").select("key", "lead").distinct())
 
 
@@ -103,14 +113,14 @@ def differences(members: DataFrame, lines: DataFrame) -> DataFrame:
     """(lead, key, size, plus, minus, alike, parts): how a member's shingle set differs from its leader's.
 
     ``size`` counts the leader's shingles, ``plus`` those only the member has, ``minus`` those it lacks; ``parts`` are their
-    hashes, the former first, each kind ascending. A group of one member needs no parts.
+    hashes, the former first. A group of one member needs no parts.
     """
     keys = members.select("key").unionByName(members.select(F.col("lead").alias("key"))).distinct()
     texts = materialise(lines.select("key", "line").join(_few(materialise(keys)), "key", "left_semi").groupBy("key").agg(F.first("line").alias("line")))
     leads = members.groupBy("lead").agg(F.count("*").alias("n"))
-    sets = leads.join(texts.withColumnRenamed("key", "lead"), "lead").select("lead", "n", shingle_set("line").alias("theirs"))
-    both = members.join(texts, "key").select("lead", "key", shingle_set("line").alias("own")).join(sets, "lead")
-    split = both.select("lead", "key", "n", F.size("theirs").alias("size"), F.sort_array(F.array_except("own", "theirs")).alias("more"), F.sort_array(F.array_except("theirs", "own")).alias("less"))
+    sets = leads.join(texts.withColumnRenamed("key", "lead"), "lead").select("lead", "n", F.array_distinct(shingles("line")).alias("theirs"))
+    both = members.join(texts, "key").join(sets, "lead").select("lead", "key", "n", "theirs", shingles("line").alias("own"))
+    split = both.select("lead", "key", "n", F.size("theirs").alias("size"), F.array_except("own", "theirs").alias("more"), F.array_except("theirs", "own").alias("less"))
     counted = split.select("*", F.size("more").alias("plus"), F.size("less").alias("minus"))
     alike = _alike(F.col("size"), F.col("plus"), F.col("minus")).alias("alike")
     return counted.select("lead", "key", "size", "plus", "minus", alike, F.when(F.col("n") > 1, F.concat("more", "less")).alias("parts"))
@@ -121,30 +131,40 @@ def _alike(size: Column, plus: Column, minus: Column) -> Column:
 
 
 def recentred(big: DataFrame) -> DataFrame:
-    """big (rows of ``differences`` with n and own) with every member's difference to its group's centre, whose key is ``centre``.
+    """big (rows of ``differences`` with n and own) with every member's difference to its group's centre, which is in the component ``c_own``.
 
     The parts that more than half of a group have are what sets its leader apart; the centre is the member nearest to having just
-    these. What sets a member apart from the centre follows from both differences to the leader.
+    these, judged by some parts of some members (any centre gives right results). What sets a member apart from the centre follows from
+    both differences to the leader.
     """
-    often = big.select("lead", "n", F.explode("parts").alias("part")).groupBy("lead", "part").agg(F.count("*").alias("times"), F.max("n").alias("n")).where("2 * times > n")
+    some = F.filter("parts", lambda p: F.pmod(p, F.lit(CENTRE_SHARE)) == 0)
+    narrow = big.select("lead", "key", "n", some.alias("some"))
+    each = F.ceil(F.col("n") / F.lit(CENTRE_MEMBERS))
+    heard = narrow.where(F.pmod(F.xxhash64("key"), each) == 0).select("lead", (F.col("n") / each).alias("n"), F.explode("some").alias("part"))
+    often = heard.groupBy("lead", "part").agg(F.count("*").alias("times"), F.max("n").alias("n")).where("2 * times > n")
     usual = often.groupBy("lead").agg(F.collect_list("part").alias("usual"))
-    off = F.size("parts") - 2 * F.coalesce(F.size(F.array_intersect("parts", "usual")), F.lit(0))
-    centre = big.join(usual, "lead", "left").groupBy("lead").agg(F.min(F.struct(off.alias("off"), "key"))["key"].alias("key"))
-    centre = big.join(centre, ["lead", "key"]).select("lead", F.col("key").alias("centre"), F.col("plus").alias("c_plus"), F.col("minus").alias("c_minus"), F.col("parts").alias("c_parts"))
+    off = F.size("some") - 2 * F.coalesce(F.size(F.array_intersect("some", "usual")), F.lit(0))
+    centre = narrow.join(usual, "lead", "left").groupBy("lead").agg(F.min(F.struct(off.alias("off"), "key"))["key"].alias("key"))
+    centre = big.join(_few(materialise(centre)), ["lead", "key"]).select("lead", F.col("key").alias("centre"), F.col("own").alias("c_own"), F.col("plus").alias("c_plus"), F.col("minus").alias("c_minus"), F.col("parts").alias("c_parts"))
     both = big.join(centre, "lead").where("key <> centre")
     has, lacks, c_has, c_lacks = (F.slice(p, F.lit(1) + (a if second else F.lit(0)), b if second else a) for p, a, b in (("parts", F.col("plus"), F.col("minus")), ("c_parts", F.col("c_plus"), F.col("c_minus"))) for second in (False, True))
     more = F.sort_array(F.concat(F.array_except(has, c_has), F.array_except(c_lacks, lacks)))
     less = F.sort_array(F.concat(F.array_except(c_has, has), F.array_except(lacks, c_lacks)))
-    moved = both.select("lead", "key", "centre", "n", "own", (F.col("size") + F.col("c_plus") - F.col("c_minus")).alias("size"), more.alias("more"), less.alias("less"))
+    moved = both.select("lead", "key", "c_own", "n", "own", (F.col("size") + F.col("c_plus") - F.col("c_minus")).alias("size"), more.alias("more"), less.alias("less"))
     sized = moved.withColumn("plus", F.size("more")).withColumn("minus", F.size("less"))
     return sized.withColumn("alike", _alike(F.col("size"), F.col("plus"), F.col("minus"))).withColumn("parts", F.concat("more", "less")).drop("more", "less")
 
 
+def sketched(rows: DataFrame) -> DataFrame:
+    """rows with b0 ...: words in which every part has set a bit."""
+    word = "aggregate(parts, 0L, (a, p) -> a | if((shiftright(p, 6) & {}) = {}, shiftleft(1L, cast(p & 63 as int)), 0L))"
+    return rows.select("*", *[F.expr(word.format(SKETCH_WORDS - 1, w)).alias(f"b{w}") for w in range(SKETCH_WORDS)])
+
+
 def _sides(apart: DataFrame) -> tuple[DataFrame, DataFrame, Column, Column]:
     """Members that are not alike to their leader, all members, which two may be similar and apart, and how many parts they need in common."""
     words = [f"b{w}" for w in range(SKETCH_WORDS)]
-    sketch = [F.expr(f"aggregate(parts, 0L, (a, p) -> a | if((shiftright(p, 6) & {SKETCH_WORDS - 1}) = {w}, shiftleft(1L, cast(p & 63 as int)), 0L))").alias(b) for w, b in enumerate(words)]
-    rows = apart.select("*", (F.col("minus") + F.lit(SIMILARITY) * F.col("plus")).alias("weight"), F.size("parts").alias("all"), *sketch)
+    rows = apart.select("*", (F.col("minus") + F.lit(SIMILARITY) * F.col("plus")).alias("weight"), F.size("parts").alias("all"))
     mine = rows.where("not alike").select("lead", "size", *[F.col(c).alias(f"{c}_x") for c in ("key", "own", "weight", "all", "parts", *words)])
     yours = rows.select("lead", *[F.col(c).alias(f"{c}_y") for c in ("key", "own", "weight", "all", "parts", "alike", *words)])
     apart_yet = (F.col("own_x") != F.col("own_y")) & (F.col("alike_y") | (F.col("key_x") < F.col("key_y")))
@@ -156,7 +176,7 @@ def _sides(apart: DataFrame) -> tuple[DataFrame, DataFrame, Column, Column]:
 
 
 def missed_pairs(apart: DataFrame) -> DataFrame:
-    """(a, b): similar members of one leader's group that are in different components; apart has the columns of ``differences``, n and own.
+    """(a, b): components that have similar members of one leader's group; apart has the columns of ``differences``, n, own and a sketch.
 
     With s parts in common, the members x and y have size - minus(x) - minus(y) + s shingles in common and size + plus(x) + plus(y) - s
     in all. They are similar only if s >= (weight(x) + weight(y) - 0.2 size) / 1.8, with weight = minus + 0.8 plus. Two that are alike to
@@ -165,26 +185,31 @@ def missed_pairs(apart: DataFrame) -> DataFrame:
     but that many, and one) have one in common; they are joined on these. What only few lines have comes first, and the
     place where two meet tells how many parts may follow.
     """
-    mine, yours, may_be, needed = _sides(apart.where(F.col("n") <= DIRECT))
-    similar = F.size(F.array_intersect("parts_x", "parts_y")) >= needed
-    ends = F.col("key_x").alias("a"), F.col("key_y").alias("b")
-    small = mine.join(yours, "lead").where(may_be & similar).select(*ends)
+    spark, pairs = apart.sparkSession, ("lead", "key_x", "key_y")
+    mine, yours, may_be, _ = _sides(apart.where(F.col("n") <= DIRECT))
+    small = mine.drop("parts_x").join(yours.drop("parts_y"), "lead").where(may_be).select(*pairs)
 
-    big, path = as_table(recentred(apart.where(F.col("n") > DIRECT)), "line-centres")
-    near = big.where("alike").select(F.col("key").alias("a"), F.col("centre").alias("b"))
+    big, path = as_table(sketched(recentred(apart.where(F.col("n") > DIRECT))), "line-centres", plain=True)
+    near = big.where("alike").select(F.col("own").alias("a"), F.col("c_own").alias("b"))
     mine, yours, may_be, needed = _sides(big)
-    words = [c for c in mine.columns if c.startswith("b")]
     least_x = F.greatest(F.ceil(F.col("weight_x") - F.lit(1 - SIMILARITY) * F.col("size") - F.lit(1e-6)), F.lit(1)).cast("int")
     least_y = F.greatest(F.ceil(F.col("weight_y") / F.lit(1 + SIMILARITY) - F.lit(1e-6)), F.lit(1)).cast("int")
     first = lambda side, least: F.posexplode(F.slice(f"parts_{side}", F.lit(1), F.greatest(F.col(f"all_{side}") - least + 1, F.lit(0))))
-    probes = mine.select("lead", "size", "key_x", "own_x", "weight_x", "all_x", *words, first("x", least_x).alias("i", "part"))
-    index = yours.select("lead", "key_y", "own_y", "weight_y", "all_y", "alike_y", *[w.replace("_x", "_y") for w in words], first("y", least_y).alias("j", "part"))
+    probes = mine.select(*[c for c in mine.columns if c != "parts_x"], first("x", least_x).alias("i", "part"))
+    index = yours.select(*[c for c in yours.columns if c != "parts_y"], first("y", least_y).alias("j", "part"))
     follow = F.least(F.col("all_x") - F.col("i"), F.col("all_y") - F.col("j"))
-    met = materialise(probes.join(index, ["lead", "part"]).where(may_be & (follow >= needed)).select("lead", "key_x", "key_y").distinct())
-    similar = F.size(F.array_intersect("parts_x", "parts_y")) >= needed
-    found = met.join(mine, ["lead", "key_x"]).join(yours.drop("own_y"), ["lead", "key_y"]).where(similar).select(*ends)
-    out = materialise(small.unionByName(near).unionByName(found).distinct())
-    drop_table(apart.sparkSession, path)
+    large = probes.join(index, ["lead", "part"]).where(may_be & (follow >= needed)).select(*pairs).distinct()
+
+    def decided(met: DataFrame, rows: DataFrame) -> DataFrame:
+        held = materialise(met)
+        ends = held.select("lead", F.col("key_x").alias("key")).unionByName(held.select("lead", F.col("key_y").alias("key"))).distinct()
+        mine, yours, _, needed = _sides(rows.join(_few(ends), ["lead", "key"], "left_semi"))
+        both = held.join(mine, ["lead", "key_x"]).join(yours, ["lead", "key_y"])
+        return both.where(F.size(F.array_intersect("parts_x", "parts_y")) >= needed).select(F.col("own_x").alias("a"), F.col("own_y").alias("b"))
+
+    found = decided(small, apart).unionByName(decided(large, big))
+    out = materialise(near.unionByName(found).where("a <> b").distinct())
+    drop_table(spark, path)
     return out
 
 
@@ -196,16 +221,18 @@ def similar_lines(lines: DataFrame) -> DataFrame:
     and no group is compared pair by pair but the smallest.
     """
     spark = lines.sparkSession
-    compared, path = as_table(differences(band_members(lines), lines), "line-differences")
+    compared, path = as_table(differences(band_members(lines), lines), "line-differences", plain=True)
     links = compared.where("alike").select(F.col("key").alias("a"), F.col("lead").alias("b"))
     groups, held = as_table(connected_components(links), "line-groups")
-    own = compared.where("parts is not null").join(groups.select(F.col("node").alias("key"), "component"), "key", "left").withColumn("own", F.coalesce("component", "key")).drop("component")
+    own = compared.where("parts is not null").join(_few(groups.select(F.col("node").alias("key"), "component")), "key", "left").withColumn("own", F.coalesce("component", "key")).drop("component")
     several = own.groupBy("lead").agg(F.count("*").alias("n"), F.min("own").alias("lo"), F.max("own").alias("hi")).where("lo <> hi").select("lead", "n")
-    apart, rest = as_table(own.join(several, "lead"), "line-rest")
+    apart, rest = as_table(sketched(own.join(_few(materialise(several)), "lead")), "line-rest", plain=True)
     more = missed_pairs(apart)
     for done in (path, rest):
         drop_table(spark, done)
-    out = materialise(connected_components(groups.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)))
+    wider = materialise(connected_components(more))
+    moved = groups.join(_few(wider.select(F.col("node").alias("component"), F.col("component").alias("now"))), "component", "left")
+    out = materialise(moved.select("node", F.coalesce("now", "component").alias("component")).unionByName(wider).distinct())
     drop_table(spark, held)
     return out
 
@@ -238,18 +265,17 @@ def line_decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return lines.join(stay, same, "left").select("doc_id", "text_key", "line_no", "key", F.coalesce("stays", F.lit(False)).alias("kept"))
 
 
-def _with_kept(docs: DataFrame, kept: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """docs as ``row`` with ``kept`` (one row per document, or null), whatever their columns are called."""
-    row = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("own_id"), F.xxhash64(text_col).alias("own_key"))
-    return row.join(kept, F.col("own_id").eqNullSafe(F.col("doc_id")) & (F.col("own_key") == F.col("text_key")), "left")
+def _with_kept(rows: DataFrame, kept: DataFrame) -> DataFrame:
+    """rows, whose identifier and text are known as own_id and own_key, with ``kept`` (one row per document, or null)."""
+    return rows.join(kept, F.col("own_id").eqNullSafe(F.col("doc_id")) & (F.col("own_key") == F.col("text_key")), "left")
 
 
 def drop_lines(docs: DataFrame, kept: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with the text that ``kept_lines`` and blank lines leave; null texts and all other columns stay."""
     stay = kept.groupBy("doc_id", "text_key").agg(F.collect_set("line_no").alias("stay"))
     text = F.col("row")[text_col]
-    left = F.filter(F.split(text, "\n"), lambda line, i: ~line.rlike(r"\S") | F.coalesce(F.array_contains("stay", i), F.lit(False)))
-    joined = _with_kept(docs, stay, id_col, text_col)
+    left = F.filter(F.split(text, "\n"), lambda line, i: ~_not_blank(line) | F.coalesce(F.array_contains("stay", i), F.lit(False)))
+    joined = _with_kept(docs.select(F.struct("*").alias("row"), F.col(id_col).alias("own_id"), F.xxhash64(text_col).alias("own_key")), stay)
     return joined.select(*[F.array_join(left, "\n").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns])
 
 
@@ -257,7 +283,7 @@ def op4_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: doc_id, n_lines (not blank), n_removed, kept_digest (exclusive or of the hashes of the kept lines and their numbers)."""
     docs = read_documents(spark, sf_dir)
     counts = kept_lines(docs).groupBy("doc_id", "text_key").agg(F.count("*").alias("n_kept"), F.bit_xor(F.xxhash64("line_no", "key")).alias("digest"))
-    lines = F.size(F.filter(F.split(F.col("row.text"), "\n"), lambda line: line.rlike(r"\S")))
-    n_lines = F.when(F.col("row.text").isNull(), 0).otherwise(lines).cast("long")
-    every = _with_kept(docs, counts, "doc_id", "text").select(F.col("row.doc_id").alias("doc_id"), n_lines.alias("n_lines"), F.coalesce("n_kept", F.lit(0)).alias("n_kept"), F.coalesce("digest", F.lit(0)).alias("digest"))
-    return every.select("doc_id", "n_lines", (F.col("n_lines") - F.col("n_kept")).alias("n_removed"), F.lpad(F.lower(F.hex("digest")), 16, "0").alias("kept_digest"))
+    lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(F.filter(F.split("text", "\n"), _not_blank))).cast("long")
+    every = _with_kept(docs.select(F.col("doc_id").alias("own_id"), F.xxhash64("text").alias("own_key"), lines.alias("n_lines")), counts)
+    n_removed = F.col("n_lines") - F.coalesce("n_kept", F.lit(0))
+    return every.select(F.col("own_id").alias("doc_id"), "n_lines", n_removed.alias("n_removed"), F.lpad(F.lower(F.hex(F.coalesce("digest", F.lit(0)))), 16, "0").alias("kept_digest"))
