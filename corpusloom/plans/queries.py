@@ -155,8 +155,10 @@ def repair_round1(c: Curation) -> DataFrame:
 
 query("repair_fixpoint")(lambda c: c.repaired().selection.select("id", "domain", "anchor"))
 query("induced_subgraph", "SELECT source_id, target_id FROM inner_edges", "inner_edges")(lambda c: links.induced_edges(c.edges, c.selected))
-query("adjacency_lists", "SELECT s.id, (SELECT count(*) FROM inner_edges e WHERE e.source_id = s.id) AS n_out, (SELECT count(*) FROM inner_edges e WHERE e.target_id = s.id) AS n_in FROM selected s", "inner_edges")(
-    lambda c: links.adjacency(c.edges, c.selected).select("id", F.size("outbound").cast("long").alias("n_out"), F.size("inbound").cast("long").alias("n_in"))
+query("adjacency_lists", """SELECT s.id, coalesce(o.ids, '') AS outbound, coalesce(i.ids, '') AS inbound FROM selected s
+LEFT JOIN (SELECT source_id AS id, string_agg(CAST(target_id AS VARCHAR), ' ' ORDER BY target_id) AS ids FROM inner_edges GROUP BY 1) o ON o.id = s.id
+LEFT JOIN (SELECT target_id AS id, string_agg(CAST(source_id AS VARCHAR), ' ' ORDER BY source_id) AS ids FROM inner_edges GROUP BY 1) i ON i.id = s.id""", "inner_edges")(
+    lambda c: links.adjacency(c.edges, c.selected).select("id", F.array_join("outbound", " ").alias("outbound"), F.array_join("inbound", " ").alias("inbound"))
 )
 query("inbound_orphans", "SELECT id FROM selected WHERE id NOT IN (SELECT target_id FROM inner_edges)", "inner_edges")(lambda c: validate.inbound_orphans(c.selected, c.kept_edges))
 query("outbound_orphans", "SELECT id FROM selected WHERE id NOT IN (SELECT source_id FROM inner_edges)", "inner_edges")(lambda c: validate.outbound_orphans(c.selected, c.kept_edges))
@@ -181,12 +183,12 @@ FROM (SELECT page_id, CASE WHEN h <> '' AND NOT ({_SKIP}) THEN nullif(ltrim(url_
 query("slug", r"SELECT page_id, left(regexp_replace(replace(url, ' ', '_'), '[^\w\-.]', '_', 'g'), 200) AS slug FROM pages")(
     lambda c: bridge.read(c.spark, c.sf_dir, "pages").select("page_id", text.slug(F.col("url")).alias("slug"))
 )
-query("output_path_collisions", r"""SELECT output_path, count(*) AS n FROM (SELECT lang || '/' || left(regexp_replace(replace(source || ' ' || (doc_id % 100), ' ', '_'), '[^\w\-.]', '_', 'g'), 200) || '.html' AS output_path FROM documents)
+query("output_path_collisions", r"""SELECT output_path, count(*) AS n FROM (SELECT lang || '/' || left(regexp_replace(replace(source || ' ' || n_chars, ' ', '_'), '[^\w\-.]', '_', 'g'), 200) || '.html' AS output_path FROM documents)
 GROUP BY 1 HAVING count(*) > 1""")(
-    lambda c: bridge.read(c.spark, c.sf_dir, "documents").select(text.output_path(F.col("lang"), F.concat("source", F.lit(" "), F.col("doc_id") % 100)).alias("output_path"))
+    lambda c: bridge.read(c.spark, c.sf_dir, "documents").select(text.output_path(F.col("lang"), F.concat("source", F.lit(" "), F.col("n_chars").cast("string"))).alias("output_path"))
     .groupBy("output_path").agg(F.count("*").alias("n")).where("n > 1")
 )
-query("html_escape", """SELECT page_id, replace(replace(replace(replace(left(html, 400), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;') AS escaped FROM pages""")(
+query("html_escape", """SELECT page_id, replace(replace(replace(replace(html, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;') AS escaped FROM pages""")(
     lambda c: bridge.read(c.spark, c.sf_dir, "pages").select("page_id", text.html_escape(F.col("html")).alias("escaped"))
 )
 query("article_paths", "SELECT page_id, CAST(NOT (" + " OR ".join(f"starts_with(url, '{p}')" for p in text.NON_ARTICLE_PREFIXES) + ") AS INT) AS is_article FROM pages")(
