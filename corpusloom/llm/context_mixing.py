@@ -2,7 +2,8 @@
 
 The model predicts the bits of a text's bytes (and a final zero byte). Each of the contexts of one to four
 bytes before, hashed with the bits of the byte seen so far, has a slot of bit counts in a table sized by the contexts counted; their log odds are mixed by two sets of weights, each chosen by a gate. A last
-mixer, which starts equal for every text and follows its own text by online gradient steps, combines the two.
+mixer, which starts equal for every text and follows its own text by online gradient steps, combines the two with own weights for every place of
+a bit in its byte.
 """
 
 from __future__ import annotations
@@ -32,14 +33,20 @@ P1, P2, P3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x1
 STEP_BYTES = 2 << 20
 #: Bytes after which the last mixer of a text moves its weights.
 MIX_BLOCK = 16
+#: Step of the last mixer: the mean slope of a block moves a weight by this.
+RATE = 0.12
 #: Texts of about one size that the last mixer follows at once: its arrays stay in the processor's cache.
 GROUP_TEXTS = 256
 #: Word counts that are broadcast at most; rarer words are joined.
 BROADCAST_WORDS = 1_000_000
-#: Newton steps for the gated weights at most; they end when no weight moves by 0.001.
-NEWTON_STEPS = 12
-#: Tasks that count grams into slot tables: each holds whole tables.
+#: Newton steps for the gated weights at most; they end when no weight moves by so much.
+NEWTON_STEPS, LEAST_MOVE = 12, 0.001
+#: The first steps take one gram in so many (by hash, so they grow with the input), the last ones, to this precision, all of them.
+FIRST_SHARE, LAST_MOVE = 16, 0.005
+#: Tasks that share the first steps: their sums are small.
 GRAM_TASKS = 12
+#: Blocks of slots that one task counts, and the largest count that travels (both counts of a slot are scaled to it).
+TASK_BLOCKS, MOST = 64, 60_000.0
 END = xxhash.xxh64_intdigest(b"\n") - (1 << 63)
 
 
@@ -72,17 +79,28 @@ def pieces(texts: list[bytes]) -> Iterator[tuple[list[bytes], bytes, bool]]:
             yield texts[s], b"", True
 
 
+def _context_hash(g: np.ndarray, order: int) -> np.ndarray:
+    h = (((g >> np.uint64(8)) & np.uint64((1 << 8 * order) - 1)) ^ np.uint64(order << 56)) * P1
+    return h ^ (h >> np.uint64(31))
+
+
+def block_of(g: np.ndarray, order: int, n_slots: int) -> np.ndarray:
+    """Block of slots of a context of ``order`` bytes: all slots of a context are in one, whatever the bits before."""
+    bits = n_slots.bit_length() - 1 - BLOCK_BITS
+    return ((_context_hash(g, order) * P2) >> np.uint64(64 - bits)).astype(np.int64) if bits > 0 else np.zeros(len(g), np.int64)
+
+
+def inner_slot(h: np.ndarray, g: np.ndarray, bit: int) -> np.ndarray:
+    """Slot within the block of a context (by its hash) and the bits before."""
+    cur = ((g & np.uint64(255)) | np.uint64(256)) >> np.uint64(8 - bit)
+    return (((h ^ (cur * P2)) * P3) >> np.uint64(64 - BLOCK_BITS)).astype(np.int64)
+
+
 def slots(g: np.ndarray, order: int, n_slots: int) -> np.ndarray:
     """[bit, gram] slot of a context of ``order`` bytes and the bits before, in a table of ``n_slots``, a power of two."""
-    shift = np.uint64(65 - n_slots.bit_length())
-    context = (g >> np.uint64(8)) & np.uint64((1 << 8 * order) - 1)
-    h = (context ^ np.uint64(order << 56)) * P1
-    h ^= h >> np.uint64(31)
-    cur = (g & np.uint64(255)) | np.uint64(256)
-    out = np.empty((8, len(g)), np.int64)
-    for j in range(8):
-        out[j] = ((h ^ ((cur >> np.uint64(8 - j)) * P2)) * P3) >> shift
-    return out
+    h = _context_hash(g, order)
+    base = block_of(g, order, n_slots) << BLOCK_BITS
+    return np.stack([base | inner_slot(h, g, j) for j in range(8)])
 
 
 def bits_of(g: np.ndarray) -> np.ndarray:
@@ -91,25 +109,32 @@ def bits_of(g: np.ndarray) -> np.ndarray:
     return np.stack([(low >> np.uint8(7 - j)) & np.uint8(1) for j in range(8)]).astype(np.float32)
 
 
-def count_bits(ones, every, g: np.ndarray, n: np.ndarray) -> None:
-    """Add n occurrences of each gram (ascending) to the [order, slot] counts; shorter contexts are summed up first."""
-    for order in range(ORDERS, 0, -1):
-        key = g & np.uint64((1 << 8 * (order + 1)) - 1)
-        if order < ORDERS:
-            by = np.argsort(key)
-            key, n = key[by], n[by]
-            cut = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))[: len(key)]
-            key, n = key[cut], np.add.reduceat(n, cut) if len(cut) else n
-        g = key
-        count_order(ones[order - 1], every[order - 1], g, n, order)
-
-
-def count_order(ones: np.ndarray, every: np.ndarray, g: np.ndarray, n: np.ndarray, order: int) -> None:
-    """Add n occurrences of each gram to the slots of one order."""
-    bit, at = bits_of(g), slots(g, order, len(every))
+def of_order(g: np.ndarray, n: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ascending different grams of a shorter context, with their summed counts."""
+    return _merge([(g & np.uint64((1 << 8 * (order + 1)) - 1), n)])
+
+
+def count_order(ones: np.ndarray, every: np.ndarray, base: np.ndarray, g: np.ndarray, n: np.ndarray, order: int) -> None:
+    """Add n occurrences of each gram (ascending) to the slots of one order; ``base`` is where a gram's block begins.
+
+    Ascending grams of one context and of the same bits before are neighbours: they are summed up first.
+    """
+    if not len(g):
+        return
+    h = _context_hash(g, order)
     for j in range(8):
-        every += np.bincount(at[j], n, len(every)).astype(every.dtype)
-        ones += np.bincount(at[j], n * bit[j], len(ones)).astype(ones.dtype)
+        node = g >> np.uint64(8 - j)
+        cut = np.flatnonzero(np.concatenate(([True], node[1:] != node[:-1])))
+        at = base[cut] + inner_slot(h[cut], g[cut], j)
+        np.add.at(every, at, np.add.reduceat(n, cut))
+        np.add.at(ones, at, np.add.reduceat(n * ((g >> np.uint64(7 - j)) & np.uint64(1)).astype(n.dtype), cut))
+
+
+def count_bits(ones, every, g: np.ndarray, n: np.ndarray) -> None:
+    """Add n occurrences of each gram to the [order, slot] counts."""
+    for order in range(1, ORDERS + 1):
+        key, times = of_order(g, n, order)
+        count_order(ones[order - 1], every[order - 1], block_of(key, order, len(every[order - 1])) << BLOCK_BITS, key, times.astype(np.float64), order)
 
 
 def log_odds(ones, zeros):
@@ -136,7 +161,7 @@ class MixingModel:
 
     def logits(self, g: np.ndarray) -> np.ndarray:
         """[gate, bit, gram] mixed log odds."""
-        x = [self.odds[o][slots(g, o + 1, len(self.odds[o]))] for o in range(ORDERS)]
+        x = [self.odds[o][slots(g, o + 1, len(self.odds[o]))].astype(np.float32) for o in range(ORDERS)]
         known = sum((own[0] != 0).astype(np.int64) for own in x)
         out = np.empty((len(N_SETS), 8, len(g)), np.float32)
         for k, chosen in enumerate(gates(g, known)):
@@ -166,7 +191,7 @@ class MixingModel:
         # signed so that larger is better for the bit that came: a gram knows its own bits
         mixed = np.ascontiguousarray((self.logits(values) * (2 * bits_of(values) - 1)).reshape(-1, len(values)).T)
         first = np.cumsum(sizes) - sizes
-        w = np.full((len(texts), 2), 0.5, np.float32) if state is None else state
+        w = np.full((len(texts), 2, 8), 0.5, np.float32) if state is None else state
         nats = np.zeros(len(texts))
         by_size = np.argsort(-sizes, kind="stable")
         for lo in range(0, len(texts), GROUP_TEXTS):
@@ -180,7 +205,7 @@ class MixingModel:
     def _mix(mixed, index, first, sizes, w) -> np.ndarray:
         """Follow some texts in step; w is moved on in place."""
         at, nats = np.zeros(len(sizes), np.int64), np.zeros(len(sizes))
-        one, rate = np.float32(1), np.float32(0.03)
+        one, rate = np.float32(1), np.float32(RATE)
         while True:
             # blocks are short and alike for every text: none depends on the other texts of the batch
             take = np.minimum(MIX_BLOCK, sizes - at)
@@ -190,7 +215,7 @@ class MixingModel:
             n = take[live]
             rows = ranges((first + at)[live], n)
             x = np.ascontiguousarray(mixed[index[rows]].T).reshape(2, 8, -1)
-            own = np.repeat(-w[live].T, n, axis=1)
+            own = np.repeat(-w[live].transpose(1, 2, 0), n, axis=2)
             e = x[0] * own[0]
             e += x[1] * own[1]
             np.exp(e, out=e)
@@ -199,13 +224,11 @@ class MixingModel:
             nats[live] += np.add.reduceat(np.log(e).sum(axis=0), starts, dtype=np.float64)
             np.reciprocal(e, out=e)
             np.subtract(one, e, out=e)
-            for k in range(2):
-                x[k] *= e
-                w[live, k] += rate * np.add.reduceat(x[k].sum(axis=0), starts) / (8 * n).astype(np.float32)
+            x *= e
+            w[live] += (rate * np.add.reduceat(x, starts, axis=2) / n.astype(np.float32)).transpose(2, 0, 1)
             at[live] += n
 
 
-
 def slopes(ones, every, g: np.ndarray, n: np.ndarray, weights: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
     """Per gate, the gradient and curvature of the log likelihood of n occurrences of each gram; each is taken out of its own counts."""
     out = [(np.zeros(w.shape), np.zeros((*w.shape, ORDERS + 1))) for w in weights]
@@ -215,8 +238,8 @@ def slopes(ones, every, g: np.ndarray, n: np.ndarray, weights: list[np.ndarray])
         x = np.ones((8, len(part), ORDERS + 1), np.float32)
         for o in range(ORDERS):
             s = slots(part, o + 1, len(every[o]))
-            one = ones[o][s]
-            x[:, :, o] = log_odds(np.maximum(one - y, 0), np.maximum(every[o][s] - one - (1 - y), 0))
+            one, total = ones[o][s].astype(np.float32), every[o][s].astype(np.float32)
+            x[:, :, o] = log_odds(np.maximum(one - y, 0), np.maximum(total - one - (1 - y), 0))
         known = (x[0, :, :ORDERS] != 0).sum(axis=1)
         for k, chosen in enumerate(gates(part, known)):
             for c in np.unique(chosen):
@@ -228,35 +251,37 @@ def slopes(ones, every, g: np.ndarray, n: np.ndarray, weights: list[np.ndarray])
     return out
 
 
-def fit_weights(step) -> list[np.ndarray]:
-    """Gated weights by Newton steps; ``step`` gives the slopes of weights over all training texts."""
+def fit_weights(*steps) -> list[np.ndarray]:
+    """Gated weights by Newton steps; each of ``steps`` is (slopes of weights, steps at most, least move), and goes on from the one before."""
     start = [np.concatenate((np.full((n, 8, ORDERS), 0.35, np.float32), np.zeros((n, 8, 1), np.float32)), axis=2) for n in N_SETS]
     weights = [w.copy() for w in start]
-    for _ in range(NEWTON_STEPS):
-        moved = 0.0
-        for k, (slope, curve) in enumerate(step(weights)):
-            slope = slope + start[k] - weights[k]  # what has no occurrences stays at its start
-            by = np.clip(np.linalg.solve(curve + np.eye(ORDERS + 1), slope[..., None])[..., 0], -1, 1)
-            weights[k] = (weights[k] + by).astype(np.float32)
-            moved = max(moved, float(np.abs(by).max()))
-        if moved < 0.001:
-            break
+    for step, most, least in steps:
+        for _ in range(most):
+            moved = 0.0
+            for k, (slope, curve) in enumerate(step(weights)):
+                slope = slope + start[k] - weights[k]  # what has no occurrences stays at its start
+                by = np.clip(np.linalg.solve(curve + np.eye(ORDERS + 1), slope[..., None])[..., 0], -1, 1)
+                weights[k] = (weights[k] + by).astype(np.float32)
+                moved = max(moved, float(np.abs(by).max()))
+            if moved < least:
+                break
     return weights
 
 
 def learn_weights(ones, every, texts: list[bytes]) -> list[np.ndarray]:
     """Gated weights from all occurrences in texts."""
     if not texts:
-        return fit_weights(lambda weights: [(np.zeros(w.shape), np.zeros((*w.shape, ORDERS + 1))) for w in weights])
+        return fit_weights()
     g, n = np.unique(grams(texts)[0] & GRAM, return_counts=True)
-    return fit_weights(lambda weights: slopes(ones, every, g, n, weights))
+    return fit_weights((lambda weights: slopes(ones, every, g, n, weights), NEWTON_STEPS, LEAST_MOVE))
 
 
 def learn_from_grams(counts: DataFrame, ones, every) -> list[np.ndarray]:
-    """Gated weights from all occurrences of the counted grams; every partition sums up its slopes."""
-    held = counts.sparkSession.sparkContext.broadcast(tuple([x.astype(np.float32) for x in table] for table in (ones, every)))
+    """Gated weights from all occurrences of the counted grams; every partition sums up its slopes. The first steps take a share of the grams."""
+    held = counts.sparkSession.sparkContext.broadcast((ones, every))
+    some = materialise(counts.where(F.pmod(F.xxhash64("gram"), F.lit(FIRST_SHARE)) == 0).coalesce(GRAM_TASKS))
 
-    def step(weights: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
+    def step(grams_of: DataFrame, weights: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total = None
             for batch in batches:
@@ -268,7 +293,7 @@ def learn_from_grams(counts: DataFrame, ones, every) -> list[np.ndarray]:
 
         width = ORDERS + 1
         total = np.zeros(sum(n * 8 * width * (width + 1) for n in N_SETS))
-        for row in counts.mapInArrow(run, "slopes binary").toLocalIterator():
+        for row in grams_of.mapInArrow(run, "slopes binary").toLocalIterator():
             total += np.frombuffer(row.slopes)
         out, at = [], 0
         for n in N_SETS:
@@ -279,7 +304,7 @@ def learn_from_grams(counts: DataFrame, ones, every) -> list[np.ndarray]:
         return out
 
     try:
-        return fit_weights(step)
+        return fit_weights((lambda w: step(some, w), NEWTON_STEPS, LEAST_MOVE), (lambda w: step(counts, w), NEWTON_STEPS, LAST_MOVE))
     finally:
         held.unpersist()
 
@@ -325,51 +350,57 @@ def table_sizes(counts: DataFrame) -> list[int]:
     def node(order: int, j: int):
         return F.shiftright(F.col("gram").bitwiseAND(F.lit((1 << 8 * (order + 1)) - 1)), 8 - j)
 
-    found = counts.agg(*[F.approx_count_distinct(node(o, j)).alias(f"c{o}_{j}") for o in range(1, ORDERS + 1) for j in range(8)]).first()
-    every = [sum(found[f"c{o}_{j}"] or 0 for j in range(8)) for o in range(1, ORDERS + 1)]
+    # there are no fewer nodes with more bits: what is not counted is bounded by the next that is
+    stands_for = {0: 1, 3: 3, 5: 2, 7: 2}
+    found = counts.agg(*[F.approx_count_distinct(node(o, j)).alias(f"c{o}_{j}") for o in range(1, ORDERS + 1) for j in stands_for]).first()
+    every = [sum(times * (found[f"c{o}_{j}"] or 0) for j, times in stands_for.items()) for o in range(1, ORDERS + 1)]
     return [max(1 << SLOT_BITS, 1 << (SLOTS_PER_CONTEXT * n - 1).bit_length()) for n in every]
 
 
 def bit_tables(counts: DataFrame, sizes: list[int]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """Per order, the slots' counts of one bits and of all bits.
+    """Per order, the slots' counts of one bits and of all bits, in half precision and scaled to ``MOST`` where larger.
 
-    Grams are counted in few tasks, which send their tables on in compressed blocks; a block's counts are added up in a streaming pass.
+    All slots of a context are in one block, so grams are dealt by block: a task counts its blocks alone, and no tables are added up.
     """
-    size = 1 << BLOCK_BITS
-    base = np.concatenate(([0], np.cumsum(sizes))).tolist()
+    size, spark = 1 << BLOCK_BITS, counts.sparkSession
+    first = np.concatenate(([0], np.cumsum([n >> BLOCK_BITS for n in sizes])))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            g, n = batch.column(0).to_numpy().view(np.uint64), batch.column(1).to_numpy()
+            for order in range(1, ORDERS + 1):
+                key, times = of_order(g, n, order)
+                block = first[order - 1] + block_of(key, order, sizes[order - 1])
+                yield pa.RecordBatch.from_arrays([pa.array(block), pa.array(key.view(np.int64)), pa.array(times)], ["block", "gram", "n"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [(b.column(0).to_numpy().view(np.uint64), b.column(1).to_numpy()) for b in batches]
+        held = [[b.column(k).to_numpy() for k in range(3)] for b in batches]
         if not held:
             return
-        g, n = _merge(held)
+        block, g, n = (np.concatenate(x) for x in zip(*held))
         held.clear()
         pack = zstandard.ZstdCompressor(level=1)
-        for o in range(ORDERS):  # one order's tables at a time
-            ones, every = (np.zeros(sizes[o], np.uint64) for _ in range(2))
-            for lo in range(0, len(g), 1 << 20):
-                count_order(ones, every, g[lo : lo + (1 << 20)], n[lo : lo + (1 << 20)].astype(np.float64), o + 1)
-            for at in range(0, sizes[o], size):
-                if every[at : at + size].any():
-                    data = pack.compress(np.stack((ones[at : at + size], every[at : at + size])).tobytes())
-                    yield pa.RecordBatch.from_arrays([pa.array([(base[o] + at) >> BLOCK_BITS], pa.int64()), pa.array([data], pa.binary())], ["block", "counts"])
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, np.ndarray] = {}
-        pack, unpack = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
-        for batch in batches:
-            for block, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                held[block] = held.get(block, 0) + np.frombuffer(unpack.decompress(data), np.uint64).reshape(2, size)
-        for block, total in held.items():
-            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([pack.compress(total.tobytes())], pa.binary())], ["block", "counts"])
-
-    dealt = counts.coalesce(GRAM_TASKS).mapInArrow(count, "block long, counts binary").repartition(32, "block")
-    ones, every = ([np.zeros(k) for k in sizes] for _ in range(2))
+        order_of = np.searchsorted(first, block, "right")
+        for order in np.unique(order_of).tolist():
+            rows = np.flatnonzero(order_of == order)
+            key, times = _merge([(g[rows].view(np.uint64), n[rows])])
+            own = np.unique(block[rows])
+            base = np.searchsorted(own, first[order - 1] + block_of(key, order, sizes[order - 1])) << BLOCK_BITS
+            ones, every = (np.zeros(len(own) * size) for _ in range(2))
+            count_order(ones, every, base, key, times.astype(np.float64), order)
+            scale = np.minimum(1, MOST / np.maximum(every, 1))
+            cells = np.stack([(x * scale).astype(np.float16).reshape(-1, size) for x in (ones, every)], axis=1)
+            for b, cell in zip(own.tolist(), cells):
+                yield pa.RecordBatch.from_arrays([pa.array([b], pa.int64()), pa.array([pack.compress(cell.tobytes())], pa.binary())], ["block", "counts"])
+
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(first[-1]) // TASK_BLOCKS)
+    dealt = counts.mapInArrow(deal, "block long, gram long, n long").repartition(tasks, "block")
+    ones, every = ([np.zeros(k, np.float16) for k in sizes] for _ in range(2))
     unpack = zstandard.ZstdDecompressor()
-    for row in dealt.mapInArrow(add, "block long, counts binary").toLocalIterator():
-        o = int(np.searchsorted(base, row.block << BLOCK_BITS, "right")) - 1
-        cells = slice((row.block << BLOCK_BITS) - base[o], (row.block << BLOCK_BITS) - base[o] + size)
-        ones[o][cells], every[o][cells] = np.frombuffer(unpack.decompress(row.counts), np.uint64).reshape(2, size)
+    for row in dealt.mapInArrow(count, "block long, counts binary").toLocalIterator():
+        o = int(np.searchsorted(first, row.block, "right")) - 1
+        at = (row.block - int(first[o])) << BLOCK_BITS
+        ones[o][at : at + size], every[o][at : at + size] = np.frombuffer(unpack.decompress(row.counts), np.float16).reshape(2, size)
     return ones, every
 
 
@@ -378,7 +409,7 @@ def train_model(train: DataFrame, text_col: str = "text") -> MixingModel:
     counts = materialise(gram_counts(train, text_col))
     ones, every = bit_tables(counts, table_sizes(counts))
     weights = learn_from_grams(counts, ones, every)
-    return MixingModel([log_odds(a, b - a).astype(np.float16) for a, b in zip(ones, every)], weights)
+    return MixingModel([log_odds(a.astype(np.float32), b.astype(np.float32) - a).astype(np.float16) for a, b in zip(ones, every)], weights)
 
 
 # ---- word counts -----------------------------------------------------------------------------------------------------
@@ -432,7 +463,6 @@ def score_texts(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", text_
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, values, model = held.value
-        own = MixingModel([x.astype(np.float32) for x in model.odds], model.weights)  # half precision only travels
         logs = np.log10(values + 1.0)
         for batch in batches:
             texts = text_bytes(batch.column(1))
@@ -448,7 +478,7 @@ def score_texts(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", text_
                 rare_row, rare_word = row[~hit], table[index[~hit]]
                 cuts = np.searchsorted(rare_row, np.arange(len(part) + 1)).astype(np.int32)
                 rare = pa.ListArray.from_arrays(pa.array(cuts), pa.array(rare_word))
-                bits = own.bits(part)
+                bits = model.bits(part)
                 size = np.array([len(t) for t in part])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(s.start, s.stop - s.start), pa.array(sizes + 1), pa.array(known), pa.array(base), pa.array(-bits * np.log10(2)), pa.array(bits / np.maximum(size, 1)), rare],
