@@ -11,8 +11,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ByteType, IntegerType, LongType, NullType, ShortType
 
 #: Text bytes that one vectorised step works on; bounds a Python worker's memory.
 CHUNK_BYTES = 4 << 20
@@ -21,7 +22,7 @@ CHUNK_BYTES = 4 << 20
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, from ``spark.checkpoint.dir``.
 
-    Only where the setting is absent (tests, a laptop) a temporary folder is made.
+    Only where the setting is absent and the master is local (tests, a laptop) a temporary folder is made.
     """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if found:
@@ -30,6 +31,8 @@ def shared_dir(spark: SparkSession) -> str:
         return found.rstrip("/")
     held = spark.sparkContext._jsc.sc().getCheckpointDir()
     if held.isEmpty():
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="corpusloom-"))
         held = spark.sparkContext._jsc.sc().getCheckpointDir()
     return held.get().rstrip("/")
@@ -61,6 +64,19 @@ def drop_table(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def integer_id(docs: DataFrame, id_col: str) -> Column:
+    """The identifier as a 64-bit integer; other identifiers are refused, since a cast would fail on some rows or merge others."""
+    kind = docs.select(id_col).schema[0].dataType
+    if not isinstance(kind, (ByteType, ShortType, IntegerType, LongType, NullType)):
+        raise TypeError(f"{id_col}: identifiers must be integers, not {kind.simpleString()}")
+    return F.col(id_col).cast("long")
+
+
+def unnamed(docs: DataFrame) -> DataFrame:
+    """docs with its columns called c0, c1 ...: what is added then clashes with none; ``toDF`` with the old names undoes it."""
+    return docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+
+
 def read_documents(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
     """The named columns of the documents table."""
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select(*(cols or ("doc_id", "text")))

@@ -18,7 +18,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import chunks, distinct, index_words, materialise, ranges, read_documents, text_bytes
+from corpusloom.llm.common import chunks, distinct, index_words, integer_id, materialise, ranges, read_documents, text_bytes
 from corpusloom.llm.langid import held_out
 
 ORDERS = 4
@@ -485,7 +485,7 @@ def score_texts(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", text_
                     ["doc_id", "n_tokens", "known", "base", "score", "bits_per_byte", "rare"],
                 )
 
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    source = docs.select(integer_id(docs, id_col).alias("doc_id"), F.col(text_col).alias("text"))
     rows = source.mapInArrow(score, "doc_id long, n_tokens long, known long, base double, score double, bits_per_byte double, rare array<long>")
     spread = F.lit(float(np.log10(n_train + n_words + 1.0)))
     if complete:  # what was not found has count 0

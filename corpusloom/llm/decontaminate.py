@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import chunks, index_words, ranges, read_documents, release_memory, text_bytes
+from corpusloom.llm.common import chunks, index_words, integer_id, ranges, read_documents, release_memory, text_bytes
 
 #: Words per seed; shorter items are not searched (nothing tells a copy from chance).
 SEED_WORDS = 4
@@ -196,7 +196,7 @@ def contaminated(
     give one match, items under four words are not searched.
     """
     spark = docs.sparkSession
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    source = docs.select(integer_id(docs, id_col).alias("doc_id"), F.col(text_col).alias("text"))
     schema = "doc_id long, item_id long, score double, first_word long, last_word long, n_seeds long"
     names = [c.split()[0] for c in schema.split(", ")]
     out = spark.createDataFrame([], schema)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+import sys
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -11,11 +13,21 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from corpusloom.llm.common import CHUNK_BYTES, chunks, read_documents, release_memory, text_bytes
 
 ORDER = 5
-LETTERS = re.compile(r"[^\W\d_]+")
+
+
+def _no_letters() -> str:
+    """What Python counts among the alphanumeric characters, but Unicode not among letters (superscripts, fractions, Roman numerals), as ranges."""
+    found = [c for c in range(sys.maxunicode + 1) if chr(c).isalnum() and unicodedata.category(chr(c))[0] != "L"]
+    cuts = [k for k in range(len(found)) if not k or found[k] != found[k - 1] + 1] + [len(found)]
+    return "".join(f"{re.escape(chr(found[a]))}-{re.escape(chr(found[b - 1]))}" for a, b in zip(cuts, cuts[1:]))
+
+
+LETTERS = re.compile(rf"[^\W_{_no_letters()}]+")
 PAD, STOP = 0x110000, 0x110001
 PRIME = np.uint64(0x9E3779B97F4A7C15)
 #: Documents per language in the training sample, and their longest length in characters.
@@ -226,17 +238,22 @@ def train_language_models(
     sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS,
 ) -> KneserNeyModels:
     """Fit on a bounded sample: about ``sample_docs`` documents per language (those of the smallest identifier hashes, with at most
-    ``sample_chars`` characters), of which every fifth only calibrates. The caller leaves out held-out rows."""
-    rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    sizes = {r[0]: r[1] for r in rows.groupBy(lang_col).count().collect()}
+    ``sample_chars`` characters; of a language with longer ones only, a twentieth as many, whole), of which every fifth only
+    calibrates. The caller leaves out held-out rows. Null texts and languages teach nothing; without rows no language is known."""
+    rows = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"), F.col(lang_col).alias("l")).where("l is not null and t is not null")
+    rows = rows.withColumn("long", F.length("t") > sample_chars)
+    sizes: dict[str, list[int]] = {}
+    for r in rows.groupBy("l", "long").count().collect():
+        sizes.setdefault(r.l, [0, 0])[r.long] = r["count"]
     if not sizes:
         return KneserNeyModels([])
-    chance = F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    chance = F.pmod(F.xxhash64("i"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     within = F.lit(False)
-    for lang, n in sizes.items():
-        within = within | ((F.col(lang_col) == lang) & (chance < min(1.0, sample_docs / n)))
-    got = rows.where(within & (F.length(text_col) <= sample_chars)).select(F.col(id_col).alias("i"), F.col(text_col).alias("t"), F.col(lang_col).alias("l"))
-    sample = sorted(got.limit(2 * sample_docs * len(sizes)).collect(), key=lambda r: (r.l, r.i is None, r.i, r.t))
+    for lang, (short, long) in sizes.items():
+        within = within | ((F.col("l") == lang) & (F.col("long") == F.lit(not short)) & (chance < (min(1.0, sample_docs / short) if short else min(1.0, sample_docs / 20 / long))))
+    # the limit holds where identifiers repeat: their rows have one hash
+    got = rows.where(within).withColumn("h", chance).orderBy("h", "i", "t", "l").limit(2 * sample_docs * len(sizes)).select("i", "t", "l")
+    sample = sorted(got.collect(), key=lambda r: (r.l, r.i is None, r.i, r.t))
     words: dict[str, Counter] = {}
     for k, r in enumerate(sample):
         if k % 5:
@@ -254,7 +271,9 @@ def train_language_models(
 def predict_language(docs: DataFrame, model: KneserNeyModels, id_col: str = "doc_id", text_col: str = "text", keep: tuple = ()) -> DataFrame:
     """(id, kept columns..., lang_pred, score, rejected, cross_entropy) per row; the only input of a prediction is the whole text.
 
-    Null and letterless texts are ``und`` with score 0 and rejected. The model, bounded by its sample, is broadcast.
+    Null and letterless texts are ``und`` with score 0 and rejected; letters are those of Unicode's categories. Texts of any length are
+    read in whole words, repeated rows get a row each, of equal languages the first by name is taken, an empty table gives none. The
+    model, bounded by its sample, is broadcast. Columns to keep may not be called like those added (see ``unnamed``).
     """
     spark = docs.sparkSession
     held = spark.sparkContext.broadcast(model)
@@ -277,8 +296,8 @@ def predict_language(docs: DataFrame, model: KneserNeyModels, id_col: str = "doc
         seen.clear()
         release_memory()
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[: len(cols)])
-    return source.mapInArrow(run, f"{kinds}, lang_pred string, score double, rejected boolean, cross_entropy double")
+    added = StructType.fromDDL("lang_pred string, score double, rejected boolean, cross_entropy double")
+    return source.mapInArrow(run, StructType(source.schema.fields[: len(cols)] + added.fields))
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import materialise, read_documents
+from corpusloom.llm.common import materialise, read_documents, unnamed
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Documents that one window of the running word count holds, on average.
@@ -42,44 +42,55 @@ def pareto_mix(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
     weights=(3, 1, 2), share: float = 1.5, cap: float = 2.0, seed: str = "pareto",
 ) -> DataFrame:
-    """Return id, size, source, source_size, target, copies, taken for every document.
+    """Return doc_id, key, size, source, source_size, target, copies, taken for every document; key is a hash of text and source.
 
-    A document of a source with target T and size S is due T/S copies: floor(T/S) of them are
-    certain; the rest is its inclusion probability p. Documents are ranked by the Pareto variable
-    (U/(1-U)) / (p/(1-p)), where U is a fixed hash of the identifier, and the smallest ranks are
-    selected until the words still due are used up (the fixed size is a number of words). One more document
-    per source, the one whose size is nearest to the words still missing, closes the gap.
-    U and not the rank is sorted: within a source both give one order.
+    A source with target T and size S is due T/S copies of its words: floor(T/S) of every document are certain. The rest, a share r of S,
+    is a sample with unequal inclusion probabilities: p = r + r (1 - r) (g - G), where g = size / (size + mean size), in steps of 1/1024,
+    favours longer documents, and G is its mean over the words of the source, so that the expected words are r S. Documents are ranked by the
+    Pareto variable (U / (1 - U)) / (p / (1 - p)), where U is a fixed hash of the identifier, and the smallest ranks are selected until the
+    words still due are used up (the fixed size is a number of words). One more document per source, the one whose size is nearest to
+    the words still missing, closes the gap.
 
-    The running word count is a window over hash buckets of about ``PER_BUCKET`` documents plus the words of
+    The running word count is a window over buckets of about ``PER_BUCKET`` documents, which follow the ranks, plus the words of
     the buckets before, so a source with a third of all rows is spread over many tasks.
-    Null texts have size 0 and take 0; a null source is a source of its own; repeated rows
-    are separate documents; an empty table gives an empty result.
+    Null texts have size 0 and take 0; texts are counted whole, whatever their length; a null source is a source of its own; repeated rows
+    are separate documents (equal ranks go by identifier and size); an empty table gives an empty result; other columns are not read.
     """
     sized = materialise(docs.select(
-        F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
+        F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), F.xxhash64(text_col, source_col).alias("key"),
         F.coalesce(F.regexp_count(text_col, F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
         F.conv(F.substring(F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(":" + seed))), 1, 13), 16, 10).cast("long").alias("x"),
     ))
     targets = source_targets(sized, weights, share, cap)
     rows = sized.withColumnRenamed("source", "own").join(targets, F.col("own").eqNullSafe(F.col("source"))).drop("own")
     due = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    n_buckets = F.ceil(F.col("n_docs") / F.lit(PER_BUCKET))
+    favour = F.floor(F.lit(1024.0) * F.col("size") / (F.col("size") + F.col("source_size") / F.col("n_docs")))
+    rows = rows.withColumn("certain", F.floor(due)).withColumn("rest", F.col("target") - F.col("certain") * F.col("source_size")).withColumn("g", F.when(F.col("source_size") > 0, favour).otherwise(0))
+    usual = rows.groupBy("sid").agg(F.sum(F.col("g") * F.col("size")).alias("favoured"))
     u = (F.col("x") + F.lit(0.5)) / F.lit(float(1 << 52))
+    r = F.col("rest") / F.col("source_size")
+    p = r + r * (F.lit(1.0) - r) * (F.col("g") / F.lit(1024.0) - F.col("favoured") / (F.lit(1024.0) * F.col("source_size")))
+    drawing = (F.col("rest") > 0) & (F.col("source_size") > 0)
+    rank = F.when(drawing, (u / (F.lit(1.0) - u)) * ((F.lit(1.0) - F.col("p")) / F.col("p"))).otherwise(u)
+    # the place in the order that a rank has if all probabilities are r
+    even = F.col("rank") * r / (F.lit(1.0) - r)
+    place = F.when(drawing & (r < 1), even / (F.lit(1.0) + even)).otherwise(u)
+    n_buckets = F.ceil(F.col("n_docs") / F.lit(PER_BUCKET))
     rows = (
-        rows.withColumn("certain", F.floor(due))
-        .withColumn("rest", F.col("target") - F.col("certain") * F.col("source_size"))
-        .withColumn("bucket", F.floor(u * n_buckets))
+        rows.join(usual, "sid").withColumn("p", F.when(drawing, p)).withColumn("rank", rank)
+        .withColumn("bucket", F.floor(F.least(place, F.lit(1.0)) * n_buckets))
     )
-    sums = rows.groupBy("sid", "bucket").agg(F.sum("size").alias("words"))
+    # a document of more words than are due never is drawn, and does not end the drawing
+    fits = F.when(F.col("size") <= F.col("rest"), F.col("size")).otherwise(0)
+    sums = rows.groupBy("sid", "bucket").agg(F.sum(fits).alias("words"))
     before = Window.partitionBy("sid").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select("sid", "bucket", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("ahead"))
-    inside = Window.partitionBy("sid", "bucket").orderBy("x", "doc_id", "size")
+    inside = Window.partitionBy("sid", "bucket").orderBy("rank", "x", "doc_id", "size")
     ran = (
-        rows.withColumn("upto", F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+        rows.withColumn("upto", F.sum(fits).over(inside.rowsBetween(Window.unboundedPreceding, 0)))
         .withColumn("nth", F.row_number().over(inside))
         .join(sums, ["sid", "bucket"])
-        .withColumn("drawn", (F.col("ahead") + F.col("upto") <= F.col("rest")).cast("long"))
+        .withColumn("drawn", ((F.col("size") <= F.col("rest")) & (F.col("ahead") + F.col("upto") <= F.col("rest"))).cast("long"))
     )
     gap = ran.groupBy("sid").agg((F.first("rest") - F.sum(F.col("drawn") * F.col("size"))).alias("gap"))
     near = F.struct(F.abs(F.col("size") - F.col("gap")).alias("off"), "x", "doc_id", "bucket", "nth", "size", "gap")
@@ -89,10 +100,26 @@ def pareto_mix(
     )
     copies = F.col("certain") + F.when(F.col("rest") > 0, F.col("drawn") + F.coalesce(F.col("closes"), F.lit(0))).otherwise(0)
     return ran.join(last, ["sid", "bucket", "nth"], "left").select(
-        "doc_id", "size", "source", "source_size", "target", copies.cast("long").alias("copies"), (copies * F.col("size")).cast("long").alias("taken")
+        "doc_id", "key", "size", "source", "source_size", "target", copies.cast("long").alias("copies"), (copies * F.col("size")).cast("long").alias("taken")
     )
 
 
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+    """Rows of docs, with all their columns, each as often as ``pareto_mix`` takes it.
+
+    Rows with one identifier, source and text are told apart by number: they are interchangeable, their copies are not added up.
+    """
+    taken = pareto_mix(docs, id_col, text_col, source_col, **options).select(F.col("doc_id").alias("t_id"), F.col("key").alias("t_key"), "copies")
+    taken = taken.withColumn("t_nth", F.row_number().over(Window.partitionBy("t_id", "t_key").orderBy("copies"))).where("copies > 0")
+    old = docs.columns
+    plain = unnamed(docs)
+    c_id, c_text, c_source = (f"c{old.index(c)}" for c in (id_col, text_col, source_col))
+    keyed = plain.withColumn("key", F.xxhash64(c_text, c_source))
+    numbered = keyed.withColumn("nth", F.row_number().over(Window.partitionBy(c_id, "key").orderBy("key")))
+    joined = numbered.join(taken, F.col(c_id).eqNullSafe(F.col("t_id")) & (F.col("key") == F.col("t_key")) & (F.col("nth") == F.col("t_nth")))
+    return joined.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(*plain.columns).toDF(*old)
+
+
 def op3_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The contract's columns over all documents."""
     return pareto_mix(read_documents(spark, sf_dir, "doc_id", "text", "source")).select("doc_id", "size", "source_size", "target", "taken")
@@ -116,14 +143,24 @@ levels AS (
 targets AS (
   SELECT *, least(most, coalesce((SELECT arg_min(level, (most / w, sid)) FROM levels WHERE level * w <= most) * w, most)) AS target FROM levels),
 due AS (
-  SELECT s.*, t.sid, t.source_size, t.target,
+  SELECT s.*, t.sid, t.source_size, t.n_docs, t.target,
          CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS certain
   FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
-ran AS (
+favours AS (
   SELECT *, target - certain * source_size AS rest,
-         sum(size) OVER w AS upto, row_number() OVER w AS nth
-  FROM due WINDOW w AS (PARTITION BY sid ORDER BY x, doc_id, size ROWS UNBOUNDED PRECEDING)),
-drawn AS (SELECT *, (upto <= rest)::BIGINT AS drawn FROM ran),
+         CASE WHEN source_size > 0 THEN floor(1024.0::DOUBLE * size / (size + source_size / n_docs))::BIGINT ELSE 0 END AS g,
+         (x + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE AS u
+  FROM due),
+chances AS (
+  SELECT *, CASE WHEN rest > 0 AND source_size > 0 THEN
+           rest / source_size + rest / source_size * (1.0::DOUBLE - rest / source_size)
+             * (g / 1024.0::DOUBLE - (sum(g * size) OVER (PARTITION BY sid))::BIGINT / (1024.0::DOUBLE * source_size)) END AS p
+  FROM favours),
+ran AS (
+  SELECT *, sum(CASE WHEN size <= rest THEN size ELSE 0 END) OVER w AS upto, row_number() OVER w AS nth
+  FROM (SELECT *, CASE WHEN p IS NULL THEN u ELSE (u / (1.0::DOUBLE - u)) * ((1.0::DOUBLE - p) / p) END AS rank FROM chances)
+  WINDOW w AS (PARTITION BY sid ORDER BY rank, x, doc_id, size ROWS UNBOUNDED PRECEDING)),
+drawn AS (SELECT *, (size <= rest AND upto <= rest)::BIGINT AS drawn FROM ran),
 gaps AS (SELECT sid, any_value(rest) - sum(drawn * size) AS gap FROM drawn GROUP BY sid),
 closing AS (
   SELECT sid, nth FROM (

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import read_documents, text_bytes
+from corpusloom.llm.common import integer_id, read_documents, text_bytes
 
 KINDS = ("email", "ip", "card", "phone")
 #: Longest entity, in tokens.
@@ -406,7 +406,7 @@ def pii_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", m
             kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.int64()]
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds))], names)
 
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    source = docs.select(integer_id(docs, id_col).alias("doc_id"), F.col(text_col).alias("text"))
     return source.mapInArrow(run, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long")
 
 

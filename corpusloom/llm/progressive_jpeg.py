@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import chunks, ranges, read_documents, text_bytes
+from corpusloom.llm.common import chunks, integer_id, ranges, read_documents, text_bytes
 
 UNIT = 576
 #: Blocks (AC) or MCUs (DC) per restart interval, and segments worked on at once.
@@ -718,7 +718,7 @@ def encode_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 n = pa.array([len(t) for t in texts[s]], pa.int64())
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(s.start, s.stop - s.start), n, pa.array(files, pa.binary())], ["doc_id", "n_bytes", "media"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_col).mapInArrow(run, "doc_id long, n_bytes long, media binary")
+    return docs.select(integer_id(docs, id_col).alias("doc_id"), text_col).mapInArrow(run, "doc_id long, n_bytes long, media binary")
 
 
 def decode_media(files: DataFrame, id_col: str = "doc_id", media_col: str = "media") -> DataFrame:
@@ -735,7 +735,7 @@ def decode_media(files: DataFrame, id_col: str = "doc_id", media_col: str = "med
                 kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], ["doc_id", "height", "width", "rgb", "payload"])
 
-    return files.select(F.col(id_col).cast("long").alias("doc_id"), media_col).mapInArrow(run, "doc_id long, height int, width int, rgb binary, payload binary")
+    return files.select(integer_id(files, id_col).alias("doc_id"), media_col).mapInArrow(run, "doc_id long, height int, width int, rgb binary, payload binary")
 
 
 def media_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -760,7 +760,7 @@ def media_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 yield pa.RecordBatch.from_arrays([own, *(pa.array(c, k) for c, k in zip(zip(*rows), kinds))], names)
 
     schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_col).mapInArrow(run, schema)
+    return docs.select(integer_id(docs, id_col).alias("doc_id"), text_col).mapInArrow(run, schema)
 
 
 def op1_progressive_jpeg(spark: SparkSession, sf_dir: str) -> DataFrame:

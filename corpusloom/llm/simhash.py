@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import as_table, chunks, materialise, partitions_for, ranges, read_documents, release_memory, text_bytes
+from corpusloom.llm.common import as_table, chunks, integer_id, materialise, partitions_for, ranges, read_documents, release_memory, text_bytes
 from corpusloom.llm.components import connected_components
 
 SEED = 42
@@ -271,7 +271,7 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     group of copies is one row in the anchor join, whatever its size. Documents without id are kept, and
     belong to the component of their fingerprint (null when no document there has an id).
     """
-    prints = materialise(with_fingerprints(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), width))
+    prints = materialise(with_fingerprints(docs.select(integer_id(docs, id_col).alias("doc_id"), F.col(text_col).alias("text")), width))
     firsts = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("id")))
     known = firsts.where("id is not null")
     links = fingerprint_links(known, threshold, known.count())
@@ -429,7 +429,7 @@ def near_duplicates(
     pair never stands for another. Exact copies are merged first. Rows without identifier are
     left out; rows with equal identifiers are one document (its least text).
     """
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null")
+    source = docs.select(integer_id(docs, id_col).alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null")
     sketches = materialise(_sketches(source, width))
     lone = materialise(sketches.groupBy("fp", "least").agg(F.min("doc_id").alias("id")))
     points = lone.select(F.explode("least").alias("key"), "id", "fp")

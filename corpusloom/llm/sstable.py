@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import CHUNK_BYTES, chunks, index_words, partitions_for, plan_bytes, ranges, read_documents, release_memory, scratch_path, text_bytes
+from corpusloom.llm.common import CHUNK_BYTES, chunks, index_words, integer_id, partitions_for, plan_bytes, ranges, read_documents, release_memory, scratch_path, text_bytes
 
 MAGIC = b"CLSST001"
 FOOTER = struct.Struct("<QQQQQQ8s")
@@ -290,7 +290,7 @@ def write_token_shards(
     """
     spark = docs.sparkSession
     where = tokenizer or default_tokenizer()
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    rows = docs.select(integer_id(docs, id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release_memory()

@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import plan_bytes, ranges, read_documents, text_bytes
+from corpusloom.llm.common import integer_id, plan_bytes, ranges, read_documents, text_bytes
 
 WINDOW, GRAM = 50, 24
 SPAN = WINDOW - GRAM + 1
@@ -287,7 +287,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     are empty; rows with equal identifiers are not smaller than each other; a null identifier is
     larger than all. A text and its arrays (about 40 bytes per byte) must fit in a worker.
     """
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    source = docs.select(integer_id(docs, id_col).alias("doc_id"), F.col(text_col).alias("text"))
     owners = max(4, int(plan_bytes(source) * 1.7 // SHARD_BYTES))
     texts = source.select(F.pmod(F.xxhash64("doc_id"), F.lit(owners)).cast("int").alias("shard"), "doc_id", "text")
     by_shard = texts.groupBy("shard")
