@@ -9,43 +9,55 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import scratch_path
+from corpusloom.llm.common import scratch_path, unnamed
 from corpusloom.llm.decontaminate import contaminated
 from corpusloom.llm.langid import predict_language, train_language_models
-from corpusloom.llm.mixing import pareto_mix
+from corpusloom.llm.mixing import mixed
 from corpusloom.llm.simhash import near_duplicates
 from corpusloom.llm.sstable import read_token_shards, write_token_shards
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that a language model accepts; those it rejects (no letters, or unlike every language learned) go."""
+    """Documents that a language model accepts; those it rejects (null, empty, without letters, or unlike every language learned) go.
+
+    Texts of any length are read whole; repeated rows are decided alike; without labelled rows every document is rejected.
+    """
     model = train_language_models(docs)
-    keep = tuple(c for c in docs.columns if c != "doc_id")
-    return predict_language(docs, model, keep=keep).where(~F.col("rejected")).select(*docs.columns)
+    plain = unnamed(docs)
+    found = predict_language(plain, model, plain.columns[0], f"c{docs.columns.index('text')}", keep=tuple(plain.columns[1:]))
+    return found.where(~F.col("rejected")).select(*plain.columns).toDF(*docs.columns)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group, the one with the smallest doc_id: five-word shingles, similarity 0.8."""
+    """One document of each near-duplicate group, the one with the smallest doc_id: five-word shingles, similarity 0.8.
+
+    Texts without words (null, empty) are one group; rows with one doc_id are one document and stay or go together; rows without
+    doc_id stay.
+    """
     gone = near_duplicates(docs).select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark passage."""
+    """Documents without a benchmark passage; null and empty texts have none, rows with one doc_id go together, rows without stay."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
     hit = contaminated(docs, benchmark).select("doc_id").distinct()
     return docs.join(hit, "doc_id", "left_anti").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix takes it; its copies are rows with the same columns."""
-    taken = pareto_mix(docs).where("copies > 0").groupBy("doc_id").agg(F.max("copies").alias("__copies"))
-    joined = docs.join(taken, docs["doc_id"].eqNullSafe(taken["doc_id"])).drop(taken["doc_id"])
-    return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)
+    """Every row as often as the mix takes it, at most twice, with the same columns.
+
+    Null, empty and wordless texts are due like others of their source, but take no words; repeated rows are mixed row by row.
+    """
+    return mixed(docs)
 
 
 def token_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mixed documents as token identifiers in shard images, read back: doc_id, start, n_tokens, ids_crc32 per row of docs."""
+    """The mixed documents as token identifiers in shard images, read back: doc_id, start, n_tokens, ids_crc32 per row of docs.
+
+    Null and empty texts are their end identifier alone; repeated rows follow each other.
+    """
     # the workers also hold what earlier stages left: a smaller word cache than a run of this operator alone would take
     return read_token_shards(write_token_shards(docs, scratch_path(spark, "pipeline-shards"), cache_words=150_000))
 
