@@ -39,12 +39,12 @@ RATE = 0.12
 GROUP_TEXTS = 256
 #: Word counts that are broadcast at most; rarer words are joined.
 BROADCAST_WORDS = 1_000_000
-#: Newton steps for the gated weights at most; they end when no weight moves by so much.
-NEWTON_STEPS, LEAST_MOVE = 12, 0.001
-#: The first steps take one gram in so many (by hash, so they grow with the input), the last ones, to this precision, all of them.
-FIRST_SHARE, LAST_MOVE = 16, 0.005
-#: Tasks that share the first steps: their sums are small.
-GRAM_TASKS = 12
+#: Newton steps for the gated weights at most; they end when a step promises less than this (nats for every symbol learned from).
+NEWTON_STEPS, LEAST_GAIN = 12, 1e-8
+#: The first steps take one gram in so many (by hash, so they grow with the input), the last ones all of them.
+FIRST_SHARE = 16
+#: Tasks that sum up slopes at least, and the grams of each if there are more.
+GRAM_TASKS, TASK_GRAMS = 12, 250_000
 #: Blocks of slots that one task counts, and the largest count that travels (both counts of a slot are scaled to it).
 TASK_BLOCKS, MOST = 64, 60_000.0
 END = xxhash.xxh64_intdigest(b"\n") - (1 << 63)
@@ -252,18 +252,18 @@ def slopes(ones, every, g: np.ndarray, n: np.ndarray, weights: list[np.ndarray])
 
 
 def fit_weights(*steps) -> list[np.ndarray]:
-    """Gated weights by Newton steps; each of ``steps`` is (slopes of weights, steps at most, least move), and goes on from the one before."""
+    """Gated weights by Newton steps; each of ``steps`` is (slopes of weights, least gain), and goes on from the one before."""
     start = [np.concatenate((np.full((n, 8, ORDERS), 0.35, np.float32), np.zeros((n, 8, 1), np.float32)), axis=2) for n in N_SETS]
     weights = [w.copy() for w in start]
-    for step, most, least in steps:
-        for _ in range(most):
-            moved = 0.0
+    for step, least in steps:
+        for _ in range(NEWTON_STEPS):
+            gain = 0.0
             for k, (slope, curve) in enumerate(step(weights)):
                 slope = slope + start[k] - weights[k]  # what has no occurrences stays at its start
                 by = np.clip(np.linalg.solve(curve + np.eye(ORDERS + 1), slope[..., None])[..., 0], -1, 1)
                 weights[k] = (weights[k] + by).astype(np.float32)
-                moved = max(moved, float(np.abs(by).max()))
-            if moved < least:
+                gain += float((slope * by).sum()) / 2
+            if gain < least:
                 break
     return weights
 
@@ -273,13 +273,16 @@ def learn_weights(ones, every, texts: list[bytes]) -> list[np.ndarray]:
     if not texts:
         return fit_weights()
     g, n = np.unique(grams(texts)[0] & GRAM, return_counts=True)
-    return fit_weights((lambda weights: slopes(ones, every, g, n, weights), NEWTON_STEPS, LEAST_MOVE))
+    return fit_weights((lambda weights: slopes(ones, every, g, n, weights), LEAST_GAIN * int(n.sum())))
 
 
 def learn_from_grams(counts: DataFrame, ones, every) -> list[np.ndarray]:
     """Gated weights from all occurrences of the counted grams; every partition sums up its slopes. The first steps take a share of the grams."""
     held = counts.sparkSession.sparkContext.broadcast((ones, every))
-    some = materialise(counts.where(F.pmod(F.xxhash64("gram"), F.lit(FIRST_SHARE)) == 0).coalesce(GRAM_TASKS))
+    size = counts.agg(F.count("*").alias("grams"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
+    least = LEAST_GAIN * int(size.n)
+    every_gram = counts.coalesce(max(GRAM_TASKS, size.grams // TASK_GRAMS))
+    some = materialise(every_gram.where(F.pmod(F.xxhash64("gram"), F.lit(FIRST_SHARE)) == 0))
 
     def step(grams_of: DataFrame, weights: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -304,7 +307,7 @@ def learn_from_grams(counts: DataFrame, ones, every) -> list[np.ndarray]:
         return out
 
     try:
-        return fit_weights((lambda w: step(some, w), NEWTON_STEPS, LEAST_MOVE), (lambda w: step(counts, w), NEWTON_STEPS, LAST_MOVE))
+        return fit_weights((lambda w: step(some, w), least / FIRST_SHARE), (lambda w: step(every_gram, w), least))
     finally:
         held.unpersist()
 
