@@ -22,12 +22,18 @@ ORDER = 5
 
 def _no_letters() -> str:
     """What Python counts among the alphanumeric characters, but Unicode not among letters (superscripts, fractions, Roman numerals), as ranges."""
-    found = [c for c in range(sys.maxunicode + 1) if chr(c).isalnum() and unicodedata.category(chr(c))[0] != "L"]
+    found = [c for c in range(sys.maxunicode + 1) if chr(c).isalnum() and unicodedata.category(chr(c))[0] != "L" and not chr(c).isdecimal()]
     cuts = [k for k in range(len(found)) if not k or found[k] != found[k - 1] + 1] + [len(found)]
     return "".join(f"{re.escape(chr(found[a]))}-{re.escape(chr(found[b - 1]))}" for a, b in zip(cuts, cuts[1:]))
 
 
-LETTERS = re.compile(rf"[^\W_{_no_letters()}]+")
+LETTERS, NO_LETTERS = re.compile(r"[^\W\d_]+"), re.compile(f"[{_no_letters()}]")
+
+
+def words_of(text: str) -> list[str]:
+    """The runs of letters of a text, in lower case."""
+    low = text.lower()
+    return LETTERS.findall(low if low.isascii() else NO_LETTERS.sub(" ", low))
 PAD, STOP = 0x110000, 0x110001
 PRIME = np.uint64(0x9E3779B97F4A7C15)
 #: Documents per language in the training sample, and their longest length in characters.
@@ -170,7 +176,7 @@ class KneserNeyModels:
         rows: list[int] = []
         sizes = np.zeros(len(texts), np.int64)
         for i, t in enumerate(texts):
-            ws = LETTERS.findall(t.lower())
+            ws = words_of(t)
             sizes[i] = len(ws)
             rows += [index.setdefault(w, len(index)) for w in ws]
         new = list(index)[known:]
@@ -257,10 +263,10 @@ def train_language_models(
     words: dict[str, Counter] = {}
     for k, r in enumerate(sample):
         if k % 5:
-            words.setdefault(r.l, Counter()).update(LETTERS.findall(r.t.lower()))
+            words.setdefault(r.l, Counter()).update(words_of(r.t))
     for r in sample:  # a language of a few documents still is learned
         if not words.get(r.l):
-            words[r.l] = Counter(LETTERS.findall(r.t.lower()))
+            words[r.l] = Counter(words_of(r.t))
     words = {k: v for k, v in words.items() if v}
     model = KneserNeyModels.train(words) if words else KneserNeyModels([])
     if words:
