@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import heapq
+from collections.abc import Iterable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -38,7 +39,12 @@ def shingle_hashes(text: bytes, width: int) -> list[int]:
 
 def fingerprints(texts: list[bytes], width: int = 4) -> np.ndarray:
     """Majority-vote fingerprints (uint64); a text without words has fingerprint 0."""
-    out = np.zeros(len(texts), np.uint64)
+    return votes((shingle_hashes(t, width) for t in texts), len(texts))
+
+
+def votes(hashes: Iterable[list[int]], n: int) -> np.ndarray:
+    """Majority-vote fingerprints of n lists of shingle hashes."""
+    out = np.zeros(n, np.uint64)
     held: list[list[int]] = []
     at: list[int] = []
     size = 0
@@ -60,8 +66,8 @@ def fingerprints(texts: list[bytes], width: int = 4) -> np.ndarray:
         at.clear()
         size = 0
 
-    for i, t in enumerate(texts):
-        if hs := shingle_hashes(t, width):
+    for i, hs in enumerate(hashes):
+        if hs:
             held.append(hs)
             at.append(i)
             size += len(hs)
@@ -297,9 +303,15 @@ def _sketches(docs: DataFrame, width: int) -> DataFrame:
         for batch in batches:
             texts = text_bytes(batch.column(1))
             for s in chunks(texts):
-                fp = fingerprints(texts[s], width)
-                least = [sorted(set(shingle_hashes(t, width)))[:LEAST_HASHES] for t in texts[s]]
-                least = [np.array(x, np.uint64).view(np.int64) for x in least]
+                least: list[np.ndarray] = []
+
+                def each(own: slice, least=least, texts=texts) -> Iterator[list[int]]:
+                    for t in texts[own]:
+                        hashes = shingle_hashes(t, width)
+                        least.append(np.array(heapq.nsmallest(LEAST_HASHES, set(hashes)), np.uint64).view(np.int64))
+                        yield hashes
+
+                fp = votes(each(s), s.stop - s.start)
                 ids = batch.column(0).slice(s.start, s.stop - s.start)
                 yield pa.RecordBatch.from_arrays([ids, pa.array(fp.view(np.int64)), pa.array(least, pa.list_(pa.int64()))], ["doc_id", "fp", "least"])
         release_memory()
@@ -391,30 +403,42 @@ def _block_pairs(points: DataFrame, bits: int) -> DataFrame:
                     held = [x[cut:] for x in held]
         if held is not None and len(held[0]):
             yield from settle(held)
+        held = None
+        release_memory()
 
     spread = cells.repartition(partitions_for(points.sparkSession, 0), "cell").sortWithinPartitions("key", "p", "q").select("key", "p", "q", "block", "id", "fp", "own")
     return spread.mapInArrow(compare, "a long, b long").distinct()
 
 
 def _alike(pairs: DataFrame, docs: DataFrame, width: int, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose sets of shingles have at least this similarity, from their whole texts."""
+    """The pairs (a, b) whose sets of shingles have at least this similarity, from their whole texts (each is cut into shingles once)."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = text_bytes(batch.column(1))
+            for s in chunks(texts):
+                sets = [np.unique(np.array(shingle_hashes(t, width), np.uint64)).view(np.int64) for t in texts[s]]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(s.start, s.stop - s.start), pa.array(sets, pa.list_(pa.int64()))], ["doc_id", "shingles"])
+        release_memory()
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = text_bytes(batch.column(2)), text_bytes(batch.column(3))
-            keep = []
-            for x, y in zip(left, right):
-                x, y = set(shingle_hashes(x, width)), set(shingle_hashes(y, width))
-                both = len(x & y)
-                keep.append(both >= similarity * max(1, len(x) + len(y) - both) or (not x and not y))
-            yield batch.filter(pa.array(keep, pa.bool_())).select([0, 1])
+            (left, at), (right, to) = ((c.values.to_numpy().view(np.uint64), c.offsets.to_numpy()) for c in (batch.column(2), batch.column(3)))
+            keep = np.zeros(batch.num_rows, bool)
+            for k in range(batch.num_rows):
+                both = np.concatenate((left[at[k] : at[k + 1]], right[to[k] : to[k + 1]]))
+                both.sort()
+                shared = int((both[1:] == both[:-1]).sum())
+                keep[k] = shared >= similarity * max(1, len(both) - shared) or not len(both)
+            yield batch.filter(pa.array(keep)).select([0, 1])
         release_memory()
 
     ids = materialise(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct())
     wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    texts = materialise(docs.join(wanted, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text")))
-    both = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a").join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+    texts = docs.join(wanted, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
+    sets = materialise(texts.mapInArrow(shingled, "doc_id long, shingles array<long>"))
+    both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("left")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("right")), "b")
+    return both.select("a", "b", "left", "right").mapInArrow(compare, "a long, b long")
 
 
 def near_duplicates(
