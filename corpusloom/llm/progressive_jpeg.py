@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import chunks, integer_id, ranges, read_documents, text_bytes
+from corpusloom.llm.common import chunks, integer_id, ranges, read_documents, scratch_path, text_bytes
 
 UNIT = 576
 #: Blocks (AC) or MCUs (DC) per restart interval, and segments worked on at once.
@@ -738,29 +738,42 @@ def decode_media(files: DataFrame, id_col: str = "doc_id", media_col: str = "med
     return files.select(integer_id(files, id_col).alias("doc_id"), media_col).mapInArrow(run, "doc_id long, height int, width int, rgb binary, payload binary")
 
 
-def media_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Encode and decode every text and return digests of the file, the payload read back and the RGB tensor.
+def store_media(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``encode_media`` written as a table below ``path`` and read back: Spark's committer makes it whole when executors are lost."""
+    encode_media(docs, id_col, text_col).write.option("compression", "zstd").parquet(path)
+    return docs.sparkSession.read.parquet(path)
+
+
+def digests_of(files: DataFrame) -> DataFrame:
+    """Digests of the stored files (doc_id, n_bytes, media): of the file, the payload decoded from it and the RGB tensor.
 
-    One pass without a shuffle; batches are cut by bytes, and within a batch by restart intervals, so a very long text
-    is coded in slices. All arithmetic is on integers: equal texts give equal rows whatever batch they fall in.
+    Batches are cut by bytes, and within a batch by restart intervals, so a very long text is coded in slices.
     """
     names = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = text_bytes(batch.column(1))
-            for s in chunks(texts, BATCH_BYTES):
-                files = encode_payloads([padded(t) for t in texts[s]])
+            media = batch.column(2).to_pylist()
+            for s in chunks(media, BATCH_BYTES):
                 rows = [
-                    (len(t), len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-32:]), len(f), hashlib.sha256(f).hexdigest(), tensor_feature(rgb))
-                    for t, f, (rgb, p) in zip(texts[s], files, decode_files(files))
+                    (len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-32:]), len(f), hashlib.sha256(f).hexdigest(), tensor_feature(rgb))
+                    for f, (rgb, p) in zip(media[s], decode_files(media[s]))
                 ]
-                kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
-                own = batch.column(0).slice(s.start, s.stop - s.start)
-                yield pa.RecordBatch.from_arrays([own, *(pa.array(c, k) for c, k in zip(zip(*rows), kinds))], names)
+                kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
+                own = [batch.column(k).slice(s.start, s.stop - s.start) for k in range(2)]
+                yield pa.RecordBatch.from_arrays([*own, *(pa.array(c, k) for c, k in zip(zip(*rows), kinds))], names)
 
     schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
-    return docs.select(integer_id(docs, id_col).alias("doc_id"), text_col).mapInArrow(run, schema)
+    return files.select("doc_id", "n_bytes", "media").mapInArrow(run, schema)
+
+
+def media_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Store every text as media in the shared folder, read the stored bytes back and return their digests.
+
+    No shuffle. All arithmetic is on integers: equal texts give equal rows whatever batch they fall in. Null and empty texts are one unit
+    of padding, texts of any length are stored whole, repeated rows get a row each, an empty table gives none; other columns are not read.
+    """
+    return digests_of(store_media(docs, scratch_path(docs.sparkSession, "media"), id_col, text_col))
 
 
 def op1_progressive_jpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
