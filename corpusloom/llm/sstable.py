@@ -306,7 +306,7 @@ def write_token_shards(
 
         for batch in batches:
             texts, own = text_bytes(batch.column(1)), batch.column(0).to_pylist()
-            for s in chunks(texts, 2 * CHUNK_BYTES):
+            for s in chunks(texts, CHUNK_BYTES):
                 for doc_id, packed in zip(own[s], encoder.encode(texts[s])):
                     value = bytes([encoder.dtype.itemsize]) + packed + end
                     table.add(key_of(doc_id), value)
