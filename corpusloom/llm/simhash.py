@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.common import as_table, chunks, integer_id, materialise, partitions_for, ranges, read_documents, release_memory, text_bytes
 from corpusloom.llm.components import connected_components
+from corpusloom.llm.differences import components_of, differences
 
 SEED = 42
 #: Shingles whose bits are counted in one numpy step.
@@ -288,12 +289,8 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 #: Anchors of the far search: so many of a document's least shingle hashes.
 LEAST_HASHES = 8
-#: Fingerprints of documents of similarity 0.8 differ in 10 bits on average, with a deviation of 3; unrelated ones in 32.
-FAR_BITS = 20
 #: Similarity of halved hashes, as a share of the one wanted, that has a pair compared in full.
 HALF_BAR = 0.99
-#: Members of an anchor in one block of the far search.
-BLOCK = 2048
 #: Documents whose texts are fetched through a broadcast of their ids (8 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
 
@@ -321,95 +318,32 @@ def _sketches(docs: DataFrame, width: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, fp long, least array<long>")
 
 
-def _with_leaders(points: DataFrame) -> DataFrame:
-    """(key, id, fp, b, fp_b): members of (key, id, fp, order) with the leader of their key, the member of least ``order``.
-
-    The leader is found by a partial aggregate; members meet it in a join that adaptive execution splits.
-    """
-    leaders = points.groupBy("key").agg(F.min(F.struct("order", F.col("id").alias("b"), F.col("fp").alias("fp_b"))).alias("lead"), F.count("*").alias("n"))
-    members = points.join(leaders.where("n > 1").select("key", "lead.b", "lead.fp_b"), "key")
-    return members.where("id <> b")
-
-
-def _near(bits: int):
-    return F.bit_count(F.col("fp").bitwiseXOR(F.col("fp_b"))) <= bits
-
-
 def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
-def _apart(groups: DataFrame) -> DataFrame:
-    """The rows of (key, own, ...) whose key has several components."""
-    several = groups.groupBy("key").agg(F.min("own").alias("lo"), F.max("own").alias("hi"), F.count("*").alias("n")).where("lo <> hi")
-    return groups.join(several.select("key", "n"), "key")
-
+def _texts_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
+    """(doc_id, text) of some documents; of rows with one identifier the least text."""
+    wanted = materialise(ids.select("doc_id").distinct())
+    wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
+    return docs.join(wanted, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
 
-def _block_pairs(points: DataFrame, bits: int) -> DataFrame:
-    """All pairs (a, b) within ``bits`` of members of one key that are in different components; points has (key, id, fp, own).
 
-    A key's members are dealt into blocks of about ``BLOCK``, and every two blocks are one group: no group grows with its key.
-    """
-    apart = _apart(points).withColumn("blocks", F.ceil(F.col("n") / F.lit(BLOCK)).cast("int"))
-    salted = apart.withColumn("block", F.pmod(F.xxhash64("id", F.lit(7)), F.col("blocks")).cast("int"))
-    dealt = salted.select("key", "id", "fp", "own", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    cells = dealt.select(F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("cell"), "key", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "block", "id", "fp", "own")
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-
-        def settle(part: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-            key, p, q, block, ids, fp, own = part
-            fp = fp.view(np.uint64)
-            new = (key[1:] != key[:-1]) | (p[1:] != p[:-1]) | (q[1:] != q[:-1])
-            starts = np.flatnonzero(np.concatenate(([True], new)))
-            sizes = np.diff(np.append(starts, len(key)))
-            found_i, found_j = [], []
-            small = sizes <= SMALL
-            at = ranges(starts[small], sizes[small])
-            end = np.repeat(starts[small] + sizes[small], sizes[small])
-            for lag in range(1, int(sizes[small].max(initial=1))):
-                live = at + lag < end
-                at, end = at[live], end[live]
-                x, y = at, at + lag
-                hit = (own[x] != own[y]) & ((p[x] == q[x]) | (block[x] != block[y])) & (np.bitwise_count(fp[x] ^ fp[y]) <= bits)
-                found_i.append(x[hit])
-                found_j.append(y[hit])
-            for s, n in zip(starts[~small].tolist(), sizes[~small].tolist()):
-                cell = slice(s, s + n)
-                left, right = (np.flatnonzero(block[cell] == side) + s for side in (p[s], q[s]))
-                for lo in range(0, len(left), 256):
-                    rows = left[lo : lo + 256]
-                    i, j = np.nonzero((np.bitwise_count(fp[rows][:, None] ^ fp[right][None, :]) <= bits) & (own[rows][:, None] != own[right][None, :]))
-                    found_i.append(rows[i])
-                    found_j.append(right[j])
-                    if sum(map(len, found_i)) > 1_000_000:
-                        yield out(ids, found_i, found_j)
-            yield out(ids, found_i, found_j)
-
-        def out(ids, found_i, found_j) -> pa.RecordBatch:
-            i, j = (ids[np.concatenate(x)] if x else np.zeros(0, np.int64) for x in (found_i, found_j))
-            found_i.clear()
-            found_j.clear()
-            pair = np.unique(np.stack((np.maximum(i, j), np.minimum(i, j)), axis=1), axis=0)
-            return pa.RecordBatch.from_arrays([pa.array(pair[:, 0]), pa.array(pair[:, 1])], ["a", "b"])
+def _compared(members: DataFrame, docs: DataFrame, width: int, similarity: float) -> DataFrame:
+    """The differences of the members' shingle sets (key, lead) from their leaders'."""
 
+    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            part = [batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(7)]
-            held = part if held is None else [np.concatenate((x, y)) for x, y in zip(held, part)]
-            if len(held[0]):
-                key, p, q = held[:3]
-                cut = int(np.argmax((key == key[-1]) & (p == p[-1]) & (q == q[-1])))  # the last group may go on in the next batch
-                if cut:
-                    yield from settle([x[:cut] for x in held])
-                    held = [x[cut:] for x in held]
-        if held is not None and len(held[0]):
-            yield from settle(held)
-        held = None
+            texts = text_bytes(batch.column(1))
+            for s in chunks(texts):
+                sets = [np.unique(np.array(shingle_hashes(t, width), np.uint64)).view(np.int64) for t in texts[s]]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(s.start, s.stop - s.start), pa.array(sets, pa.list_(pa.int64()))], ["key", "own"])
         release_memory()
 
-    spread = cells.repartition(partitions_for(points.sparkSession, 0), "cell").sortWithinPartitions("key", "p", "q").select("key", "p", "q", "block", "id", "fp", "own")
-    return spread.mapInArrow(compare, "a long, b long").distinct()
+    ids = members.select(F.col("key").alias("doc_id")).unionByName(members.select(F.col("lead").alias("doc_id")))
+    sets = materialise(_texts_of(ids, docs).mapInArrow(shingled, "key long, own array<long>"))
+    theirs = members.groupBy("lead").agg(F.count("*").alias("n")).join(sets.select(F.col("key").alias("lead"), F.col("own").alias("theirs")), "lead")
+    return differences(members.join(sets, "key").join(theirs, "lead"), similarity)
 
 
 def _cut_sets(texts: DataFrame, width: int, kind: type) -> DataFrame:
@@ -454,15 +388,9 @@ def _alike(pairs: DataFrame, docs: DataFrame, width: int, similarity: float) ->
     Pairs are looked through by the upper halves of the shingle hashes (halves that coincide only make sets more alike, but for equal
     ones within a text, one in 10^5 texts), and what passes a slightly lower bar is compared in full.
     """
-    ids = lambda found: materialise(found.select(F.col("a").alias("doc_id")).unionByName(found.select(F.col("b").alias("doc_id"))).distinct())
-
-    def texts_of(found: DataFrame) -> DataFrame:
-        wanted = ids(found)
-        wanted = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
-        return docs.join(wanted, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
-
-    likely = materialise(_similar(pairs, materialise(_cut_sets(texts_of(pairs), width, np.uint32)), similarity * HALF_BAR, np.uint32))
-    return _similar(likely, materialise(_cut_sets(texts_of(likely), width, np.uint64)), similarity, np.uint64)
+    both = lambda found: found.select(F.col("a").alias("doc_id")).unionByName(found.select(F.col("b").alias("doc_id")))
+    likely = materialise(_similar(pairs, materialise(_cut_sets(_texts_of(both(pairs), docs), width, np.uint32)), similarity * HALF_BAR, np.uint32))
+    return _similar(likely, materialise(_cut_sets(_texts_of(both(likely), docs), width, np.uint64)), similarity, np.uint64)
 
 
 def near_duplicates(
@@ -470,39 +398,31 @@ def near_duplicates(
 ) -> DataFrame:
     """(doc_id, component_id) of every document that has a near duplicate: similarity of word shingles at least ``similarity``.
 
-    Pairs are proposed by fingerprints and checked on whole texts. Within ``threshold`` bits the covering code finds all pairs. Documents of similarity
-    0.8 are further apart than any covering code of 64 bits can reach cheaply, so the anchors of the far search are the documents' least shingle
-    hashes: fingerprints are replicated to them and compared per anchor, up to ``FAR_BITS``. The most central member of an anchor meets
-    all others first; then every pair of an anchor, and of the covering code, that is in different components yet is checked itself, so that a rejected
-    pair never stands for another. Exact copies are merged first. Rows without identifier are
-    left out; rows with equal identifiers are one document (its least text).
+    Documents of similarity 0.8 differ in about 10 bits of their fingerprints, further than any covering code of 64 bits can reach cheaply.
+    So the documents' least shingle hashes are anchors too (a pair of that similarity shares none of eight with probability 0.2^8). The
+    most central member of an anchor leads, all others are compared with it on whole texts, and every similar pair of an anchor is
+    found from the differences to the leader (see ``differences``): no pair is lost, and no anchor is compared pair by pair. Then the
+    covering code's pairs within ``threshold`` bits that are in different components yet are checked on whole texts. Documents of one
+    fingerprint and equal least hashes are merged first. Texts without words (null, empty) are one group; rows without identifier are
+    left out; rows with equal identifiers are one document (its least text); an empty table gives no rows.
     """
     source = docs.select(integer_id(docs, id_col).alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null")
     sketches = materialise(_sketches(source, width))
     lone = materialise(sketches.groupBy("fp", "least").agg(F.min("doc_id").alias("id")))
-    points = lone.select(F.explode("least").alias("key"), "id", "fp")
-    sizes = points.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    points = points.join(sizes, "key")
-    points = materialise(points.join(points.groupBy("id").agg((-F.sum("n")).alias("order")), "id").drop("n"))
-
-    tested = materialise(_ordered(_with_leaders(points).where(_near(FAR_BITS)).select(F.col("id").alias("a"), "b")))
-    links = materialise(_alike(tested, source, width, similarity))
-    roots, _ = as_table(connected_components(links).withColumnRenamed("node", "id"), "near-roots")
-
-    def own(frame: DataFrame) -> DataFrame:
-        return frame.join(roots, "id", "left").withColumn("own", F.coalesce("component", "id")).drop("component")
-
-    more = materialise(_block_pairs(own(points).select("key", "id", "fp", "own"), FAR_BITS).join(tested, ["a", "b"], "left_anti"))
-    tested, links = tested.unionByName(more), links.unionByName(materialise(_alike(more, source, width, similarity)))
-    roots, _ = as_table(connected_components(links).withColumnRenamed("node", "id"), "near-roots")
-
-    held = materialise(own(lone.select("id", "fp")))
+    points = lone.select(F.explode("least").alias("anchor"), "id")
+    sizes = points.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
+    points = materialise(points.join(sizes, "anchor"))
+    order = points.groupBy("id").agg((-F.sum("n")).alias("order"))
+    leads = points.join(order, "id").groupBy("anchor").agg(F.min(F.struct("order", "id"))["id"].alias("lead"))
+    members = materialise(points.join(leads, "anchor").where("id <> lead").select(F.col("id").alias("key"), "lead").distinct())
+    roots, _ = as_table(components_of(_compared(members, source, width, similarity), similarity).withColumnRenamed("node", "id"), "near-roots")
+
+    held = materialise(lone.select("id", "fp").join(roots, "id", "left").withColumn("own", F.coalesce("component", "id")).drop("component"))
     firsts = held.groupBy("fp").agg(F.min("own").alias("lo"), F.max("own").alias("hi"))
     near = fingerprint_pairs(firsts, threshold, lone.count())
     left, right = (held.select(F.col("fp").alias(f"fp_{x}"), F.col("id").alias(x), F.col("own").alias(f"own_{x}")) for x in "ab")
-    close = _ordered(near.join(left, "fp_a").join(right, "fp_b").where("own_a <> own_b"))
-    close = materialise(close.join(tested, ["a", "b"], "left_anti"))
-    links = links.unionByName(_alike(close, source, width, similarity))
+    close = materialise(_ordered(near.join(left, "fp_a").join(right, "fp_b").where("own_a <> own_b")))
+    links = roots.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(_alike(close, source, width, similarity))
     roots = connected_components(links).withColumnRenamed("node", "id")
     classes = lone.join(roots, "id", "left").select("fp", "least", F.coalesce("component", "id").alias("component_id"))
     sized = sketches.join(classes, ["fp", "least"]).select("doc_id", "component_id")

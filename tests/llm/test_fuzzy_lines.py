@@ -5,7 +5,7 @@ from collections import defaultdict
 
 import pytest
 
-from corpusloom.llm import fuzzy_lines
+from corpusloom.llm import differences, fuzzy_lines
 
 LETTERS = "abcdefghijklmnopqrstuvwxyz "
 
@@ -67,7 +67,7 @@ def families():
 
 @pytest.mark.parametrize("direct", [32, 4])
 def test_every_similar_pair_of_a_band_is_linked(spark, monkeypatch, families, direct):
-    monkeypatch.setattr(fuzzy_lines, "DIRECT", direct)
+    monkeypatch.setattr(differences, "DIRECT", direct)
     frame = fuzzy_lines.lines_of(frame_of(spark, families))
     text = {x.key: x.line for x in frame.collect()}
     sets, bands = {k: shingles(t) for k, t in text.items()}, defaultdict(list)

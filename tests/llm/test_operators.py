@@ -9,7 +9,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from corpusloom.llm import context_mixing, decontaminate, langid, mixing, pii, progressive_jpeg, simhash, sstable, suffix_dedup
+from corpusloom.llm import context_mixing, decontaminate, differences, langid, mixing, pii, progressive_jpeg, simhash, sstable, suffix_dedup
 from corpusloom.llm.common import index_words
 from corpusloom.llm.components import connected_components
 
@@ -356,6 +356,40 @@ def test_near_duplicates_whose_original_does_not_come_first(spark):
     assert got == {k: find(k) for k in range(61) if find(k) != k}
 
 
+@pytest.mark.parametrize("direct", [32, 3])
+def test_near_duplicates_of_short_texts_in_large_groups(spark, monkeypatch, direct):
+    """Groups of over a hundred edited short texts, and texts that share a common passage, against all pairs."""
+    monkeypatch.setattr(differences, "DIRECT", direct)
+    r = random.Random(24)
+    vocabulary = [f"w{k}" for k in range(3000)]
+    passage, texts = r.choices(vocabulary, k=30), []
+    for n in (25, 40, 60):
+        base = r.choices(vocabulary, k=n)
+        for _ in range(130):
+            c = list(base)
+            for _ in range(r.randint(0, 3)):
+                at = r.randrange(len(c))
+                c[at : at + r.randint(0, 2)] = r.choices(vocabulary, k=r.randint(0, 2))
+            texts.append(" ".join(c))
+    texts += [" ".join(r.choices(vocabulary, k=r.randint(1, 40)) + passage + r.choices(vocabulary, k=r.randint(1, 10))) for _ in range(80)]
+    cut = [t.split() for t in texts]
+    sets = [frozenset(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) for w in cut]
+    alike = [(a, b) for a in range(len(texts)) for b in range(a) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {x.doc_id: x.component_id for x in simhash.near_duplicates(frame).collect()}
+    root = list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in alike:
+        x, y = find(a), find(b)
+        root[max(x, y)] = min(x, y)
+    assert len(alike) > 1000 and got == {k: find(k) for k in range(len(texts)) if find(k) != k}
+
+
 def test_fingerprint_pairs_are_direct(spark):
     r = random.Random(23)
     base = [r.getrandbits(63) for _ in range(3)]
@@ -365,16 +399,6 @@ def test_fingerprint_pairs_are_direct(spark):
     assert got == {(a, b) for a, la, ha in rows for b, lb, hb in rows if a >= b and (a ^ b).bit_count() <= 4 and min(la, lb) != max(ha, hb)}
 
 
-@pytest.mark.parametrize("block", [2048, 50])
-def test_block_pairs_are_all_pairs_of_different_components(spark, monkeypatch, block):
-    monkeypatch.setattr(simhash, "BLOCK", block)
-    r = random.Random(22)
-    fps = [r.getrandbits(3) - 4 for _ in range(230)]
-    rows = [(k % 2 if k < 200 else 7, k, fp, k % 5) for k, fp in enumerate(fps)]
-    got = {(x.a, x.b) for x in simhash._block_pairs(spark.createDataFrame(rows, "key long, id long, fp long, own long"), 1).collect()}
-    assert got == {(b, a) for key, a, x, o in rows for other, b, y, p in rows if a < b and key == other and o != p and (x % 2**64 ^ y % 2**64).bit_count() <= 1}
-
-
 @pytest.mark.parametrize("limit", [1_000_000, 5])
 def test_context_mixing(spark, docs, rows, empty, monkeypatch, limit):
     monkeypatch.setattr(context_mixing, "BROADCAST_WORDS", limit)
