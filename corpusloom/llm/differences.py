@@ -27,17 +27,17 @@ def few(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def differences(both: DataFrame, least: float) -> DataFrame:
+def differences(both: DataFrame, least: float, *more: str) -> DataFrame:
     """(lead, key, size, plus, minus, alike, parts) of (lead, key, n, theirs, own): how a member's set differs from its leader's.
 
     ``own`` may hold repeats, ``theirs`` none; ``n`` counts the group's members. ``size`` counts the leader's elements, ``plus`` those
     only the member has, ``minus`` those it lacks; ``parts`` are these, the former first. A group of one member needs no parts.
-    ``alike``: the similarity is at least ``least``.
+    ``alike``: the similarity is at least ``least``. Columns named in ``more`` stay.
     """
-    split = both.select("lead", "key", "n", F.size("theirs").alias("size"), F.array_except("own", "theirs").alias("more"), F.array_except("theirs", "own").alias("less"))
+    split = both.select("lead", "key", "n", *more, F.size("theirs").alias("size"), F.array_except("own", "theirs").alias("more"), F.array_except("theirs", "own").alias("less"))
     counted = split.select("*", F.size("more").alias("plus"), F.size("less").alias("minus"))
     alike = _alike(F.col("size"), F.col("plus"), F.col("minus"), least).alias("alike")
-    return counted.select("lead", "key", "size", "plus", "minus", alike, F.when(F.col("n") > 1, F.concat("more", "less")).alias("parts"))
+    return counted.select("lead", "key", "size", "plus", "minus", alike, F.when(F.col("n") > 1, F.concat("more", "less")).alias("parts"), *more)
 
 
 def _alike(size: Column, plus: Column, minus: Column, least: float) -> Column:
@@ -80,7 +80,7 @@ def _sides(apart: DataFrame, least: float) -> tuple[DataFrame, DataFrame, Column
     words = [f"b{w}" for w in range(SKETCH_WORDS)]
     rows = apart.select("*", (F.col("minus") + F.lit(least) * F.col("plus")).alias("weight"), F.size("parts").alias("all"))
     mine = rows.where("not alike").select("lead", "size", *[F.col(c).alias(f"{c}_x") for c in ("key", "own", "weight", "all", "parts", *words)])
-    yours = rows.select("lead", *[F.col(c).alias(f"{c}_y") for c in ("key", "own", "weight", "all", "parts", "alike", *words)])
+    yours = rows.select("lead", F.col("size").alias("size_y"), *[F.col(c).alias(f"{c}_y") for c in ("key", "own", "weight", "all", "parts", "alike", *words)])
     apart_yet = (F.col("own_x") != F.col("own_y")) & (F.col("alike_y") | (F.col("key_x") < F.col("key_y")))
     needed = (F.col("weight_x") + F.col("weight_y") - F.lit(1 - least) * F.col("size")) / F.lit(1 + least) - F.lit(1e-6)
     # a bit that only one side has is of a part that only it has
@@ -95,7 +95,7 @@ def missed_pairs(apart: DataFrame, least: float) -> DataFrame:
     With s parts in common, the members x and y have size - minus(x) - minus(y) + s shingles in common and size + plus(x) + plus(y) - s
     in all. They are similar only if s >= (weight(x) + weight(y) - 0.2 size) / 1.8, with weight = minus + 0.8 plus. Two that are alike to
     their leader are in its component, so of a pair one, x, is not: weight(x) > 0.2 size. Small groups are compared directly. In a
-    large group, recentred, s is over weight(y) / 1.8, and at least weight(x) - 0.2 size, so that the first parts of both (all
+    large group, recentred, s is over weight(y) / 1.8, and at least weight - 0.2 size of either, so that the first parts of both (all
     but that many, and one) have one in common; they are joined on these. What only few lines have comes first, and the
     place where two meet tells how many parts may follow.
     """
@@ -107,10 +107,10 @@ def missed_pairs(apart: DataFrame, least: float) -> DataFrame:
     near = big.where("alike").select(F.col("own").alias("a"), F.col("c_own").alias("b"))
     mine, yours, may_be, needed = _sides(big, least)
     least_x = F.greatest(F.ceil(F.col("weight_x") - F.lit(1 - least) * F.col("size") - F.lit(1e-6)), F.lit(1)).cast("int")
-    least_y = F.greatest(F.ceil(F.col("weight_y") / F.lit(1 + least) - F.lit(1e-6)), F.lit(1)).cast("int")
+    least_y = F.greatest(F.ceil(F.col("weight_y") / F.lit(1 + least) - F.lit(1e-6)), F.ceil(F.col("weight_y") - F.lit(1 - least) * F.col("size_y") - F.lit(1e-6)), F.lit(1)).cast("int")
     first = lambda side, least: F.posexplode(F.slice(f"parts_{side}", F.lit(1), F.greatest(F.col(f"all_{side}") - least + 1, F.lit(0))))
     probes = mine.select(*[c for c in mine.columns if c != "parts_x"], first("x", least_x).alias("i", "part"))
-    index = yours.select(*[c for c in yours.columns if c != "parts_y"], first("y", least_y).alias("j", "part"))
+    index = yours.select(*[c for c in yours.columns if c not in ("parts_y", "size_y")], first("y", least_y).alias("j", "part"))
     follow = F.least(F.col("all_x") - F.col("i"), F.col("all_y") - F.col("j"))
     large = probes.join(index, ["lead", "part"]).where(may_be & (follow >= needed)).select(*pairs).distinct()
 
@@ -127,22 +127,35 @@ def missed_pairs(apart: DataFrame, least: float) -> DataFrame:
     return out
 
 
+def with_far_groups(both: DataFrame, least: float) -> DataFrame:
+    """``differences`` in which members far from their leader form a group of their own, around the empty set.
+
+    The share of elements in which sets differ, one less the similarity, is a metric: a member that differs from the leader by more
+    than three times what similar sets may has no similar one that differs by less than twice that. So one
+    group takes the members that differ by up to three times, the other those by twice and more, and every similar pair is in one.
+    """
+    found = differences(both.withColumn("own", F.array_distinct("own")).withColumn("whole", F.col("own")), least, "whole")
+    alike = (F.col("size") - F.col("minus")) / F.greatest(F.col("size") + F.col("plus"), F.lit(1))
+    near = found.where(alike >= F.lit(1 - 3 * (1 - least) - 1e-9)).drop("whole")
+    far = found.where((alike <= F.lit(1 - 2 * (1 - least) + 1e-9)) & F.col("parts").isNotNull())
+    around = far.select(F.xxhash64("lead", F.lit("far")).alias("lead"), "key", F.lit(0).alias("size"), F.size("whole").alias("plus"), F.lit(0).alias("minus"), F.lit(False).alias("alike"), F.col("whole").alias("parts"))
+    return near.unionByName(around)
+
+
 def components_of(compared: DataFrame, least: float) -> DataFrame:
-    """(node, component) of the keys that are similar to others, from the rows of ``differences``.
+    """(node, component) of the keys that are similar to others, from a table of the rows of ``differences``.
 
     Members alike to their leader form components with it. Of what is left, every similar pair of a group is found (``missed_pairs``):
     none is lost, and no group is compared pair by pair but the smallest.
     """
     spark = compared.sparkSession
-    compared, path = as_table(compared, "group-differences", plain=True)
     links = compared.where("alike").select(F.col("key").alias("a"), F.col("lead").alias("b"))
     groups, held = as_table(connected_components(links), "group-components")
     own = compared.where("parts is not null").join(few(groups.select(F.col("node").alias("key"), "component")), "key", "left").withColumn("own", F.coalesce("component", "key")).drop("component")
     several = own.groupBy("lead").agg(F.count("*").alias("n"), F.min("own").alias("lo"), F.max("own").alias("hi")).where("lo <> hi").select("lead", "n")
     apart, rest = as_table(sketched(own.join(few(materialise(several)), "lead")), "group-rest", plain=True)
     more = missed_pairs(apart, least)
-    for done in (path, rest):
-        drop_table(spark, done)
+    drop_table(spark, rest)
     wider = materialise(connected_components(more))
     moved = groups.join(few(wider.select(F.col("node").alias("component"), F.col("component").alias("now"))), "component", "left")
     out = materialise(moved.select("node", F.coalesce("now", "component").alias("component")).unionByName(wider).distinct())

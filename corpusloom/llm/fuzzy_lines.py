@@ -107,7 +107,10 @@ def _compared(members: DataFrame, lines: DataFrame) -> DataFrame:
 
 def similar_lines(lines: DataFrame) -> DataFrame:
     """(node, component) of the keys of lines that have similar lines: no similar pair of a band is lost."""
-    return components_of(_compared(band_members(lines), lines), SIMILARITY)
+    compared, path = as_table(_compared(band_members(lines), lines), "line-differences", plain=True)
+    out = components_of(compared, SIMILARITY)
+    drop_table(lines.sparkSession, path)
+    return out
 
 
 def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -12,9 +12,9 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import as_table, chunks, integer_id, materialise, partitions_for, ranges, read_documents, release_memory, text_bytes
+from corpusloom.llm.common import as_table, chunks, drop_table, integer_id, materialise, partitions_for, ranges, read_documents, release_memory, text_bytes
 from corpusloom.llm.components import connected_components
-from corpusloom.llm.differences import components_of, differences
+from corpusloom.llm.differences import components_of, with_far_groups
 
 SEED = 42
 #: Shingles whose bits are counted in one numpy step.
@@ -329,8 +329,8 @@ def _texts_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
     return docs.join(wanted, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
 
 
-def _compared(members: DataFrame, docs: DataFrame, width: int, similarity: float) -> DataFrame:
-    """The differences of the members' shingle sets (key, lead) from their leaders'."""
+def _compared(members: DataFrame, docs: DataFrame, width: int, similarity: float) -> tuple[DataFrame, str]:
+    """The differences of the members' shingle sets (key, lead) from their leaders', as a table, and its path."""
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -341,9 +341,11 @@ def _compared(members: DataFrame, docs: DataFrame, width: int, similarity: float
         release_memory()
 
     ids = members.select(F.col("key").alias("doc_id")).unionByName(members.select(F.col("lead").alias("doc_id")))
-    sets = materialise(_texts_of(ids, docs).mapInArrow(shingled, "key long, own array<long>"))
+    sets, path = as_table(_texts_of(ids, docs).mapInArrow(shingled, "key long, own array<long>"), "near-sets", plain=True)
     theirs = members.groupBy("lead").agg(F.count("*").alias("n")).join(sets.select(F.col("key").alias("lead"), F.col("own").alias("theirs")), "lead")
-    return differences(members.join(sets, "key").join(theirs, "lead"), similarity)
+    out = as_table(with_far_groups(members.join(sets, "key").join(theirs, "lead"), similarity), "near-differences", plain=True)
+    drop_table(docs.sparkSession, path)
+    return out
 
 
 def _cut_sets(texts: DataFrame, width: int, kind: type) -> DataFrame:
@@ -415,7 +417,9 @@ def near_duplicates(
     order = points.groupBy("id").agg((-F.sum("n")).alias("order"))
     leads = points.join(order, "id").groupBy("anchor").agg(F.min(F.struct("order", "id"))["id"].alias("lead"))
     members = materialise(points.join(leads, "anchor").where("id <> lead").select(F.col("id").alias("key"), "lead").distinct())
-    roots, _ = as_table(components_of(_compared(members, source, width, similarity), similarity).withColumnRenamed("node", "id"), "near-roots")
+    compared, path = _compared(members, source, width, similarity)
+    roots, _ = as_table(components_of(compared, similarity).withColumnRenamed("node", "id"), "near-roots")
+    drop_table(docs.sparkSession, path)
 
     held = materialise(lone.select("id", "fp").join(roots, "id", "left").withColumn("own", F.coalesce("component", "id")).drop("component"))
     firsts = held.groupBy("fp").agg(F.min("own").alias("lo"), F.max("own").alias("hi"))
