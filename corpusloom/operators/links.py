@@ -5,13 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusloom.operators.state import checkpointed
 
-def first_by_path(pages: DataFrame, order: str) -> DataFrame:
+
+def first_by_path(pages: DataFrame, *order: str) -> DataFrame:
     """One row per path, the first in ``order``."""
-    nth = F.row_number().over(Window.partitionBy("path").orderBy(order))
+    nth = F.row_number().over(Window.partitionBy("path").orderBy(*order))
     return pages.withColumn("__nth", nth).where("__nth = 1").drop("__nth")
 
 
+def numbered_paths(pages: DataFrame) -> DataFrame:
+    """(id, path): the different paths numbered from 1 in their order.
+
+    Paths are range-partitioned and numbered in each range; the numbers before a range are a sum over one row per range.
+    """
+    ranged = checkpointed(pages.select("path").distinct().repartitionByRange("path").withColumn("part", F.spark_partition_id()))
+    sizes = ranged.groupBy("part").agg(F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    nth = F.row_number().over(Window.partitionBy("part").orderBy("path"))
+    return ranged.withColumn("nth", nth).join(F.broadcast(sizes.select("part", before.alias("ahead"))), "part").select((F.col("ahead") + F.col("nth")).cast("long").alias("id"), "path")
+
+
 def resolve_links(links: DataFrame, articles: DataFrame) -> DataFrame:
     """Different (source_id, target_id) of links (source_id, target_path) whose target is an article's path; self-links stay."""
     targets = articles.select(F.col("path").alias("target_path"), F.col("id").alias("target_id"))

@@ -11,10 +11,13 @@ STATE_SCHEMA = "stage string, completed_at timestamp, article_count long, notes
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """df with its lineage cut in the folder of ``spark.checkpoint.dir`` (a temporary one only where it is not set)."""
+    """df with its lineage cut in the folder of ``spark.checkpoint.dir`` (a temporary one only where it is not set and the master is local)."""
     context = df.sparkSession.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="corpusloom-"))
+        shared = context.getConf().get("spark.checkpoint.dir")
+        if not shared and not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="corpusloom-"))
     return df.checkpoint(eager=True)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.config import Config
-from corpusloom.functions.text import output_path
+from corpusloom.functions.text import article_links, output_path
 from corpusloom.operators import classify, gates, html, links, package, repair, score, select, validate
 from corpusloom.operators.state import STATE_SCHEMA, checkpointed, latest_states, stage_row
 
@@ -21,7 +21,7 @@ ORDER = ("index", "categories", "gate", "classify", "score", "select", "repair",
 class Pipeline:
     """Stages as pure functions of inputs that do not change: running one again drops what later ones made.
 
-    pages: (path, title, html, ...) with one row per article; categories: optional (path, category) for articles whose page
+    pages: (path, title, html, ...), optionally with ``entry``, their order; categories: optional (path, category) for articles whose page
     names none; anchors: per domain. ``made`` holds each stage's output, ``log`` the build states; a failed validation is not logged.
     """
 
@@ -35,17 +35,18 @@ class Pipeline:
     log: DataFrame | None = None
 
     def _index(self) -> dict[str, DataFrame]:
-        first = links.first_by_path(self.pages.where(F.col("path").isNotNull()), "title")
-        ids = first.select("path").orderBy("path").rdd.zipWithIndex().map(lambda r: (r[1] + 1, r[0][0])).toDF("id long, path string")
-        pages = checkpointed(ids.join(first.select("path", "title", "html"), "path").select("id", "path", "title", "html"))
-        facts = checkpointed(html.page_features(pages, "id", "html", self.content_id))
-        articles = pages.select("id", "path", "title", F.length("html").cast("long").alias("html_size")).join(facts.select("id", "text_chars", "is_disambig", "is_stub"), "id").withColumn("is_redirect", F.lit(0))
-        from corpusloom.functions.text import article_links
-
+        """Of records with one path the first in entry order is the article; the links and categories of all are the article's."""
+        entry = "entry" if "entry" in self.pages.columns else "title"
+        kept = self.pages.where(F.col("path").isNotNull()).select("path", "title", "html", F.col(entry).alias("entry"))
+        records = checkpointed(kept.join(links.numbered_paths(kept), "path").withColumn("record", F.monotonically_increasing_id()))
+        pages = checkpointed(links.first_by_path(records, "entry", "title", "html", "record").select("id", "path", "title", "html", "record"))
+        facts = checkpointed(html.page_features(records, "record", "html", self.content_id).withColumnRenamed("id", "record").join(records.select("record", "id"), "record"))
+        own = pages.select("id", "path", "title", F.length("html").cast("long").alias("html_size"), "record")
+        articles = own.join(facts.select("record", "text_chars", "is_disambig", "is_stub"), "record").drop("record").withColumn("is_redirect", F.lit(0))
         raw = facts.select(F.col("id").alias("source_id"), F.explode(article_links(F.col("hrefs"))).alias("target_path"))
         edges = checkpointed(links.resolve_links(raw, articles))
-        own = facts.select(F.col("id").alias("article_id"), F.explode("categories").alias("category"))
-        return {"pages": pages, "articles": checkpointed(links.with_degrees(articles, edges)), "links": raw, "edges": edges, "own_categories": own}
+        named = facts.select(F.col("id").alias("article_id"), F.explode("categories").alias("category"))
+        return {"pages": pages.drop("record"), "articles": checkpointed(links.with_degrees(articles, edges)), "links": raw, "edges": edges, "own_categories": named}
 
     def _categories(self) -> dict[str, DataFrame]:
         made = self.made["index"]

@@ -78,3 +78,19 @@ def test_pipeline_end_to_end(spark, tmp_path):
         run.validate()
     with pytest.raises(ValueError):
         run.run_stages(["nothing"])
+
+
+def test_duplicate_paths_keep_the_first_record_and_the_links_of_all(spark, tmp_path):
+    from corpusloom.config import BuildConfig, Config
+    from corpusloom.plans.pipeline import Pipeline
+
+    page = '<html><body><div id="mw-content-text">{}<a href="{}">x</a></div><div id="mw-normal-catlinks"><a>t</a><a href="Category:{}">{}</a></div></body></html>'
+    rows = [("P", "late", page.format("late", "Q", "B", "B"), 5), ("P", "early", page.format("early text", "R", "A", "A"), 1), ("Q", "q", "<html></html>", 2), ("R", "r", "<html></html>", 3), (None, "n", "", 0)]
+    pages = spark.createDataFrame(rows, "path string, title string, html string, entry long").repartition(3)
+    run = Pipeline(spark, pages, {}, Config(build=BuildConfig(build_dir=str(tmp_path))))
+    made = run._index()
+    articles = {x.path: x for x in made["articles"].collect()}
+    assert {k: v.id for k, v in articles.items()} == {"P": 1, "Q": 2, "R": 3} and articles["P"].title == "early"
+    assert sorted(map(tuple, made["edges"].collect())) == [(1, 2), (1, 3)] and articles["P"].outbound_count == 2
+    named = sorted(map(tuple, made["own_categories"].collect()))
+    assert {x for x, _ in named} == {1} and {c for _, c in named} >= {"a", "b"}
