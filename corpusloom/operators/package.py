@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import json
+import shutil
+import warnings
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -18,6 +20,9 @@ class SizeLimitError(RuntimeError):
     """The corpus is larger than its budget."""
 
 
+def check_size(total: int, cfg: Config) -> None:
+    if total > cfg.build.max_total_compressed_bytes:
+        raise SizeLimitError(f"{total} bytes > {cfg.build.max_total_compressed_bytes}")
 
 
 def _compress(html: pd.Series, level: int) -> pd.Series:
@@ -83,19 +88,39 @@ def write_outputs(entries: DataFrame, cfg: Config, failed: int = 0) -> dict:
     cfg.path("manifest").parent.mkdir(parents=True, exist_ok=True)
     cfg.path("manifest").write_text(json.dumps(rows, ensure_ascii=False, indent=2), encoding="utf-8")
     cfg.path("report").write_text(json.dumps(report, ensure_ascii=False, indent=2), encoding="utf-8")
-    if total > cfg.build.max_total_compressed_bytes:
-        raise SizeLimitError(f"{total} bytes > {cfg.build.max_total_compressed_bytes}")
+    check_size(total, cfg)
     cfg.path("build_hash").write_text(build_hash(rows) + "\n")
     return report
 
 
-def export_files(packed: DataFrame, folder: str) -> None:
-    """One .zst file per row below a folder that all executors share."""
+def _export(rows: DataFrame, folder: str) -> None:
+    """Write (name, data) rows as files below a folder that all executors share; a row that is written twice is the same file."""
 
-    def write(rows) -> None:
-        for r in rows:
-            to = Path(folder, r.output_path + ".zst")
+    def write(part) -> None:
+        for r in part:
+            to = Path(folder, r.name)
             to.parent.mkdir(parents=True, exist_ok=True)
-            to.write_bytes(r.payload)
+            to.write_bytes(bytes(r.data))
+
+    rows.select("name", "data").foreachPartition(write)
+
+
+def export_files(packed: DataFrame, folder: str) -> None:
+    """One .zst file per row."""
+    _export(packed.select(F.concat("output_path", F.lit(".zst")).alias("name"), F.col("payload").alias("data")), folder)
+
+
+def export_pages(pages: DataFrame, folder: str) -> None:
+    """One HTML file in UTF-8 per row."""
+    _export(pages.select(F.col("output_path").alias("name"), F.encode("html", "UTF-8").alias("data")), folder)
+
 
-    packed.select("output_path", "payload").foreachPartition(write)
+def copy_stylesheet(source: str | None, cfg: Config) -> bool:
+    """Copy the stylesheet to the assets; a missing one is only warned of."""
+    if source is None or not Path(source).exists():
+        warnings.warn(f"no stylesheet at {source}", stacklevel=2)
+        return False
+    to = cfg.path("assets") / cfg.build.css_filename
+    to.parent.mkdir(parents=True, exist_ok=True)
+    shutil.copyfile(source, to)
+    return True

@@ -26,6 +26,13 @@ def stage_row(spark: SparkSession, stage: str, article_count: int | None = None,
     return one
 
 
+def stored_log(spark: SparkSession, path: str) -> DataFrame:
+    """The log's rows below a path; none where nothing has been written."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there = where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+    return spark.read.schema(STATE_SCHEMA).parquet(path) if there else spark.createDataFrame([], STATE_SCHEMA)
+
+
 def latest_states(log: DataFrame) -> DataFrame:
     """The last row per stage."""
     last = log.groupBy("stage").agg(F.max(F.struct("completed_at", "article_count", "notes")).alias("s"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from corpusloom.config import Config
 from corpusloom.functions.text import article_links, output_path
 from corpusloom.operators import classify, gates, html, links, package, repair, score, select, validate
-from corpusloom.operators.state import STATE_SCHEMA, checkpointed, latest_states, stage_row
+from corpusloom.operators.state import STATE_SCHEMA, checkpointed, latest_states, stage_row, stored_log
 
 #: Stages in order; a stage uses only what earlier ones made.
 ORDER = ("index", "categories", "gate", "classify", "score", "select", "repair", "normalise", "package", "validate")
@@ -33,6 +33,12 @@ class Pipeline:
     content_id: str | None = html.CONTENT_ID
     made: dict[str, object] = field(default_factory=dict)
     log: DataFrame | None = None
+    log_path: str | None = None
+
+    def __post_init__(self) -> None:
+        """With ``log_path``, the log goes on from the table there, whichever process wrote it."""
+        if self.log_path and self.log is None:
+            self.log = stored_log(self.spark, self.log_path)
 
     def _index(self) -> dict[str, DataFrame]:
         """Of records with one path the first in entry order is the article; the links and categories of all are the article's."""
@@ -79,7 +85,9 @@ class Pipeline:
         kept = self.made["repair"].selection.join(self.made["index"]["pages"], "id").select("id", "path", "title", "domain", "kss", "html")
         out = kept.select(F.col("path").alias("target"), output_path(F.col("domain"), F.col("path")).alias("output_path"))
         targets = self.made["index"]["links"].join(out, F.col("target_path") == F.col("target")).select("source_id", "target", "output_path")
-        return checkpointed(html.normalised_pages(kept, targets))
+        done = checkpointed(html.normalised_pages(kept, targets))
+        package.check_size(done.agg(F.coalesce(F.sum("gzip_size"), F.lit(0))).first()[0], self.cfg)
+        return done
 
     def _package(self) -> DataFrame:
         good = self.made["normalise"].where("html is not null")
@@ -98,7 +106,11 @@ class Pipeline:
         made: Callable[[], object] = getattr(self, f"_{name}")
         self.made[name] = made()
         row = stage_row(self.spark, name)
-        self.log = checkpointed(row if self.log is None else self.log.unionByName(row))
+        if self.log_path:
+            row.write.mode("append").parquet(self.log_path)
+            self.log = stored_log(self.spark, self.log_path)
+        else:
+            self.log = checkpointed(row if self.log is None else self.log.unionByName(row))
 
     def run(self, from_stage: str | None = None, force: bool = False) -> None:
         """All stages in order from ``from_stage``; those already made are skipped unless forced."""
@@ -115,6 +127,12 @@ class Pipeline:
             if force or name not in self.made:
                 self.run_stage(name)
 
+    def export(self, stylesheet: str | None = None) -> None:
+        """Write pages and packed pages as files below the build folder, which all executors must share, and copy the stylesheet beside them."""
+        package.export_pages(self.made["normalise"].where("html is not null"), str(self.cfg.path("normalized")))
+        package.export_files(self.made["package"], str(self.cfg.path("corpus")))
+        package.copy_stylesheet(stylesheet, self.cfg)
+
     def validate(self) -> dict:
         """Always runs the checks."""
         self.run_stage("validate")

@@ -94,3 +94,33 @@ def test_duplicate_paths_keep_the_first_record_and_the_links_of_all(spark, tmp_p
     assert sorted(map(tuple, made["edges"].collect())) == [(1, 2), (1, 3)] and articles["P"].outbound_count == 2
     named = sorted(map(tuple, made["own_categories"].collect()))
     assert {x for x, _ in named} == {1} and {c for _, c in named} >= {"a", "b"}
+
+
+def test_exports_log_on_disk_and_size_gate(spark, tmp_path):
+    import pytest
+    import zstandard
+
+    from corpusloom.config import BuildConfig, Config, PrefilterConfig, ValidationConfig
+    from corpusloom.operators.package import SizeLimitError
+    from corpusloom.plans.pipeline import Pipeline
+
+    page = lambda i: f'<body><div id="mw-content-text"><p>{"text " * 40}<a href="P{(i + 1) % 3}">n</a></p></div></body>'
+    pages = spark.createDataFrame([(f"P{i}", f"War {i}", page(i)) for i in range(3)], "path string, title string, html string")
+    cfg = Config(build=BuildConfig(build_dir=str(tmp_path / "b")), prefilter=PrefilterConfig(10, 1), quotas={"History": 3}, validation=ValidationConfig(random_walk_count=5, random_walk_steps=5))
+    run = Pipeline(spark, pages, {"History": ["war"]}, cfg, log_path=str(tmp_path / "log"))
+    assert run.status().count() == 0
+    run.run_stages(["index", "categories", "gate", "classify", "score", "select", "repair", "normalise", "package"])
+    (tmp_path / "s.css").write_text("p {}")
+    run.export(str(tmp_path / "s.css"))
+    files = sorted(cfg.path("normalized").rglob("*.html"))
+    assert len(files) == 3 and (cfg.path("assets") / "style.css").read_text() == "p {}"
+    packed = cfg.path("corpus") / (str(files[0].relative_to(cfg.path("normalized"))) + ".zst")
+    assert zstandard.ZstdDecompressor().decompress(packed.read_bytes()) == files[0].read_bytes()
+    again = Pipeline(spark, pages, {"History": ["war"]}, cfg, log_path=str(tmp_path / "log"))
+    assert {x.stage for x in again.status().collect()} >= {"index", "package"}
+    with pytest.warns(UserWarning):
+        run.export(None)
+    small = Config(build=BuildConfig(build_dir=str(tmp_path / "c"), max_total_compressed_bytes=10), prefilter=cfg.prefilter, quotas=cfg.quotas)
+    run.cfg = small
+    with pytest.raises(SizeLimitError):
+        run.run_stage("normalise")
