@@ -199,7 +199,7 @@ class WordCachedEncoder:
 
     PUNCTUATION = b".,!?:;"
 
-    def __init__(self, path: str, limit: int = 600_000):
+    def __init__(self, path: str, limit: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -261,7 +261,7 @@ class WordCachedEncoder:
 
 
 #: Words that a worker keeps; about 250 bytes each.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 500_000
 
 
 @lru_cache(2)
