@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from py4j.protocol import Py4JError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ByteType, IntegerType, LongType, NullType, ShortType
@@ -96,6 +97,17 @@ def release_memory() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+def release_driver(spark: SparkSession) -> None:
+    """Give back what ended queries hold: the driver's memory, and through Spark's cleaner the shuffles and checkpoints that nothing refers to."""
+    release_memory()
+    jvm = spark.sparkContext._jvm
+    jvm.System.gc()
+    with contextlib.suppress(Py4JError):  # a virtual machine without this command
+        commands = jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer()
+        none = [spark.sparkContext._gateway.new_array(kind, 0) for kind in (jvm.Object, jvm.String)]
+        commands.invoke(jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand"), "systemTrimNativeHeap", *none)
+
+
 def chunks(texts: list[bytes], limit: int = CHUNK_BYTES) -> Iterator[slice]:
     """Slices of consecutive texts of about ``limit`` bytes; a longer text stands alone."""
     start, held = 0, 0

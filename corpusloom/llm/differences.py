@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import as_table, drop_table, materialise
+from corpusloom.llm.common import as_table, drop_table, materialise, release_driver
 from corpusloom.llm.components import connected_components
 
 #: Members of a leader's group whose differences are compared directly; in larger groups they are joined by what they share.
@@ -104,6 +104,7 @@ def missed_pairs(apart: DataFrame, least: float) -> DataFrame:
     small = mine.drop("parts_x").join(yours.drop("parts_y"), "lead").where(may_be).select(*pairs)
 
     big, path = as_table(sketched(recentred(apart.where(F.col("n") > DIRECT), least)), "group-centres", plain=True)
+    release_driver(spark)
     near = big.where("alike").select(F.col("own").alias("a"), F.col("c_own").alias("b"))
     mine, yours, may_be, needed = _sides(big, least)
     least_x = F.greatest(F.ceil(F.col("weight_x") - F.lit(1 - least) * F.col("size") - F.lit(1e-6)), F.lit(1)).cast("int")
@@ -142,8 +143,9 @@ def with_far_groups(both: DataFrame, least: float) -> DataFrame:
     return near.unionByName(around)
 
 
-def components_of(compared: DataFrame, least: float) -> DataFrame:
-    """(node, component) of the keys that are similar to others, from a table of the rows of ``differences``.
+def components_of(compared: DataFrame, least: float, path: str | None = None) -> DataFrame:
+    """(node, component) of the keys that are similar to others, from a table of the rows of ``differences``; the table at ``path``, if one
+    is named, is dropped as soon as it is not needed.
 
     Members alike to their leader form components with it. Of what is left, every similar pair of a group is found (``missed_pairs``):
     none is lost, and no group is compared pair by pair but the smallest.
@@ -154,6 +156,9 @@ def components_of(compared: DataFrame, least: float) -> DataFrame:
     own = compared.where("parts is not null").join(few(groups.select(F.col("node").alias("key"), "component")), "key", "left").withColumn("own", F.coalesce("component", "key")).drop("component")
     several = own.groupBy("lead").agg(F.count("*").alias("n"), F.min("own").alias("lo"), F.max("own").alias("hi")).where("lo <> hi").select("lead", "n")
     apart, rest = as_table(sketched(own.join(few(materialise(several)), "lead")), "group-rest", plain=True)
+    if path:
+        drop_table(spark, path)
+    release_driver(spark)
     more = missed_pairs(apart, least)
     drop_table(spark, rest)
     wider = materialise(connected_components(more))

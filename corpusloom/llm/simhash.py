@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import as_table, chunks, drop_table, integer_id, materialise, partitions_for, ranges, read_documents, release_memory, text_bytes
+from corpusloom.llm.common import as_table, chunks, drop_table, integer_id, materialise, partitions_for, ranges, read_documents, release_driver, release_memory, scratch_path, text_bytes
 from corpusloom.llm.components import connected_components
 from corpusloom.llm.differences import components_of, with_far_groups
 
@@ -293,6 +293,8 @@ LEAST_HASHES = 8
 HALF_BAR = 0.99
 #: Documents whose texts are fetched through a broadcast of their ids (8 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
+#: Members (16 bytes each) whose sets are compared with their leaders' in one round.
+MEMBERS_AT_ONCE = 1_000_000
 
 
 def _sketches(docs: DataFrame, width: int) -> DataFrame:
@@ -330,7 +332,11 @@ def _texts_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def _compared(members: DataFrame, docs: DataFrame, width: int, similarity: float) -> tuple[DataFrame, str]:
-    """The differences of the members' shingle sets (key, lead) from their leaders', as a table, and its path."""
+    """The differences of the members' shingle sets (key, lead) from their leaders', as a table, and its path.
+
+    Members are taken in rounds of ``MEMBERS_AT_ONCE``, which are broadcast to the sets: a set is shuffled once per leader of its member, and
+    of the other sets only the leaders' are, so that the shuffles of a round, not of all members, are on disk beside the tables.
+    """
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -340,12 +346,20 @@ def _compared(members: DataFrame, docs: DataFrame, width: int, similarity: float
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(s.start, s.stop - s.start), pa.array(sets, pa.list_(pa.int64()))], ["key", "own"])
         release_memory()
 
+    spark = docs.sparkSession
     ids = members.select(F.col("key").alias("doc_id")).unionByName(members.select(F.col("lead").alias("doc_id")))
     sets, path = as_table(_texts_of(ids, docs).mapInArrow(shingled, "key long, own array<long>"), "near-sets", plain=True)
-    theirs = members.groupBy("lead").agg(F.count("*").alias("n")).join(sets.select(F.col("key").alias("lead"), F.col("own").alias("theirs")), "lead")
-    out = as_table(with_far_groups(members.join(sets, "key").join(theirs, "lead"), similarity), "near-differences", plain=True)
-    drop_table(docs.sparkSession, path)
-    return out
+    counted = materialise(members.join(members.groupBy("lead").agg(F.count("*").alias("n")), "lead"))
+    rounds, out = max(1, -(-counted.count() // MEMBERS_AT_ONCE)), scratch_path(spark, "near-differences")
+    paths = [f"{out}/round-{k}" for k in range(rounds)]
+    for k in range(rounds):
+        release_driver(spark)
+        mine = counted.where(F.pmod(F.xxhash64("lead", "key"), F.lit(rounds)) == k)
+        theirs = sets.withColumnsRenamed({"key": "lead", "own": "theirs"}).join(F.broadcast(mine.select("lead", "n").distinct()), "lead")
+        found = with_far_groups(sets.join(F.broadcast(mine.select("lead", "key")), "key").join(theirs, "lead"), similarity)
+        found.write.option("compression", "none").option("parquet.enable.dictionary", "false").parquet(paths[k])
+    drop_table(spark, path)
+    return spark.read.schema(found.schema).parquet(*paths), out
 
 
 def _cut_sets(texts: DataFrame, width: int, kind: type) -> DataFrame:
@@ -418,8 +432,8 @@ def near_duplicates(
     leads = points.join(order, "id").groupBy("anchor").agg(F.min(F.struct("order", "id"))["id"].alias("lead"))
     members = materialise(points.join(leads, "anchor").where("id <> lead").select(F.col("id").alias("key"), "lead").distinct())
     compared, path = _compared(members, source, width, similarity)
-    roots, _ = as_table(components_of(compared, similarity).withColumnRenamed("node", "id"), "near-roots")
-    drop_table(docs.sparkSession, path)
+    roots, _ = as_table(components_of(compared, similarity, path).withColumnRenamed("node", "id"), "near-roots")
+    release_driver(docs.sparkSession)
 
     held = materialise(lone.select("id", "fp").join(roots, "id", "left").withColumn("own", F.coalesce("component", "id")).drop("component"))
     firsts = held.groupBy("fp").agg(F.min("own").alias("lo"), F.max("own").alias("hi"))
@@ -427,6 +441,7 @@ def near_duplicates(
     left, right = (held.select(F.col("fp").alias(f"fp_{x}"), F.col("id").alias(x), F.col("own").alias(f"own_{x}")) for x in "ab")
     close = materialise(_ordered(near.join(left, "fp_a").join(right, "fp_b").where("own_a <> own_b")))
     links = roots.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(_alike(close, source, width, similarity))
+    release_driver(docs.sparkSession)
     roots = connected_components(links).withColumnRenamed("node", "id")
     classes = lone.join(roots, "id", "left").select("fp", "least", F.coalesce("component", "id").alias("component_id"))
     sized = sketches.join(classes, ["fp", "least"]).select("doc_id", "component_id")

@@ -390,6 +390,26 @@ def test_near_duplicates_of_short_texts_in_large_groups(spark, monkeypatch, dire
     assert len(alike) > 1000 and got == {k: find(k) for k in range(len(texts)) if find(k) != k}
 
 
+def test_near_duplicates_in_rounds(spark, monkeypatch):
+    """Members taken a few at a time give what one round gives, and whole sets are shuffled by leader only."""
+    r = random.Random(41)
+    texts = []
+    for _ in range(12):
+        base = [f"w{r.randrange(2000)}" for _ in range(150)]
+        texts += [" ".join(base[:k] + [f"x{k}"] + base[k + 1 :]) for k in range(0, 150, 20)]
+    frame, rounds = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), []
+
+    def spied(both, least, f=simhash.with_far_groups):
+        rounds.append(both._jdf.queryExecution().executedPlan().toString())
+        return f(both, least)
+
+    monkeypatch.setattr(simhash, "with_far_groups", spied)
+    whole = sorted(simhash.near_duplicates(frame).collect())
+    assert len(whole) > 50 and len(rounds) == 1 and "hashpartitioning(key" not in rounds[0]
+    monkeypatch.setattr(simhash, "MEMBERS_AT_ONCE", 30)
+    assert sorted(simhash.near_duplicates(frame).collect()) == whole and len(rounds) > 2
+
+
 def test_fingerprint_pairs_are_direct(spark):
     r = random.Random(23)
     base = [r.getrandbits(63) for _ in range(3)]
