@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import scratch_path, unnamed
+from corpusloom.llm.common import release_driver, scratch_path, unnamed
 from corpusloom.llm.decontaminate import contaminated
 from corpusloom.llm.langid import predict_language, train_language_models
 from corpusloom.llm.mixing import mixed
@@ -21,8 +21,9 @@ from corpusloom.llm.sstable import read_token_shards, write_token_shards
 BATCH_ROWS = 1000
 
 
-def _small_batches(spark: SparkSession) -> None:
-    """Hold Arrow batches to ``BATCH_ROWS`` in this session, unless they are smaller: stages are run after they return."""
+def _begin(spark: SparkSession) -> None:
+    """Give back what the stage before left; hold Arrow batches to ``BATCH_ROWS`` in this session, unless they are smaller: stages are run after they return."""
+    release_driver(spark)
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     spark.conf.set(name, str(min(BATCH_ROWS, int(spark.conf.get(name)) if int(spark.conf.get(name)) > 0 else BATCH_ROWS)))
 
@@ -32,7 +33,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Texts of any length are read whole; repeated rows are decided alike; without labelled rows every document is rejected.
     """
-    _small_batches(spark)
+    _begin(spark)
     model = train_language_models(docs)
     plain = unnamed(docs)
     found = predict_language(plain, model, plain.columns[0], f"c{docs.columns.index('text')}", keep=tuple(plain.columns[1:]))
@@ -45,14 +46,14 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     Texts without words (null, empty) are one group; rows with one doc_id are one document and stay or go together; rows without
     doc_id stay.
     """
-    _small_batches(spark)
+    _begin(spark)
     gone = near_duplicates(docs).select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark passage; null and empty texts have none, rows with one doc_id go together, rows without stay."""
-    _small_batches(spark)
+    _begin(spark)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
     hit = contaminated(docs, benchmark).select("doc_id").distinct()
     return docs.join(hit, "doc_id", "left_anti").select(*docs.columns)
@@ -63,6 +64,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Null, empty and wordless texts are due like others of their source, but take no words; repeated rows are mixed row by row.
     """
+    _begin(spark)
     return mixed(docs)
 
 
@@ -71,7 +73,7 @@ def token_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
     Null and empty texts are their end identifier alone; repeated rows follow each other.
     """
-    _small_batches(spark)
+    _begin(spark)
     # the workers also hold what earlier stages left: a smaller word cache than a run of this operator alone would take
     return read_token_shards(write_token_shards(docs, scratch_path(spark, "pipeline-shards"), cache_words=150_000))
 

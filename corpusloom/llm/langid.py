@@ -271,6 +271,8 @@ def train_language_models(
     model = KneserNeyModels.train(words) if words else KneserNeyModels([])
     if words:
         model.calibrate([r.t for k, r in enumerate(sample) if not k % 5 and r.l in words], [r.l for k, r in enumerate(sample) if not k % 5 and r.l in words])
+    del sample, words
+    release_memory()
     return model
 
 

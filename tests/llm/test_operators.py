@@ -3,6 +3,8 @@
 import hashlib
 import math
 import random
+import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -511,6 +513,31 @@ def test_pipeline_stages(spark, rows, tmp_path):
     assert corpus_pipeline.run(spark, where).count() == len(kept[3])
 
 
+def test_stages_give_back_what_ended_queries_hold(spark, rows, tmp_path, monkeypatch):
+    """Every stage begins so; shuffles of a query that nothing refers to are gone soon after."""
+    import corpus_pipeline
+    from corpusloom.llm import common
+
+    begun = []
+    monkeypatch.setattr(corpus_pipeline, "release_driver", begun.append)
+    spark.createDataFrame([(1, "an item")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.createDataFrame([(k, words(random.Random(k), 30), "en", "s", 1) for k in range(20)], SCHEMA)
+    for _, stage in corpus_pipeline.STAGES:
+        stage(spark, docs, str(tmp_path))
+    assert len(begun) == len(corpus_pipeline.STAGES)
+    tracker = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker()
+    shuffles = lambda: set(re.findall(r"\d+", tracker.shuffleStatuses().keySet().toString()))
+    had = shuffles()
+    spark.range(1000).repartition(7).write.format("noop").mode("overwrite").save()
+    made = shuffles() - had
+    for _ in range(20):
+        common.release_driver(spark)
+        if not made & shuffles():
+            break
+        time.sleep(0.5)
+    assert made and not made & shuffles()
+
+
 def test_bit_counts_and_scores_against_a_plain_version(spark):
     """Slots hold the counts of their contexts (few collide), and a text's score is that of a bit-by-bit loop over the same model."""
     r = random.Random(43)
