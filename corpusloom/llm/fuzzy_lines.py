@@ -19,7 +19,7 @@ SIDE = 4
 WIDE = 2
 SIMILARITY = 0.8
 #: Shingle positions that one array holds, and those that one row takes at once.
-PIECE, STEP = 4096, 4
+PIECE, STEP = 4096, 6
 
 
 def _seeds() -> list[int]:

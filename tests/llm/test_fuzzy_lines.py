@@ -120,3 +120,21 @@ def test_query(spark, tmp_path):
     got = fuzzy_lines.op4_fuzzy_lines(spark, str(tmp_path)).collect()
     assert sorted((x.doc_id, x.n_lines, x.n_removed) for x in got) == [(1, 2, 0), (2, 1, 1), (3, 0, 0), (4, 1, 1), (5, 0, 0)]
     assert {x.kept_digest for x in got if x.doc_id > 1} == {"0" * 16} and all(len(x.kept_digest) == 16 for x in got)
+
+
+def test_signatures_at_the_ends_of_pieces_and_steps(spark):
+    """The minima are those of all shingles, whether or not the steps divide a piece or a line."""
+    import xxhash
+
+    r = random.Random(5)
+    sizes = [1, 7, 8, *range(13, 22), *(fuzzy_lines.PIECE + k for k in range(1, 21)), 2 * fuzzy_lines.PIECE + 9]
+    frame = fuzzy_lines.lines_of(frame_of(spark, ["a" + drawn(r, n - 1) for n in sizes]))
+    text = {x.key: x.line for x in frame.collect()}
+    got = {x[0]: list(x[1:]) for x in fuzzy_lines.signatures(frame).collect()}
+
+    def minima(line):
+        cut = [xxhash.xxh64_intdigest(s.encode("UTF-16BE"), 42) for s in shingles(line)]
+        signed = [h - (1 << 64) if h >> 63 else h for h in cut]
+        return [min(h ^ seed for h in signed) for seed in fuzzy_lines._seeds()]
+
+    assert got == {k: minima(line) for k, line in text.items()} and len(got) == len(sizes)
