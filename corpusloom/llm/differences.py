@@ -16,6 +16,8 @@ from corpusloom.llm.components import connected_components
 DIRECT = 32
 #: What decides which member of a large group is its centre: one of so many parts, of so many members at most.
 CENTRE_SHARE, CENTRE_MEMBERS = 4, 256
+#: A part that so many of these members have is among the frequent ones.
+FREQUENT = 4
 #: 64-bit words of the sketch of a member's differences, in which each sets a bit.
 SKETCH_WORDS = 4
 #: Rows of 8 to 16 bytes that may be broadcast; more are joined by a shuffle.
@@ -44,12 +46,45 @@ def _alike(size: Column, plus: Column, minus: Column, least: float) -> Column:
     return size - minus >= F.lit(least) * (size + plus)
 
 
+def _around(both: DataFrame, least: float) -> DataFrame:
+    """both (members with the centre of their group, that is with the c_ columns) with the members' differences from the centre, not from the leader.
+
+    They follow from what sets either apart from the leader.
+    """
+    has, lacks, c_has, c_lacks = (F.slice(p, F.lit(1) + (a if second else F.lit(0)), b if second else a) for p, a, b in (("parts", F.col("plus"), F.col("minus")), ("c_parts", F.col("c_plus"), F.col("c_minus"))) for second in (False, True))
+    more = F.sort_array(F.concat(F.array_except(has, c_has), F.array_except(c_lacks, lacks)))
+    less = F.sort_array(F.concat(F.array_except(c_has, has), F.array_except(lacks, c_lacks)))
+    moved = both.select("lead", "key", "centre", "c_own", "n", "own", (F.col("size") + F.col("c_plus") - F.col("c_minus")).alias("size"), more.alias("more"), less.alias("less"))
+    sized = moved.withColumn("plus", F.size("more")).withColumn("minus", F.size("less"))
+    return sized.withColumn("alike", _alike(F.col("size"), F.col("plus"), F.col("minus"), least)).withColumn("parts", F.concat("more", "less")).drop("more", "less")
+
+
+def _shared(centres: DataFrame, big: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
+    """centres (lead, n, centre and the c_ columns) in which a group whose leader is a member of a larger group, alike to that one's centre,
+    has this centre too; and big with a member once around a centre."""
+    held = materialise(centres)
+    leads = held.select(F.col("lead").alias("key"), F.col("n").alias("led"))
+    inside = big.drop("n").join(few(leads), "key").join(held, "lead").where("n > led or n = led and lead > key")
+    larger = _around(inside, least).where("alike")
+    # what the centre has and the group's leader lacks is what sets the centre apart from this leader
+    less, more = F.slice("parts", F.col("plus") + 1, F.col("minus")), F.slice("parts", F.lit(1), F.col("plus"))
+    theirs = F.struct("centre", "c_own", F.col("minus").alias("c_plus"), F.col("plus").alias("c_minus"), F.concat(less, more).alias("c_parts"))
+    taken = larger.groupBy(F.col("key").alias("lead")).agg(F.max_by(theirs, F.struct("n", "lead")).alias("theirs"))
+    mine = F.struct("centre", "c_own", "c_plus", "c_minus", "c_parts")
+    out = materialise(held.join(taken, "lead", "left").select("lead", F.coalesce("theirs", mine).alias("c")).select("lead", "c.*"))
+    several = out.join(out.groupBy("centre").agg(F.count("*").alias("leads")).where("leads > 1"), "centre").select("lead", "centre")
+    met = big.select("lead", "key").join(few(materialise(several)), "lead").groupBy("centre", "key").agg(F.sort_array(F.collect_set("lead")).alias("leads"))
+    again = met.where(F.size("leads") > 1).select(F.explode(F.slice("leads", F.lit(2), F.size("leads"))).alias("lead"), "key")
+    return out, big.join(few(materialise(again)), ["lead", "key"], "left_anti")
+
+
 def recentred(big: DataFrame, least: float) -> DataFrame:
     """big (rows of ``differences`` with n and own) with every member's difference to its group's centre, which is in the component ``c_own``.
 
     The parts that more than half of a group have are what sets its leader apart; the centre is the member nearest to having just
     these, judged by some parts of some members (any centre gives right results). What sets a member apart from the centre follows from
-    both differences to the leader.
+    both differences to the leader. The leaders of one family of copies have many members in common: groups with one centre (see
+    ``_shared``) are one group, which is named by it, and a member is in it once.
     """
     some = F.filter("parts", lambda p: F.pmod(p, F.lit(CENTRE_SHARE)) == 0)
     narrow = big.select("lead", "key", "n", some.alias("some"))
@@ -58,15 +93,25 @@ def recentred(big: DataFrame, least: float) -> DataFrame:
     often = heard.groupBy("lead", "part").agg(F.count("*").alias("times"), F.max("n").alias("n")).where("2 * times > n")
     usual = often.groupBy("lead").agg(F.collect_list("part").alias("usual"))
     off = F.size("some") - 2 * F.coalesce(F.size(F.array_intersect("some", "usual")), F.lit(0))
-    centre = narrow.join(usual, "lead", "left").groupBy("lead").agg(F.min(F.struct(off.alias("off"), "key"))["key"].alias("key"))
-    centre = big.join(few(materialise(centre)), ["lead", "key"]).select("lead", F.col("key").alias("centre"), F.col("own").alias("c_own"), F.col("plus").alias("c_plus"), F.col("minus").alias("c_minus"), F.col("parts").alias("c_parts"))
-    both = big.join(centre, "lead").where("key <> centre")
-    has, lacks, c_has, c_lacks = (F.slice(p, F.lit(1) + (a if second else F.lit(0)), b if second else a) for p, a, b in (("parts", F.col("plus"), F.col("minus")), ("c_parts", F.col("c_plus"), F.col("c_minus"))) for second in (False, True))
-    more = F.sort_array(F.concat(F.array_except(has, c_has), F.array_except(c_lacks, lacks)))
-    less = F.sort_array(F.concat(F.array_except(c_has, has), F.array_except(lacks, c_lacks)))
-    moved = both.select("lead", "key", "c_own", "n", "own", (F.col("size") + F.col("c_plus") - F.col("c_minus")).alias("size"), more.alias("more"), less.alias("less"))
-    sized = moved.withColumn("plus", F.size("more")).withColumn("minus", F.size("less"))
-    return sized.withColumn("alike", _alike(F.col("size"), F.col("plus"), F.col("minus"), least)).withColumn("parts", F.concat("more", "less")).drop("more", "less")
+    own = materialise(narrow.join(usual, "lead", "left").groupBy("lead").agg(F.min(F.struct(off.alias("off"), "key"))["key"].alias("key")))
+    centres = big.join(few(own), ["lead", "key"]).select("lead", "n", F.col("key").alias("centre"), F.col("own").alias("c_own"), F.col("plus").alias("c_plus"), F.col("minus").alias("c_minus"), F.col("parts").alias("c_parts"))
+    led = big.join(few(own.select(F.col("lead").alias("key"))), "key", "left_semi")
+    centres, once = (centres, big) if led.isEmpty() else _shared(centres, big, least)
+    return _around(once.join(centres.drop("n"), "lead").where("key <> centre"), least).withColumn("lead", F.col("centre")).drop("centre")
+
+
+def rarest_first(rows: DataFrame) -> DataFrame:
+    """rows with the parts that many of a group's members have, of some members counted, behind all others, the most frequent last.
+
+    The order is one for all members of a group, as the prefixes of ``missed_pairs`` need; any such order gives right results.
+    """
+    each = F.ceil(F.col("members") / F.lit(CENTRE_MEMBERS))
+    members = rows.groupBy("lead").agg(F.count("*").alias("members"))
+    heard = rows.select("lead", "key", "parts").join(few(members), "lead").where(F.pmod(F.xxhash64("key"), each) == 0).select("lead", F.explode("parts").alias("part"))
+    often = heard.groupBy("lead", "part").agg(F.count("*").alias("times")).where(F.col("times") >= FREQUENT)
+    last = often.groupBy("lead").agg(F.sort_array(F.collect_list(F.struct("times", "part")))["part"].alias("last"))
+    ordered = F.concat(F.array_except("parts", "last"), F.array_intersect("last", "parts"))
+    return rows.join(last, "lead", "left").withColumn("parts", F.coalesce(ordered, "parts")).drop("last")
 
 
 def sketched(rows: DataFrame) -> DataFrame:
@@ -96,14 +141,16 @@ def missed_pairs(apart: DataFrame, least: float) -> DataFrame:
     in all. They are similar only if s >= (weight(x) + weight(y) - 0.2 size) / 1.8, with weight = minus + 0.8 plus. Two that are alike to
     their leader are in its component, so of a pair one, x, is not: weight(x) > 0.2 size. Small groups are compared directly. In a
     large group, recentred, s is over weight(y) / 1.8, and at least weight - 0.2 size of either, so that the first parts of both (all
-    but that many, and one) have one in common; they are joined on these. What only few lines have comes first, and the
+    but that many, and one) have one in common; they are joined on these. What only few members have comes first (``rarest_first``), and the
     place where two meet tells how many parts may follow.
     """
     spark, pairs = apart.sparkSession, ("lead", "key_x", "key_y")
     mine, yours, may_be, _ = _sides(apart.where(F.col("n") <= DIRECT), least)
     small = mine.drop("parts_x").join(yours.drop("parts_y"), "lead").where(may_be).select(*pairs)
 
-    big, path = as_table(sketched(recentred(apart.where(F.col("n") > DIRECT), least)), "group-centres", plain=True)
+    centred, first_path = as_table(recentred(apart.where(F.col("n") > DIRECT), least), "group-moved", plain=True)
+    big, path = as_table(sketched(rarest_first(centred)), "group-centres", plain=True)
+    drop_table(spark, first_path)
     release_driver(spark)
     near = big.where("alike").select(F.col("own").alias("a"), F.col("c_own").alias("b"))
     mine, yours, may_be, needed = _sides(big, least)

@@ -138,3 +138,42 @@ def test_signatures_at_the_ends_of_pieces_and_steps(spark):
         return [min(h ^ seed for h in signed) for seed in fuzzy_lines._seeds()]
 
     assert got == {k: minima(line) for k, line in text.items()} and len(got) == len(sizes)
+
+
+def test_groups_of_one_family_share_a_centre(spark):
+    """Members that several leaders of one family have are compared around one centre, once; what is linked is that of brute force."""
+    from pyspark.sql import functions as F
+
+    r = random.Random(41)
+    original, other = drawn(r, 240), drawn(r, 240)
+    family = [edited(r, original, r.randint(1, 9)) for _ in range(70)]
+    strangers = [edited(r, other, r.randint(1, 9)) for _ in range(40)]
+    texts = [original, edited(r, original, 1), edited(r, original, 2), other, *family, *strangers]
+    members = {0: [1, *range(4, 64)], 1: [0, 2, *range(8, 70)], 2: [0, 1, *range(24, 74)], 3: [*range(74, 114)]}
+    sets = [shingles(t) for t in texts]
+    rows = [(lead, k, len(held), texts[lead], texts[k]) for lead, held in members.items() for k in held]
+    both = spark.createDataFrame(rows, "lead long, key long, n long, a string, b string")
+    both = both.select("lead", "key", "n", F.array_distinct(fuzzy_lines.shingles("a")).alias("theirs"), fuzzy_lines.shingles("b").alias("own"))
+    counts = both.select("lead", "n").distinct()
+    apart = differences.differences(both, 0.8).join(counts, "lead").withColumn("own", F.col("key"))
+
+    got = [(x.lead, x.key, x.size, x.plus, x.minus) for x in differences.recentred(apart, 0.8).collect()]
+    assert len(got) == len({k for _, k, *_ in got}) and len({lead for lead, *_ in got}) == 2  # one for the family, one for the strangers
+    every = {k for held in members.values() for k in held}
+    assert {k for _, k, *_ in got} == every - {lead for lead, *_ in got}
+    assert all((size, plus, minus) == (len(sets[c]), len(sets[k] - sets[c]), len(sets[c] - sets[k])) for c, k, size, plus, minus in got)
+
+    want = similar(sets, ((a, b) for held in members.values() for a in held for b in held if a < b))
+    found = [(x.a, x.b) for x in differences.missed_pairs(differences.sketched(apart), 0.8).collect()]
+    assert components(every, found) == components(every, want)
+
+
+def test_parts_that_many_members_have_come_last(spark):
+    """In one order for all members of a group; what a few have stays in front."""
+    often, rows = [900, 5, 300], []
+    for k in range(12):
+        rows.append((1, k, [1000 + k, *often[: 1 + k % 3], 2000 + k // 2]))
+    big = spark.createDataFrame([*rows, (2, 99, [900, 7])], "lead long, key long, parts array<long>")
+    got = {(x.lead, x.key): x.parts for x in differences.rarest_first(big).collect()}
+    want = {0: [900], 1: [5, 900], 2: [300, 5, 900]}  # held by twelve, eight and four
+    assert got == {(2, 99): [900, 7]} | {(1, k): [1000 + k, 2000 + k // 2, *want[k % 3]] for k in range(12)}
