@@ -2,21 +2,28 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.config import RepairConfig
 from corpusloom.operators.select import compared, quota_frame
-from corpusloom.operators.state import checkpointed
+from corpusloom.operators.state import checkpointed, stored
 
 
 @dataclass
 class RepairResult:
     selection: DataFrame  # id, domain, kss, anchor
     rounds: list[tuple[int, int]]  # pulled, evicted
-    reason: str
+    ended: Callable[[], str]
+
+    @cached_property
+    def reason(self) -> str:
+        """Why it ended; looked up among all edges when first asked for."""
+        return self.ended()
 
 
 def missing_links(selection: DataFrame, edges: DataFrame, attrs: DataFrame, top_n: int) -> DataFrame:
@@ -26,15 +33,41 @@ def missing_links(selection: DataFrame, edges: DataFrame, attrs: DataFrame, top_
     """
     chosen = selection.select("id")
     out = edges.join(chosen, edges.source_id == chosen.id, "left_semi").join(chosen, edges.target_id == chosen.id, "left_anti")
-    known = out.join(attrs.withColumnRenamed("id", "target_id"), "target_id")
-    order = Window.partitionBy("source_id").orderBy(F.coalesce(compared(), F.lit(0.0)).desc(), F.col("target_id").asc())
+    return _ranked(out.join(attrs.withColumnRenamed("id", "target_id"), "target_id").withColumn("__key", _key()), top_n).drop("__key")
+
+
+def _key() -> Column:
+    return F.coalesce(compared(), F.lit(0.0))
+
+
+def _ranked(known: DataFrame, top_n: int) -> DataFrame:
+    order = Window.partitionBy("source_id").orderBy(F.col("__key").desc(), F.col("target_id").asc())
     return known.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top_n)
 
 
-def pulls(ranked: DataFrame, min_kss: float) -> DataFrame:
-    """Different eligible targets (id, domain, kss)."""
-    fit = ranked.where((F.col("stage1_pass") == 1) & F.col("kss").isNotNull() & (F.col("kss") >= min_kss) & F.col("domain").isNotNull())
-    return fit.select(F.col("target_id").alias("id"), "domain", "kss").distinct()
+def _fit(min_kss: float) -> Column:
+    """Whether an article can be pulled."""
+    return F.coalesce((F.col("stage1_pass") == 1) & (F.col("kss") >= min_kss) & F.col("domain").isNotNull(), F.lit(False))
+
+
+def open_edges(selected: DataFrame, edges: DataFrame, attrs: DataFrame, min_kss: float) -> DataFrame:
+    """(source_id, target_id, __key, fit): the edges that can decide a pull in some round.
+
+    Only articles of the first selection and those that can be pulled are ever sources. A target of a lower key than ``min_kss`` comes in every
+    source's order after all that can be pulled, so it takes none of their ranks; others that cannot be pulled stay.
+    """
+    known = attrs.select(F.col("id").alias("target_id"), _key().alias("__key"), _fit(min_kss).alias("fit"))
+    targets = known.where(F.col("__key") >= F.round(F.lit(float(min_kss)), 12))
+    sources = selected.select("id").unionByName(attrs.where(_fit(min_kss)).select("id")).distinct()
+    return edges.join(targets, "target_id").join(sources, F.col("source_id") == sources.id, "left_semi").select("source_id", "target_id", "__key", "fit")
+
+
+def pulls(now: DataFrame, reach: DataFrame, attrs: DataFrame, top_n: int) -> DataFrame:
+    """Different eligible targets (id, domain, kss) among the ``top_n`` missing links of each selected source; reach has open edges."""
+    chosen = now.select("id")
+    out = reach.join(chosen, reach.target_id == chosen.id, "left_anti").join(chosen, reach.source_id == chosen.id, "left_semi")
+    ids = _ranked(out, top_n).where("fit").select(F.col("target_id").alias("id")).distinct()
+    return attrs.select("id", "domain", "kss").join(ids, "id", "left_semi").distinct()
 
 
 def evictions(selection: DataFrame, quotas: dict[str, int], overage: float) -> DataFrame:
@@ -50,24 +83,25 @@ def repair(selected: DataFrame, edges: DataFrame, attrs: DataFrame, quotas: dict
     """Rounds of pull and evict on (id, domain, kss); attrs has (id, stage1_pass, kss, domain).
 
     A round's pulls are decided on one snapshot and all become anchors before evictions. It ends with no missing link, no eligible
-    target, or after ``max_iterations``; each round pulls a new permanent anchor, so it ends. Only the selection is written per round.
+    target, or after ``max_iterations``; each round pulls a new permanent anchor, so it ends. The edges that can matter are written once,
+    a round reads those alone and writes its pulls and the selection.
     """
     cfg = cfg or RepairConfig()
+    facts = stored(attrs.select("id", "stage1_pass", "kss", "domain"))
+    fit = facts.where(_fit(cfg.min_pull_kss)).select("id", "domain", "kss")
     now = checkpointed(selected.select("id", "domain", "kss", F.lit(0).alias("anchor")))
-    facts = attrs.select("id", "stage1_pass", "kss", "domain")
+    reach = stored(open_edges(now, edges, facts, cfg.min_pull_kss))
+    n = now.count()
     rounds: list[tuple[int, int]] = []
-    reason = "max_iterations"
     for _ in range(cfg.max_iterations):
-        ranked = checkpointed(missing_links(now, edges, facts, cfg.top_n_links))
-        if ranked.isEmpty():
-            reason = "no_missing_links"
-            break
-        fresh = checkpointed(pulls(ranked, cfg.min_pull_kss))
+        fresh = checkpointed(pulls(now, reach, fit, cfg.top_n_links))
         pulled = fresh.count()
         if not pulled:
-            reason = "no_candidates"
             break
-        grown = checkpointed(now.unionByName(fresh.select("id", "domain", "kss", F.lit(1).alias("anchor"))))
+        grown = now.unionByName(fresh.select("id", "domain", "kss", F.lit(1).alias("anchor")))
         now = checkpointed(grown.join(evictions(grown, quotas, cfg.max_overage_fraction), "id", "left_anti"))
-        rounds.append((pulled, grown.count() - now.count()))
-    return RepairResult(now, rounds, reason)
+        before, n = n, now.count()
+        rounds.append((pulled, before + pulled - n))
+    else:
+        return RepairResult(now, rounds, lambda: "max_iterations")
+    return RepairResult(now, rounds, lambda: "no_missing_links" if missing_links(now, edges, facts, 1).isEmpty() else "no_candidates")

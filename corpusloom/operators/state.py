@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,13 +13,26 @@ STATE_SCHEMA = "stage string, completed_at timestamp, article_count long, notes
 
 def checkpointed(df: DataFrame) -> DataFrame:
     """df with its lineage cut in the folder of ``spark.checkpoint.dir`` (a temporary one only where it is not set and the master is local)."""
-    context = df.sparkSession.sparkContext
+    shared_folder(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of checkpoints, which driver and executors share."""
+    context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
         shared = context.getConf().get("spark.checkpoint.dir")
         if not shared and not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="corpusloom-"))
-    return df.checkpoint(eager=True)
+    return context._jsc.sc().getCheckpointDir().get()
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """df as a table in the folder of checkpoints: what is read several times is read by column there. Tables stay as long as the folder does."""
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def stage_row(spark: SparkSession, stage: str, article_count: int | None = None, notes: str | None = None) -> DataFrame:

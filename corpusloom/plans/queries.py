@@ -12,7 +12,7 @@ from corpusloom.config import RepairConfig, ScoreConfig
 from corpusloom.functions import text
 from corpusloom.operators import classify, gates, links, package, repair, score, select, validate
 from corpusloom.operators.html import normalised_pages, page_features
-from corpusloom.operators.state import checkpointed
+from corpusloom.operators.state import stored
 from corpusloom.plans import bridge
 from corpusloom.plans.bridge import sql
 
@@ -42,7 +42,7 @@ class Curation:
     @cached_property
     def kept_edges(self) -> DataFrame:
         """Edges written once, for queries that read them several times."""
-        return checkpointed(self.edges)
+        return stored(self.edges)
 
     @cached_property
     def gated(self) -> DataFrame:
@@ -50,27 +50,33 @@ class Curation:
 
     @cached_property
     def passing(self) -> DataFrame:
-        return self.gated.where("stage1_pass = 1")
+        """Passing articles, written once: domains and scores read them five times, and their degrees come from all edges."""
+        return stored(self.gated.where("stage1_pass = 1").select("id", "title", "inbound_count", "text_chars"))
 
     @cached_property
     def scores(self) -> DataFrame:
         return classify.category_scores(self.categories, bridge.ANCHORS)
 
+    @cached_property
+    def kept_scores(self) -> DataFrame:
+        """Scores written once, for queries that read them several times."""
+        return stored(self.scores)
+
     @cached_property
     def matched(self) -> DataFrame:
-        return classify.matched_domains(self.passing, self.scores, bridge.ANCHORS)
+        return classify.matched_domains(self.passing, self.kept_scores, bridge.ANCHORS)
 
     @cached_property
     def domains(self) -> DataFrame:
-        return checkpointed(classify.balance(self.matched))  # read three times by the scores
+        return stored(classify.balance(self.matched))  # read three times by the scores
 
     @cached_property
     def signals(self) -> DataFrame:
-        return score.signals(self.passing, self.domains, self.kept_edges, self.categories, self.scores, ScoreConfig(), bridge.LONGEVITY, bridge.RECENCY)
+        return score.signals(self.passing, self.domains, self.kept_edges, self.categories, self.kept_scores, ScoreConfig(), bridge.LONGEVITY, bridge.RECENCY)
 
     @cached_property
     def scored(self) -> DataFrame:
-        return checkpointed(self.signals)
+        return stored(self.signals)
 
     @cached_property
     def quotas(self) -> dict[str, int]:
@@ -80,6 +86,11 @@ class Curation:
     def selected(self) -> DataFrame:
         return select.select_top(self.scored, self.quotas)
 
+    @cached_property
+    def kept_selected(self) -> DataFrame:
+        """The selection written once, for queries that read it several times."""
+        return stored(self.selected)
+
     @cached_property
     def attrs(self) -> DataFrame:
         return self.articles.select("id").join(self.scored.select("id", "domain", "kss"), "id", "left").withColumn("stage1_pass", F.col("kss").isNotNull().cast("int"))
@@ -143,7 +154,7 @@ query("kss_stats", "SELECT count(kss) AS n, round(avg(kss), 9) AS mean_kss FROM
 query("quota_topk", "SELECT id, domain, round(kss, 9) AS kss, rank FROM selected", "selected")(lambda c: c.selected.select("id", "domain", _nine("kss"), F.col("rank").cast("long").alias("rank")))
 query("selection_counts", "SELECT domain, count(*) AS n FROM selected GROUP BY 1", "selected")(lambda c: select.selection_counts(c.selected))
 query("missing_link_rank", "SELECT source_id, target_id, rank FROM missing", "missing")(
-    lambda c: repair.missing_links(c.selected, c.kept_edges, c.attrs, 8).select("source_id", "target_id", F.col("rank").cast("long").alias("rank"))
+    lambda c: repair.missing_links(c.kept_selected, c.kept_edges, c.attrs, 8).select("source_id", "target_id", F.col("rank").cast("long").alias("rank"))
 )
 
 
@@ -160,8 +171,8 @@ LEFT JOIN (SELECT source_id AS id, string_agg(CAST(target_id AS VARCHAR), ' ' OR
 LEFT JOIN (SELECT target_id AS id, string_agg(CAST(source_id AS VARCHAR), ' ' ORDER BY source_id) AS ids FROM inner_edges GROUP BY 1) i ON i.id = s.id""", "inner_edges")(
     lambda c: links.adjacency(c.edges, c.selected).select("id", F.array_join("outbound", " ").alias("outbound"), F.array_join("inbound", " ").alias("inbound"))
 )
-query("inbound_orphans", "SELECT id FROM selected WHERE id NOT IN (SELECT target_id FROM inner_edges)", "inner_edges")(lambda c: validate.inbound_orphans(c.selected, c.kept_edges))
-query("outbound_orphans", "SELECT id FROM selected WHERE id NOT IN (SELECT source_id FROM inner_edges)", "inner_edges")(lambda c: validate.outbound_orphans(c.selected, c.kept_edges))
+query("inbound_orphans", "SELECT id FROM selected WHERE id NOT IN (SELECT target_id FROM inner_edges)", "inner_edges")(lambda c: validate.inbound_orphans(c.kept_selected, c.kept_edges))
+query("outbound_orphans", "SELECT id FROM selected WHERE id NOT IN (SELECT source_id FROM inner_edges)", "inner_edges")(lambda c: validate.outbound_orphans(c.kept_selected, c.kept_edges))
 query("quota_compliance", """SELECT q.domain, q.quota, count(s.id) AS n, CAST(count(s.id) >= q.quota * (1 - 0.05) AND count(s.id) <= q.quota * (1 + 0.05) AS INT) AS ok
 FROM quotas q LEFT JOIN selected s ON s.domain = q.domain GROUP BY 1, 2""", "selected")(lambda c: validate.quota_compliance(c.selected, c.quotas, 0.05))
 
@@ -171,7 +182,7 @@ for _k in range(1, WALK_STEPS):
     _steps.append(f"m{_k} AS (SELECT e.target_id AS id, sum(m.mass / d.degree) AS mass FROM m{_k - 1} m JOIN inner_edges e ON e.source_id = m.id JOIN degree d ON d.source_id = m.id GROUP BY 1)")
 _WALK = sql("", "inner_edges").rstrip() + ",\ndegree AS (SELECT source_id, count(*) AS degree FROM inner_edges GROUP BY 1),\n" + ",\n".join(_steps) + "\nSELECT round(" + " + ".join(
     f"coalesce((SELECT sum(mass) FROM m{k} WHERE id NOT IN (SELECT source_id FROM degree)), 0)" for k in range(WALK_STEPS)) + ", 9) AS dead_end_rate"
-query("walk_dead_end_mass", _WALK)(lambda c: validate.walk_dead_end_mass(c.selected, c.kept_edges, WALK_STEPS).select(_nine("dead_end_rate")))
+query("walk_dead_end_mass", _WALK)(lambda c: validate.walk_dead_end_mass(c.kept_selected, c.kept_edges, WALK_STEPS).select(_nine("dead_end_rate")))
 
 _SKIP = " OR ".join(f"starts_with(h, '{p}')" for p in text.SKIP_LINK_PREFIXES)
 query("href_filter", f"""SELECT page_id, count(DISTINCT target) AS n, coalesce(string_agg(DISTINCT target, ' ' ORDER BY target), '') AS targets

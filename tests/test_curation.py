@@ -129,3 +129,24 @@ def test_config(tmp_path):
     assert cfg.prefilter.min_text_chars == 7 and cfg.quotas["History"] == 3 and cfg.quotas["Geography"] == 6000 and cfg.kss.weights.longevity == 0.5
     with pytest.raises(FileNotFoundError):
         load_config(tmp_path / "none.yaml")
+
+
+def test_repair_rounds_read_only_edges_that_can_decide(spark):
+    """Selected 0 and 1, of which 1 cannot be pulled; 2 can, 3 has a score but fails the gate, 4 is too low, 5 has no score."""
+    attrs = spark.createDataFrame([(0, 1, 0.9, "History"), (1, 1, 0.1, "History"), (2, 1, 0.6, "History"), (3, 0, 0.8, "History"), (4, 1, 0.4, "History"), (5, 0, None, None)], "id long, stage1_pass int, kss double, domain string")
+    edges = spark.createDataFrame([(s, t) for s in range(6) for t in range(6)], "source_id long, target_id long")
+    selected = spark.createDataFrame([(0, "History", 0.9), (1, "History", 0.1)], "id long, domain string, kss double")
+    got = sorted((r.source_id, r.target_id, r.fit) for r in repair.open_edges(selected, edges, attrs, 0.5).collect())
+    assert got == [(s, t, t != 3) for s in (0, 1, 2) for t in (0, 2, 3)]
+    one = repair.repair(selected, edges, attrs, {"History": 9}, RepairConfig(top_n_links=1, min_pull_kss=0.5))
+    two = repair.repair(selected, edges, attrs, {"History": 9}, RepairConfig(top_n_links=2, min_pull_kss=0.5))
+    assert (one.rounds, one.reason) == ([], "no_candidates") and (two.rounds, two.reason) == ([(1, 0)], "no_candidates")
+    whole = repair.repair(selected, edges.where("target_id = 2"), attrs, {"History": 9}, RepairConfig(top_n_links=1, min_pull_kss=0.5))
+    assert (whole.rounds, whole.reason) == ([(1, 0)], "no_missing_links")
+
+
+def test_scores_read_passing_articles_from_a_table(spark):
+    from corpusloom.plans import queries
+
+    plan = queries.Curation(spark, "/root/testdata/sf0.001").signals._jdf.queryExecution().optimizedPlan().toString()
+    assert [x for x in plan.splitlines() if "source_id" in x and ("Relation" in x or "LogicalRDD" in x)][1:] == []  # only the share of links into other domains
