@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.operators.state import checkpointed
+from corpusloom.operators.state import checkpointed, stored
 
 
 def first_by_path(pages: DataFrame, *order: str) -> DataFrame:
@@ -52,8 +52,8 @@ def induced_edges(edges: DataFrame, selected: DataFrame) -> DataFrame:
 
 
 def adjacency(edges: DataFrame, selected: DataFrame) -> DataFrame:
-    """(id, outbound, inbound) sorted neighbour lists in the induced subgraph, empty where there are none."""
-    inner = induced_edges(edges, selected)
+    """(id, outbound, inbound) sorted neighbour lists in the induced subgraph, empty where there are none; that subgraph is written once."""
+    inner = stored(induced_edges(edges, selected))
     out = inner.groupBy(F.col("source_id").alias("id")).agg(F.array_sort(F.collect_list("target_id")).alias("outbound"))
     inn = inner.groupBy(F.col("target_id").alias("id")).agg(F.array_sort(F.collect_list("source_id")).alias("inbound"))
     none = F.array().cast("array<bigint>")

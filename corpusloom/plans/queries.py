@@ -165,11 +165,11 @@ def repair_round1(c: Curation) -> DataFrame:
 
 
 query("repair_fixpoint")(lambda c: c.repaired().selection.select("id", "domain", "anchor"))
-query("induced_subgraph", "SELECT source_id, target_id FROM inner_edges", "inner_edges")(lambda c: links.induced_edges(c.edges, c.selected))
+query("induced_subgraph", "SELECT source_id, target_id FROM inner_edges", "inner_edges")(lambda c: links.induced_edges(c.kept_edges, c.kept_selected))
 query("adjacency_lists", """SELECT s.id, coalesce(o.ids, '') AS outbound, coalesce(i.ids, '') AS inbound FROM selected s
 LEFT JOIN (SELECT source_id AS id, string_agg(CAST(target_id AS VARCHAR), ' ' ORDER BY target_id) AS ids FROM inner_edges GROUP BY 1) o ON o.id = s.id
 LEFT JOIN (SELECT target_id AS id, string_agg(CAST(source_id AS VARCHAR), ' ' ORDER BY source_id) AS ids FROM inner_edges GROUP BY 1) i ON i.id = s.id""", "inner_edges")(
-    lambda c: links.adjacency(c.edges, c.selected).select("id", F.array_join("outbound", " ").alias("outbound"), F.array_join("inbound", " ").alias("inbound"))
+    lambda c: links.adjacency(c.kept_edges, c.kept_selected).select("id", F.array_join("outbound", " ").alias("outbound"), F.array_join("inbound", " ").alias("inbound"))
 )
 query("inbound_orphans", "SELECT id FROM selected WHERE id NOT IN (SELECT target_id FROM inner_edges)", "inner_edges")(lambda c: validate.inbound_orphans(c.kept_selected, c.kept_edges))
 query("outbound_orphans", "SELECT id FROM selected WHERE id NOT IN (SELECT source_id FROM inner_edges)", "inner_edges")(lambda c: validate.outbound_orphans(c.kept_selected, c.kept_edges))

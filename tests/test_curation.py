@@ -150,3 +150,11 @@ def test_scores_read_passing_articles_from_a_table(spark):
 
     plan = queries.Curation(spark, "/root/testdata/sf0.001").signals._jdf.queryExecution().optimizedPlan().toString()
     assert [x for x in plan.splitlines() if "source_id" in x and ("Relation" in x or "LogicalRDD" in x)][1:] == []  # only the share of links into other domains
+
+
+def test_adjacency_reads_edges_and_selection_from_tables(spark):
+    from corpusloom.plans import queries
+
+    for name in ("adjacency_lists", "induced_subgraph"):
+        plan = queries.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert "l_partkey" not in plan and "row_number" not in plan
