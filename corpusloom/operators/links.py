@@ -27,9 +27,13 @@ def numbered_paths(pages: DataFrame) -> DataFrame:
 
 
 def resolve_links(links: DataFrame, articles: DataFrame) -> DataFrame:
-    """Different (source_id, target_id) of links (source_id, target_path) whose target is an article's path; self-links stay."""
+    """Different (source_id, target_id) of links (source_id, target_path) whose target is an article's path; self-links stay.
+
+    Links outside the range of the articles' paths cannot be resolved and go before the join.
+    """
     targets = articles.select(F.col("path").alias("target_path"), F.col("id").alias("target_id"))
-    return links.join(targets, "target_path").select("source_id", "target_id").distinct()
+    least, most = articles.select(F.min("path")).scalar(), articles.select(F.max("path")).scalar()
+    return links.where(F.col("target_path").between(least, most)).join(targets, "target_path").select("source_id", "target_id").distinct()
 
 
 def unresolved_links(links: DataFrame, articles: DataFrame) -> DataFrame:

@@ -36,9 +36,10 @@ def category_share(categories: DataFrame, anchors, name: str) -> DataFrame:
 
 def cross_domain_fractions(edges: DataFrame, domains: DataFrame) -> DataFrame:
     """(id, cross_domain): share of a source's links into other domains, over links with both domains known."""
-    source = domains.select(F.col("id").alias("source_id"), F.col("domain").alias("__s"))
-    target = domains.select(F.col("id").alias("target_id"), F.col("domain").alias("__t"))
-    known = edges.join(source, "source_id").join(target, "target_id").where("__s is not null and __t is not null")
+    named = domains.where("domain is not null")
+    source = named.select(F.col("id").alias("source_id"), F.col("domain").alias("__s"))
+    target = named.select(F.col("id").alias("target_id"), F.col("domain").alias("__t"))
+    known = edges.join(target, "target_id").join(source, "source_id")  # sources last: they are grouped where they are joined
     return known.groupBy(F.col("source_id").alias("id")).agg(F.avg((F.col("__s") != F.col("__t")).cast("double")).alias("cross_domain"))
 
 

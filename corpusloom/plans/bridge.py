@@ -5,7 +5,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusloom.config import DOMAINS
@@ -33,10 +33,15 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(source_id, target_path): each line item's part to the next one's, and to its supplier, which is no article."""
+    """(source_id, target_path): each line item's part to the next one's, and to its supplier, which is no article.
+
+    Line items are shuffled once; a number that an order has twice gives every pair.
+    """
     items = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    after = items.select(F.col("l_orderkey").alias("o"), (F.col("l_linenumber") - 1).alias("n"), F.col("l_partkey").alias("next"))
-    along = items.join(after, (items.l_orderkey == after.o) & (items.l_linenumber == after.n)).select(F.col("l_partkey").alias("source_id"), F.concat(F.lit("part_"), F.col("next")).alias("target_path"))
+    following = Window.partitionBy("l_orderkey").orderBy(F.col("l_linenumber").cast("long")).rangeBetween(1, 1)
+    numbered = items.where("l_orderkey is not null and l_linenumber is not null")
+    pairs = numbered.select(F.col("l_partkey").alias("source_id"), F.collect_list(F.struct("l_partkey")).over(following).alias("after"))
+    along = pairs.select("source_id", F.explode("after").alias("next")).select("source_id", F.concat(F.lit("part_"), F.col("next.l_partkey")).alias("target_path"))
     return along.unionByName(items.select(F.col("l_partkey").alias("source_id"), F.concat(F.lit("supp_"), F.col("l_suppkey")).alias("target_path")))
 
 

@@ -158,3 +158,18 @@ def test_adjacency_reads_edges_and_selection_from_tables(spark):
     for name in ("adjacency_lists", "induced_subgraph"):
         plan = queries.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
         assert "l_partkey" not in plan and "row_number" not in plan
+
+
+def test_links_shuffle_line_items_once(spark, tmp_path):
+    """Numbers that an order has twice give every pair; rows without order or number give none; a part that is null is an unknown target."""
+    from corpusloom.plans import bridge
+
+    rows = [(1, 10, 7, 1), (1, 11, 7, 2), (1, 12, 7, 2), (1, 13, 7, 3), (2, 20, 8, 1), (2, 21, 8, 3), (None, 30, 9, 1), (None, 31, 9, 2), (3, 40, 9, None), (3, 41, 9, 1), (4, 50, 9, 1), (4, None, 9, 2)]
+    spark.createDataFrame(rows, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int").write.parquet(str(tmp_path / "lineitem.parquet"))
+    made = bridge.links(spark, str(tmp_path))
+    want = [(a[1], None if b[1] is None else f"part_{b[1]}") for a in rows for b in rows if None not in (a[0], a[3], b[3]) and a[0] == b[0] and a[3] + 1 == b[3]] + [(r[1], f"supp_{r[2]}") for r in rows]
+    assert sorted(map(tuple, made.collect()), key=str) == sorted(want, key=str)
+    assert "Join" not in made._jdf.queryExecution().optimizedPlan().toString()
+    arts = spark.createDataFrame([(10, "part_10"), (13, "part_13"), (41, "part_41"), (0, None)], "id long, path string")
+    assert sorted(map(tuple, links.resolve_links(made, arts).collect())) == [(11, 13), (12, 13)]
+    assert links.resolve_links(made, arts.limit(0)).count() == 0
