@@ -9,11 +9,12 @@ import warnings
 from collections.abc import Iterator
 from pathlib import Path
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.config import Config
+from corpusloom.functions.batches import pieces
 
 
 class SizeLimitError(RuntimeError):
@@ -25,23 +26,21 @@ def check_size(total: int, cfg: Config) -> None:
         raise SizeLimitError(f"{total} bytes > {cfg.build.max_total_compressed_bytes}")
 
 
-def _compress(html: pd.Series, level: int) -> pd.Series:
-    import zstandard
-
-    pack = zstandard.ZstdCompressor(level=level)
-    return html.map(lambda h: None if h is None else pack.compress(h.encode("utf-8")))
-
-
 def compressed(pages: DataFrame, level: int = 9) -> DataFrame:
     """pages (path, title, domain, kss, output_path, html) with payload (zstd) and compressed_bytes."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            f["payload"] = _compress(f["html"], level)
-            yield f.drop(columns="html")
+    kept = [c for c in pages.columns if c != "html"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        pack = zstandard.ZstdCompressor(level=level)
+        for part in pieces(batches, "html"):
+            payload = [None if h is None else pack.compress(h.encode("utf-8")) for h in part.column("html").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), pa.array(payload, pa.binary())], [*kept, "payload"])
 
-    schema = ", ".join(f"{c.name} {c.dataType.simpleString()}" for c in pages.schema if c.name != "html") + ", payload binary"
-    return pages.mapInPandas(run, schema).withColumn("compressed_bytes", F.length("payload").cast("long"))
+    schema = ", ".join(f"`{c.name}` {c.dataType.simpleString()}" for c in pages.schema if c.name != "html") + ", payload binary"
+    return pages.mapInArrow(run, schema).withColumn("compressed_bytes", F.length("payload").cast("long"))
 
 
 def manifest(packed: DataFrame) -> DataFrame:

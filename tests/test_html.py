@@ -124,3 +124,22 @@ def test_exports_log_on_disk_and_size_gate(spark, tmp_path):
     run.cfg = small
     with pytest.raises(SizeLimitError):
         run.run_stage("normalise")
+
+
+def test_packing_holds_a_piece_at_a_time(spark):
+    """A batch of many pages is taken out of Arrow in pieces of limited text, and every page comes through, also those without text."""
+    import pyarrow as pa
+    import zstandard
+
+    from corpusloom.functions.batches import PIECE_BYTES, pieces
+    from corpusloom.operators.package import compressed
+
+    texts = ["é" * 300, None, "", "x" * 5000, "y" * 90, "z" * 110, None]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(7)), pa.array(texts)], ["n", "t"])
+    cut = list(pieces(iter([batch.slice(0, 0), batch, batch.slice(2, 3)]), "t", 600))
+    assert [x for p in cut for x in p.column("t").to_pylist()] == texts + texts[2:5]
+    assert all(p.num_rows == 1 or sum(len((x or "").encode()) for x in p.column("t").to_pylist()) <= 600 for p in cut) and len(cut) == 6
+    rows = [(i, f"P{i}", "a" * (PIECE_BYTES // 3) if i % 4 else None) for i in range(40)]
+    pages = spark.createDataFrame(rows, "id long, path string, html string").coalesce(1)
+    out = {r.id: r for r in compressed(pages).collect()}
+    assert len(out) == 40 and all(r.payload is None and r.compressed_bytes is None if i % 4 == 0 else len(zstandard.ZstdDecompressor().decompress(r.payload)) == PIECE_BYTES // 3 for i, r in out.items())
