@@ -143,3 +143,20 @@ def test_packing_holds_a_piece_at_a_time(spark):
     pages = spark.createDataFrame(rows, "id long, path string, html string").coalesce(1)
     out = {r.id: r for r in compressed(pages).collect()}
     assert len(out) == 40 and all(r.payload is None and r.compressed_bytes is None if i % 4 == 0 else len(zstandard.ZstdDecompressor().decompress(r.payload)) == PIECE_BYTES // 3 for i, r in out.items())
+
+
+def test_page_steps_hold_a_piece_at_a_time(spark):
+    """Features and normalised pages over more than one piece are those of each page, also of pages without text; no batch becomes a pandas frame."""
+    from corpusloom.functions.batches import PIECE_BYTES
+
+    long = "<body><p>" + "w " * (PIECE_BYTES // 5) + '<a href="P1">x</a> <a href="None">y</a></p></body>'
+    rows = [(i, f"P{i}", f"T{i}", "History", 0.5, None if i % 5 == 3 else "" if i % 5 == 4 else long) for i in range(12)]
+    pages = spark.createDataFrame(rows, "id long, path string, title string, domain string, kss double, html string").coalesce(1)
+    targets = spark.createDataFrame([(0, "P1", "History/P1.html")], "source_id long, target string, output_path string")
+    found, made = html.page_features(pages, "id", "html", None), html.normalised_pages(pages, targets)
+    assert {r.id: (r.text_chars, r.hrefs) for r in found.collect()} == {r[0]: (html.features(r[5] or "", None)[0], html.features(r[5] or "", None)[4]) for r in rows}
+    got = {r.id: (r.html, r.gzip_size) for r in made.collect()}
+    assert len(got) == 12 and all((got[r[0]] == (None, None)) == (r[5] is None) for r in rows)
+    assert all(got[r[0]][0] == html.normalise(r[5], r[2], {"P1": "History/P1.html"} if r[0] == 0 else {}) and got[r[0]][1] > 0 for r in rows if r[5] is not None)
+    for frame in (found, made):
+        assert "MapInPandas" not in frame._jdf.queryExecution().optimizedPlan().toString()
